@@ -66,6 +66,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when a table is so small that it is read by fewer tasks.
+
+    On large tables, which have more splits than the cluster has cores, this
+    does nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Pages: a file is a conversation, a page is a turn.
 PAGES_SQL = """
 SELECT folder, file_name, page_no,
@@ -94,7 +104,7 @@ FROM (
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PAGES_SQL, conversations=table(spark, sf_dir, "conversations"))
+    return spark.sql(PAGES_SQL, conversations=spread(table(spark, sf_dir, "conversations")))
 
 
 # Transactions: a file is a user, a row is an event.
@@ -167,20 +177,19 @@ FROM {{lines}}
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     lines = documents.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_idx", "line"))
     return spark.sql(SPANS_SQL, lines=lines)
 
 
 # Analysis results: a file is a line item, with l_linenumber transactions.
 def _amount_sql(cents: str, kind: str) -> str:
-    """Amount text in eight spellings."""
-    dollars = f"CAST(FLOOR(({cents}) / 100) AS BIGINT)"
-    plain = f"CAST({dollars} AS STRING) || '.' || lpad(CAST(({cents}) % 100 AS STRING), 2, '0')"
+    """Amount text in eight spellings, built from whole cents (100 or more)."""
+    digits = f"CAST({cents} AS STRING)"
+    plain = f"left({digits}, length({digits}) - 2) || '.' || right({digits}, 2)"
     grouped = (
-        f"CASE WHEN {dollars} >= 1000 THEN CAST(CAST(FLOOR({dollars} / 1000) AS BIGINT) AS STRING) || ',' "
-        f"|| lpad(CAST({dollars} % 1000 AS STRING), 3, '0') ELSE CAST({dollars} AS STRING) END "
-        f"|| '.' || lpad(CAST(({cents}) % 100 AS STRING), 2, '0')"
+        f"CASE WHEN length({digits}) > 5 THEN left({digits}, length({digits}) - 5) || ',' "
+        f"|| left(right({digits}, 5), 3) || '.' || right({digits}, 2) ELSE {plain} END"
     )
     return (
         f"CASE {kind} WHEN 0 THEN NULL WHEN 1 THEN '$' || {grouped} WHEN 2 THEN '-' || {plain} "
@@ -218,6 +227,12 @@ def _entry(name: str, value: str) -> str:
     return f"'{name}', named_struct('content', {_NO_TEXT}, 'value', {value})"
 
 
+RESULT_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
+    "l_linestatus", "l_shipdate",
+]
+
+
 def analysis_results(lineitem: DataFrame) -> DataFrame:
     """Nested results for any table with the columns of ``lineitem``; also a stream."""
     entries = ", ".join(
@@ -270,14 +285,18 @@ def analysis_results(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "lineitem").select(*RESULT_COLUMNS))
+
+
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analysis_results(table(spark, sf_dir, "lineitem")).drop("l_returnflag")
+    return analysis_results(line_items(spark, sf_dir)).drop("l_returnflag")
 
 
 # Layout: text lines of documents, cells of line items.
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results that hold the lines of every document, 40 to a page."""
-    documents = table(spark, sf_dir, "documents").withColumn("_lines", F.split("text", "\n"))
+    documents = spread(table(spark, sf_dir, "documents")).withColumn("_lines", F.split("text", "\n"))
     last_page = f"(size(_lines) - 1) div {LINES_PER_PAGE}"
     pages_of = (
         f"transform(sequence(0, CAST({last_page} AS INT)), p -> named_struct('page_no', p, 'lines', "
@@ -292,7 +311,7 @@ def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results with a table of up to three columns per line item, cells unsorted."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = line_items(spark, sf_dir)
     cells = (
         "flatten(transform(sequence(l_linenumber - 1, 0, -1), r -> filter(array("
         "named_struct('row_index', r, 'column_index', 2, 'content', l_returnflag), "

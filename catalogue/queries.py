@@ -291,7 +291,7 @@ def transactions(spark, sf_dir):
 
 @query
 def convert_amount(spark, sf_dir):
-    items = fx.table(spark, sf_dir, "lineitem").select("*", F.expr("explode(sequence(1, l_linenumber)) AS i"))
+    items = fx.line_items(spark, sf_dir).select("*", F.expr("explode(sequence(1, l_linenumber)) AS i"))
     spelled = items.select(F.expr(fx.FILE_SQL).alias("file_name"), "i", F.expr(fx.AMOUNT_SQL).alias("amount_text"))
     return spelled.select(
         "file_name",
@@ -357,7 +357,7 @@ def table_rows(spark, sf_dir):
 @query
 def union_runs(spark, sf_dir):
     """Two runs of different statement types in one table."""
-    results = fx.analysis_results(fx.table(spark, sf_dir, "lineitem"))
+    results = fx.analysis_results(fx.line_items(spark, sf_dir))
     typed = results.withColumn(
         "statement_type", F.when(F.col("l_returnflag") == "R", F.lit(fx.LISTING.name)).otherwise(F.lit(fx.CARD.name))
     )

@@ -9,6 +9,10 @@ _AMOUNT = r"[-+]?[\d,]*\.?\d+"
 _NUMBER = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
+def _number_text(text: Column) -> Column:
+    return F.regexp_extract(text, _AMOUNT, 0)
+
+
 def amount_value(text: Column, sign_mode: str = "default") -> Column:
     """The first number in a text, as a double; null when there is none.
 
@@ -19,16 +23,15 @@ def amount_value(text: Column, sign_mode: str = "default") -> Column:
     """
     if sign_mode not in ("default", "corrected"):
         raise ValueError(f"unknown sign_mode {sign_mode!r}")
-    number = F.regexp_extract(text, _AMOUNT, 0)
-    number = F.replace(number, F.lit(","), F.lit("")).try_cast("double")
+    number = F.replace(_number_text(text), F.lit(","), F.lit("")).try_cast("double")
     if sign_mode == "corrected":
         number = F.abs(number)
-    return F.when(text.contains("-"), -number).otherwise(number)
+    return number * F.when(text.contains("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
 
 
 def amount_ok(text: Column) -> Column:
     """False only for non-empty text without a number."""
-    return F.coalesce(text == "", F.lit(True)) | text.rlike(_AMOUNT)
+    return text.isNull() | (text == "") | (_number_text(text) != "")
 
 
 def convert_amount(text: Column, sign_mode: str = "default") -> Column:

@@ -37,14 +37,27 @@ def failed(results: DataFrame) -> DataFrame:
 
 
 def _static_column(name: str) -> Column:
-    holders = F.filter("documents", lambda d: F.map_contains_key(d["fields"], name))
-    found = F.try_element_at(F.get(holders, F.lit(0))["fields"], F.lit(name))
-    return F.coalesce(_field_text(found), F.lit(""))
+    """The field of the first document that has it."""
+    found = F.transform("documents", lambda d: F.try_element_at(d["fields"], F.lit(name)))
+    return F.get(F.filter(found, lambda f: f.isNotNull()), F.lit(0))
 
 
-def _static_columns(stype: StatementType) -> list[Column]:
-    columns = [_static_column(f.name).alias(f.name) for f in stype.static_fields if f.name != STATIC_KEY]
-    return [F.col("file_name").alias(STATIC_KEY), *columns]
+def _static_names(stype: StatementType) -> list[str]:
+    return list(dict.fromkeys(f.name for f in stype.static_fields if f.name != STATIC_KEY))
+
+
+def _with_static(results: DataFrame, stype: StatementType, *extra: Column) -> DataFrame:
+    """``folder``, ``_static_<i>`` texts with the file name first, and extra columns."""
+    names = _static_names(stype)
+    # Looked up in one step and read in the next, so each lookup runs once.
+    found = results.select(
+        "folder", "file_name", *[_static_column(n).alias(f"_found_{i}") for i, n in enumerate(names)], *extra
+    )
+    texts = [
+        F.coalesce(_field_text(F.col(f"_found_{i}")), F.lit("")).alias(f"_static_{i + 1}") for i in range(len(names))
+    ]
+    kept = [c for c in found.columns if c not in ("folder", "file_name") and not c.startswith("_found_")]
+    return found.select("folder", F.col("file_name").alias("_static_0"), *texts, *kept)
 
 
 def static_fields(results: DataFrame, stype: StatementType) -> DataFrame:
@@ -52,7 +65,9 @@ def static_fields(results: DataFrame, stype: StatementType) -> DataFrame:
 
     A field that is present but empty stops the search and gives ``''``.
     """
-    return analysed(results).select("folder", *_static_columns(stype))
+    names = [STATIC_KEY, *_static_names(stype)]
+    rows = _with_static(analysed(results), stype)
+    return rows.select("folder", *[F.col(f"_static_{i}").alias(name) for i, name in enumerate(names)])
 
 
 def _items(documents: Column) -> Column:
@@ -60,12 +75,18 @@ def _items(documents: Column) -> Column:
     return F.flatten(lists)
 
 
+def _exploded(rows: DataFrame) -> DataFrame:
+    """One row per item.  The outer form keeps Spark from adding a filter that
+    would build the array a second time just to see whether it is empty."""
+    return rows.select("*", F.posexplode_outer("_items").alias(ROW_NO, "_item")).where(F.col(ROW_NO).isNotNull())
+
+
 def _dynamic_columns(stype: StatementType, sign_mode: str) -> list[Column]:
     columns, ok = [], []
     for spec in stype.dynamic_fields:
         value = F.try_element_at(F.col("_item"), F.lit(spec.name))["value"]
         if spec.is_amount:
-            ok.append(F.coalesce(amounts.amount_ok(value), F.lit(True)))
+            ok.append(amounts.amount_ok(value))
             value = amounts.amount_value(value, sign_mode)
         columns.append(value.alias(spec.name))
     return [*columns, reduce(lambda a, b: a & b, ok, F.lit(True)).alias(SUCCESS)]
@@ -77,8 +98,7 @@ def transactions(results: DataFrame, stype: StatementType, sign_mode: str = "def
     Amounts are doubles, null where the text holds no number; in that case
     ``ConversionSuccess`` is false.  ``row_no`` numbers a file's transactions.
     """
-    items = analysed(results).select(*FILE_KEY, F.posexplode(_items(F.col("documents"))).alias(ROW_NO, "_item"))
-    return items.select(
+    return _exploded(analysed(results).select(*FILE_KEY, _items(F.col("documents")).alias("_items"))).select(
         "folder", F.col("file_name").alias(STATIC_KEY), F.col(ROW_NO).cast("long").alias(ROW_NO),
         *_dynamic_columns(stype, sign_mode),
     )
@@ -94,22 +114,13 @@ def transactions_with_static(results: DataFrame, stype: StatementType, sign_mode
 
     On a name clash the transaction's field wins, in the static field's place.
     """
-    dynamic = {f.name for f in stype.dynamic_fields}
-    names = [STATIC_KEY, *[f.name for f in stype.static_fields if f.name != STATIC_KEY]]
-    static = [c.alias(f"_static_{i}") for i, c in enumerate(_static_columns(stype))]
-    rows = (
-        analysed(results)
-        .select("folder", *static, _items(F.col("documents")).alias("_items"))
-        .select("*", F.posexplode("_items").alias(ROW_NO, "_item"))
-    )
+    names = [STATIC_KEY, *_static_names(stype)]
+    rows = _exploded(_with_static(analysed(results), stype, _items(F.col("documents")).alias("_items")))
+    dynamic = [*[f.name for f in stype.dynamic_fields], SUCCESS]
     values = {name: F.col(f"_static_{i}") for i, name in enumerate(names)}
-    extracted = dict(zip([f.name for f in stype.dynamic_fields] + [SUCCESS], _dynamic_columns(stype, sign_mode)))
-    values.update(extracted)
-    order = _merged(names, [f.name for f in stype.dynamic_fields] + [SUCCESS])
-    assert dynamic <= set(order)
-    return rows.select(
-        "folder", F.col(ROW_NO).cast("long").alias(ROW_NO), *[values[name].alias(name) for name in order]
-    )
+    values.update(zip(dynamic, _dynamic_columns(stype, sign_mode)))
+    columns = [values[name].alias(name) for name in _merged(names, dynamic)]
+    return rows.select("folder", F.col(ROW_NO).cast("long").alias(ROW_NO), *columns)
 
 
 def attach_static(rows: DataFrame, static: DataFrame) -> DataFrame:
@@ -243,7 +254,7 @@ def _rows_of_cells(cells: Column) -> Column:
 
         return bind(starts, rows)
 
-    return F.when(F.size(cells) > 0, bind(F.array_sort(placed), cut))
+    return F.when(F.size(cells) > 0, bind(F.sort_array(placed), cut))
 
 
 def table_rows(results: DataFrame) -> DataFrame:
@@ -251,12 +262,9 @@ def table_rows(results: DataFrame) -> DataFrame:
 
     Missing cells are not padded.  The work stays inside each result row.
     """
-    tables = results.where(F.col("tables").isNotNull()).select(
-        *FILE_KEY, F.posexplode("tables").alias("table_idx", "_table")
-    )
-    return tables.select(
-        *FILE_KEY, "table_idx", F.inline(_rows_of_cells(F.col("_table.cells")))
-    )
+    tables = results.select(*FILE_KEY, F.posexplode("tables").alias("table_idx", "_table"))
+    rows = tables.select(*FILE_KEY, "table_idx", F.explode_outer(_rows_of_cells(F.col("_table.cells"))).alias("_row"))
+    return rows.where(F.col("_row").isNotNull()).select(*FILE_KEY, "table_idx", "_row.row_index", "_row.contents")
 
 
 def union_runs(runs: list[DataFrame]) -> DataFrame:

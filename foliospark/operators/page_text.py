@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.config import StatementType
 from foliospark.functions import text as tx
-from foliospark.schemas import FILE_KEY
+from foliospark.schemas import FILE_KEY, with_known
 
 READABLE_ABOVE = 20  # characters of text on the first page
 FOOTER_SHARE = 0.10
@@ -25,7 +25,7 @@ def usable_text(text: Column, ocr_text: Column, readable: Column) -> Column:
 
 def machine_readable_files(pages: DataFrame) -> DataFrame:
     """One row per file that has a first page; only first pages are read."""
-    first = pages.where(F.col("page_no") == 0)
+    first = with_known(pages.where(F.col("page_no") == 0), *FILE_KEY)
     return first.select(*FILE_KEY, is_readable_text(F.col("text")).alias("machine_readable"))
 
 
@@ -50,7 +50,7 @@ def footer_text(spans: DataFrame) -> DataFrame:
     """
     height = F.greatest(F.lit(FOOTER_MINIMUM), F.floor(F.col("page_height") * FOOTER_SHARE).cast("int"))
     in_strip = (F.col("y1") > F.col("page_height") - height) & (F.col("block_type") == 0)
-    parts = F.array_sort(F.collect_list(F.struct("block_no", "line_no", "span_no", "text")))
+    parts = F.sort_array(F.collect_list(F.struct("block_no", "line_no", "span_no", "text")))
     joined = F.array_join(F.transform(parts, lambda p: p["text"]), " ")
     return (
         spans.where(in_strip)
@@ -172,6 +172,7 @@ def page_events(pages: DataFrame, stype: StatementType) -> DataFrame:
     usually null and costs nothing), and the file's own answer picks one.
     Only these few small columns are joined or shuffled, never the text.
     """
+    pages = with_known(pages, *FILE_KEY, "page_no")
     page_no = F.col("page_no")
     as_layer = usable_text(F.col("text"), F.col("ocr_text"), F.lit(True))
     as_scan = F.col("ocr_text")

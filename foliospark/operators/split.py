@@ -19,7 +19,7 @@ from foliospark.operators.chunks import (
     within_chunk,
 )
 from foliospark.operators.page_text import page_events
-from foliospark.schemas import FILE_KEY
+from foliospark.schemas import FILE_KEY, with_known
 
 
 @dataclass(frozen=True)
@@ -36,7 +36,7 @@ def pages_from_starts(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
     Document ``i`` runs to the page before the next start; pages ahead of the
     first start belong to none.
     """
-    chunked = with_chunk(events, "page_no", width)
+    chunked = with_chunk(with_known(events, *FILE_KEY, "page_no"), "page_no", width)
     is_start = F.col("start_id").isNotNull().cast("long")
     # Both sides of the join below read the same shuffled rows (exchange reuse).
     local = chunked.withColumn("_local", F.sum(is_start).over(within_chunk(FILE_KEY, "page_no")))
@@ -80,7 +80,7 @@ def pages_from_ranges(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
     told apart by ``start_page``.
     """
     page, start_id = F.col("page_no"), F.col("start_id")
-    chunked = with_chunk(events, "page_no", width)
+    chunked = with_chunk(with_known(events, *FILE_KEY, "page_no"), "page_no", width)
 
     # A setter decides what is open after its page: an id, or nothing.
     open_after = F.when(~F.col("closes"), start_id)
@@ -166,11 +166,21 @@ def split_start_end(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
     return _latest_runs(_runs(pages_from_ranges(events, width)))
 
 
+def _reopened(runs: DataFrame) -> DataFrame:
+    """Ids with more than one run, and where the last one starts; usually none."""
+    return (
+        runs.groupBy(*FILE_KEY, "statement_id")
+        .agg(F.max("start_page").alias("_kept_start"), F.count("*").alias("_runs"))
+        .where(F.col("_runs") > 1)
+        .drop("_runs")
+    )
+
+
 def superseded_ranges(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
     """Diagnostics: the earlier ranges of ids that came back later."""
-    runs = _runs(pages_from_ranges(events, width))
-    kept = _latest_runs(runs).select(*FILE_KEY, "statement_id", "start_page")
-    return runs.join(kept, [*FILE_KEY, "statement_id", "start_page"], "left_anti")
+    runs = with_known(_runs(pages_from_ranges(events, width)), "statement_id")
+    again = runs.join(_reopened(runs), [*FILE_KEY, "statement_id"])
+    return again.where(F.col("start_page") < F.col("_kept_start")).drop("_kept_start")
 
 
 def name_documents(statements: DataFrame, stype: StatementType) -> DataFrame:
@@ -216,8 +226,9 @@ def split_events(events: DataFrame, stype: StatementType, width: int = PAGE_WIDT
     if stype.has_ranges:
         assigned = pages_from_ranges(events, width)
         statements = split_start_end(events, width)
-        lost = superseded_ranges(events, width).select(*FILE_KEY, "statement_id", "start_page")
-        assigned = assigned.join(lost, [*FILE_KEY, "statement_id", "start_page"], "left_anti")
+        assigned = with_known(assigned, "statement_id")
+        assigned = assigned.join(_reopened(_runs(assigned)), [*FILE_KEY, "statement_id"], "left")
+        assigned = assigned.where(F.col("start_page") == F.coalesce("_kept_start", "start_page"))
     else:
         assigned = pages_from_starts(events, width)
         statements = split_page_start(events, width)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from foliospark.functions import text as tx
 from foliospark.functions.examples import ExamplePattern, pattern_from_example
-from foliospark.schemas import FILE_KEY
+from foliospark.schemas import FILE_KEY, with_known
 
 TOP_HALF = 0.5
 FULL_PAGE = 1.0
@@ -48,24 +48,28 @@ def in_region(page_fraction: float) -> Column:
 
 
 def _page_texts(spans: DataFrame, regions: dict[str, float]) -> DataFrame:
-    """One row per page with a text column per region; null where it is empty."""
+    """One row per page with a text column per region; null where it is empty.
+
+    Spans outside all regions only keep their page's row alive: their text is
+    dropped before the shuffle.
+    """
     inside = {name: in_region(fraction) for name, fraction in regions.items()}
     any_region = F.lit(False)
     for test in inside.values():
         any_region = any_region | test
     flags = [test.alias(name) for name, test in inside.items()]
     part = F.struct("block_no", "line_no", "span_no", "text", F.struct(*flags).alias("inside"))
-    pages = (
-        spans.where(any_region)
-        .groupBy(*FILE_KEY, "page_no")
-        .agg(F.array_sort(F.collect_list(part)).alias("_parts"))
+    pages = with_known(spans, *FILE_KEY).groupBy(*FILE_KEY, "page_no").agg(
+        F.sort_array(F.collect_list(F.when(any_region, part))).alias("_parts")
     )
-    texts = []
-    for name in regions:
-        kept = F.filter("_parts", lambda p: p["inside"][name])
-        joined = F.array_join(F.transform(kept, lambda p: F.concat(p["text"], F.lit(" "))), "")
-        texts.append(tx.null_if_empty(tx.collapse_spaces(joined)).alias(name))
-    return pages.select(*FILE_KEY, "page_no", *texts)
+
+    def joined(name: str) -> Column:
+        piece = F.transform("_parts", lambda p: F.when(p["inside"][name], F.concat(p["text"], F.lit(" "))))
+        return tx.collapse_spaces(F.array_join(piece, ""))
+
+    # In two steps, so that the text is put together once and used twice.
+    texts = pages.select(*FILE_KEY, "page_no", *[joined(name).alias(name) for name in regions])
+    return texts.select(*FILE_KEY, "page_no", *[tx.null_if_empty(F.col(name)).alias(name) for name in regions])
 
 
 def region_text(spans: DataFrame, page_fraction: float = TOP_HALF) -> DataFrame:
@@ -94,7 +98,7 @@ def _fold(rows: DataFrame, searches: Sequence[ValueSearch], group: list[str], po
     pieces = []
     for i in range(len(searches)):
         pieces += [F.col(f"text_{i}"), F.col(f"hit_{i}")]
-    grouped = rows.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(position, *pieces))).alias("_pieces"))
+    grouped = rows.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(position, *pieces))).alias("_pieces"))
 
     columns = []
     for i in range(len(searches)):
@@ -103,18 +107,22 @@ def _fold(rows: DataFrame, searches: Sequence[ValueSearch], group: list[str], po
         columns += [own.alias(f"own_{i}"), texts.alias(f"texts_{i}")]
     prepared = grouped.select(*group, "_pieces", *columns)
 
-    folded = []
+    joined = []
     for i, search in enumerate(searches):
-        pattern = search.pattern
         own, texts = F.col(f"own_{i}"), F.col(f"texts_{i}")
         before = F.array_join(F.slice(texts, F.lit(1), F.greatest(own - 1, F.lit(0))), "")
-        lead = F.left(F.get(texts, own - 1), F.lit(pattern.length))
+        lead = F.left(F.get(texts, own - 1), F.lit(search.pattern.length))
         upto = F.when(own > 0, F.concat(before, lead)).otherwise(F.array_join(texts, ""))
-        across = _first_match(tx.collapse_spaces(upto), pattern)
-        hit = F.coalesce(across, F.when(own > 0, F.get(F.col("_pieces"), own - 1)[f"hit_{i}"]))
-        folded.append(_ends(tx.collapse_spaces(F.array_join(texts, "")), pattern.length).alias(f"text_{i}"))
-        folded.append(hit.alias(f"hit_{i}"))
-    return prepared.select(*group, *folded)
+        joined.append(tx.collapse_spaces(upto).alias(f"upto_{i}"))
+        joined.append(tx.collapse_spaces(F.array_join(texts, "")).alias(f"whole_{i}"))
+        joined.append(F.when(own > 0, F.get(F.col("_pieces"), own - 1)[f"hit_{i}"]).alias(f"first_{i}"))
+
+    folded = []
+    for i, search in enumerate(searches):
+        across = _first_match(F.col(f"upto_{i}"), search.pattern)
+        folded.append(_ends(F.col(f"whole_{i}"), search.pattern.length).alias(f"text_{i}"))
+        folded.append(F.coalesce(across, F.col(f"first_{i}")).alias(f"hit_{i}"))
+    return prepared.select(*group, *joined).select(*group, *folded)
 
 
 def extract_values(
@@ -125,11 +133,10 @@ def extract_values(
     All searches share one pass over the spans.  ``files`` names the files to
     report (default: all that have spans).  An empty example finds nothing.
     """
-    wanted = (spans if files is None else files).select(*FILE_KEY).distinct()
     active = [s for s in searches if s.pattern.length > 0]
     empty = [F.lit(None).cast("string").alias(s.name) for s in searches if s.pattern.length == 0]
     if not active:
-        return wanted.select("*", *empty)
+        return (spans if files is None else files).select(*FILE_KEY).distinct().select("*", *empty)
 
     regions = {f"region_{n}": fraction for n, fraction in enumerate(sorted({s.page_fraction for s in active}))}
     region_of = {fraction: name for name, fraction in regions.items()}
@@ -143,8 +150,10 @@ def extract_values(
     blocks = _fold(pages.withColumn("_block", F.expr(f"page_no div {int(width)}L")), active, [*FILE_KEY, "_block"], "page_no")
     found = _fold(blocks, active, FILE_KEY, "_block")
     values = [tx.null_if_empty(tx.strip(F.col(f"hit_{i}"))).alias(s.name) for i, s in enumerate(active)]
-    result = wanted.join(found.select(*FILE_KEY, *values), FILE_KEY, "left")
-    return result.select("*", *empty).select(*FILE_KEY, *[s.name for s in searches])
+    result = found.select(*FILE_KEY, *values, *empty)
+    if files is not None:
+        result = files.select(*FILE_KEY).distinct().join(result, FILE_KEY, "left")
+    return result.select(*FILE_KEY, *[s.name for s in searches])
 
 
 def extract_value(

@@ -2,8 +2,24 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 FILE_KEY = ["folder", "file_name"]
 
+
+def with_known(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which none of the columns is null.
+
+    Joins on a column make Spark add this filter to one side.  Having it on
+    both from the start keeps the two sides the same below their shuffle, so
+    that Spark runs that part once and reuses it.
+    """
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 FILES = "folder string, file_name string, stem string, path string, length bigint"
 
 PAGES = (
