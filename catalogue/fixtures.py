@@ -7,6 +7,8 @@ table and has the same skew.  The SQL in ``*_SQL`` is read by both engines,
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +64,31 @@ STATEMENT_EXAMPLE = "Statement no. 12"
 DATE_EXAMPLE = "12 NOV 2023"
 
 
+# Names a folder that already holds the derived inputs; the benchmark sets it,
+# to time the engine and not the derivation.
+PREPARED_SETTING = "foliospark.prepared"
+DERIVED = {}
+
+
+def derived(function):
+    """Mark an engine input that can be derived ahead of time."""
+
+    @wraps(function)
+    def read_or_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = spark.conf.get(PREPARED_SETTING, None)
+        return spark.read.parquet(f"{folder}/{function.__name__}") if folder else function(spark, sf_dir)
+
+    DERIVED[function.__name__] = function
+    return read_or_derive
+
+
+def prepare(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Derive all inputs once and let later queries of this session read them."""
+    for name, function in DERIVED.items():
+        function(spark, sf_dir).write.parquet(f"{folder}/{name}")
+    spark.conf.set(PREPARED_SETTING, folder)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -103,6 +130,7 @@ FROM (
 """
 
 
+@derived
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAGES_SQL, conversations=spread(table(spark, sf_dir, "conversations")))
 
@@ -119,6 +147,7 @@ FROM {events}
 """
 
 
+@derived
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TRANSACTIONS_SQL, events=table(spark, sf_dir, "events"))
 
@@ -131,6 +160,7 @@ FROM {documents}
 """
 
 
+@derived
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(INVENTORY_SQL, documents=table(spark, sf_dir, "documents"))
 
@@ -176,6 +206,7 @@ FROM {{lines}}
 """
 
 
+@derived
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     lines = documents.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_idx", "line"))
@@ -183,9 +214,8 @@ def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Analysis results: a file is a line item, with l_linenumber transactions.
-def _amount_sql(cents: str, kind: str) -> str:
-    """Amount text in eight spellings, built from whole cents (100 or more)."""
-    digits = f"CAST({cents} AS STRING)"
+def _amount_sql(digits: str, kind: str) -> str:
+    """Amount text in eight spellings, built from the digits of 100 cents or more."""
     plain = f"left({digits}, length({digits}) - 2) || '.' || right({digits}, 2)"
     grouped = (
         f"CASE WHEN length({digits}) > 5 THEN left({digits}, length({digits}) - 5) || ',' "
@@ -199,11 +229,13 @@ def _amount_sql(cents: str, kind: str) -> str:
 
 
 CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
-AMOUNT_SQL = _amount_sql(f"{CENTS} + i * 137", "CAST((l_partkey + i) % 8 AS INT)")
-BALANCE_SQL = _amount_sql(f"{CENTS} * i", "CAST((l_suppkey + i) % 8 AS INT)")
-OPENING_SQL = _amount_sql(CENTS, "CAST(l_partkey % 8 AS INT)")
-CLOSING_1_SQL = _amount_sql(f"{CENTS} + 11", "4")
-CLOSING_2_SQL = _amount_sql(f"{CENTS} + 22", "3")
+AMOUNT_DIGITS, AMOUNT_KIND = f"CAST({CENTS} + i * 137 AS STRING)", "CAST((l_partkey + i) % 8 AS INT)"
+BALANCE_DIGITS, BALANCE_KIND = f"CAST({CENTS} * i AS STRING)", "CAST((l_suppkey + i) % 8 AS INT)"
+AMOUNT_SQL = _amount_sql(AMOUNT_DIGITS, AMOUNT_KIND)
+BALANCE_SQL = _amount_sql(BALANCE_DIGITS, BALANCE_KIND)
+OPENING_SQL = _amount_sql(f"CAST({CENTS} AS STRING)", "CAST(l_partkey % 8 AS INT)")
+CLOSING_1_SQL = _amount_sql(f"CAST({CENTS} + 11 AS STRING)", "4")
+CLOSING_2_SQL = _amount_sql(f"CAST({CENTS} + 22 AS STRING)", "3")
 FOLDER_SQL = "'flag_' || l_returnflag"
 FILE_SQL = (
     "'item_' || CAST(l_orderkey AS STRING) || '_' || CAST(l_linenumber AS STRING) || '_' "
@@ -224,7 +256,7 @@ def _field(name: str, content: str, value: str = _NO_TEXT, confidence: str = _NO
 
 
 def _entry(name: str, value: str) -> str:
-    return f"'{name}', named_struct('content', {_NO_TEXT}, 'value', {value})"
+    return f"{name}, named_struct('content', {_NO_TEXT}, 'value', {value})"
 
 
 RESULT_COLUMNS = [
@@ -235,21 +267,23 @@ RESULT_COLUMNS = [
 
 def analysis_results(lineitem: DataFrame) -> DataFrame:
     """Nested results for any table with the columns of ``lineitem``; also a stream."""
+    # A date that is not printed and an amount without text have no key at all.
     entries = ", ".join(
         [
-            _entry("Date", DATE_SQL),
-            _entry("Description", DESCRIPTION_SQL),
-            _entry("Amount", AMOUNT_SQL),
-            _entry("Reference", REFERENCE_SQL),
-            _entry("Balance", BALANCE_SQL),
-            _entry("NotConfigured", DESCRIPTION_SQL),
+            _entry("CASE WHEN x.date IS NULL THEN 'NoDate' ELSE 'Date' END", "x.date"),
+            _entry("'Description'", "'Item ' || x.i || ' of part ' || l_partkey"),
+            _entry("CASE WHEN x.kind = 0 THEN 'NoAmount' ELSE 'Amount' END", _amount_sql("x.digits", "x.kind")),
+            _entry("'Reference'", "CASE WHEN x.i = 1 THEN NULL ELSE 'ref ' || x.i END"),
+            _entry("'Balance'", _amount_sql("x.balance_digits", "x.balance_kind")),
+            _entry("'NotConfigured'", "'ignored'"),
         ]
     )
-    # A date that is not printed and an amount without text have no key at all.
-    items = (
-        f"transform(sequence(1, l_linenumber), i -> map_filter(map({entries}), "
-        "(k, v) -> v.value IS NOT NULL OR k NOT IN ('Date', 'Amount')))"
+    numbers = (
+        f"transform(sequence(1, l_linenumber), i -> named_struct('i', i, 'date', {DATE_SQL}, "
+        f"'digits', {AMOUNT_DIGITS}, 'kind', {AMOUNT_KIND}, "
+        f"'balance_digits', {BALANCE_DIGITS}, 'balance_kind', {BALANCE_KIND}))"
     )
+    items = f"transform({numbers}, x -> map({entries}))"
     first = ", ".join(
         [
             _field("StatementNumber", "'No. ' || CAST(l_orderkey AS STRING)", "'unused'"),
@@ -267,15 +301,15 @@ def analysis_results(lineitem: DataFrame) -> DataFrame:
             _field("Reference", "'late'"),
             _field("ClosingBalance", _NO_TEXT, CLOSING_2_SQL, CONFIDENCE_2_SQL),
             _field("Label", "'end '", _NO_TEXT, CONFIDENCE_2_SQL),
-            _field("Rate", "CASE WHEN l_partkey % 5 = 0 THEN '4.5%' END", _NO_TEXT, CONFIDENCE_2_SQL),
+            _field("' || CASE WHEN l_partkey % 5 = 0 THEN 'Rate' ELSE 'NoRate' END || '", "'4.5%'", _NO_TEXT, CONFIDENCE_2_SQL),
         ]
     )
-    second_map = f"map_filter(map({second}), (k, v) -> k <> 'Rate' OR v.content IS NOT NULL)"
+    # Inside a lambda, so that the generated code around it stays small.
     documents = (
-        f"CASE WHEN {FAILED_SQL} THEN NULL ELSE array("
-        f"named_struct('fields', map({first}), 'transactions', slice(_items, 1, 3)), "
-        f"named_struct('fields', {second_map}, 'transactions', "
-        "CASE WHEN l_linenumber > 3 THEN slice(_items, 4, 4) END)) END"
+        f"CASE WHEN {FAILED_SQL} THEN NULL ELSE transform(array(1, 2), n -> CASE n "
+        f"WHEN 1 THEN named_struct('fields', map({first}), 'transactions', slice(_items, 1, 3)) "
+        f"ELSE named_struct('fields', map({second}), 'transactions', "
+        "CASE WHEN l_linenumber > 3 THEN slice(_items, 4, 4) END) END) END"
     )
     return lineitem.withColumn("_items", F.expr(items)).select(
         F.expr(FOLDER_SQL).alias("folder"),
@@ -289,11 +323,13 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "lineitem").select(*RESULT_COLUMNS))
 
 
+@derived
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_results(line_items(spark, sf_dir)).drop("l_returnflag")
 
 
 # Layout: text lines of documents, cells of line items.
+@derived
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results that hold the lines of every document, 40 to a page."""
     documents = spread(table(spark, sf_dir, "documents")).withColumn("_lines", F.split("text", "\n"))
@@ -309,6 +345,7 @@ def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@derived
 def table_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results with a table of up to three columns per line item, cells unsorted."""
     lineitem = line_items(spark, sf_dir)

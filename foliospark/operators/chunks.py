@@ -18,7 +18,11 @@ ROW_WIDTH = 65536
 
 
 def with_chunk(df: DataFrame, order_col: str, width: int) -> DataFrame:
-    """Add the chunk number of an integral position, unless it is there already."""
+    """Add the chunk number of an integral position.
+
+    Rows that come with a chunk number keep it, and with it the way they are
+    already spread over tasks.
+    """
     if CHUNK in df.columns:
         return df
     return df.withColumn(CHUNK, F.expr(f"`{order_col}` div {int(width)}L"))

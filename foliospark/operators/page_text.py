@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.config import StatementType
 from foliospark.functions import text as tx
+from foliospark.operators.chunks import CHUNK, PAGE_WIDTH, join_carry, with_chunk
 from foliospark.schemas import FILE_KEY, with_known
 
 READABLE_ABOVE = 20  # characters of text on the first page
@@ -164,13 +165,14 @@ def page_event(page_no: Column, raw: Column, searched: tuple[Column, Column, Col
     )
 
 
-def page_events(pages: DataFrame, stype: StatementType) -> DataFrame:
+def page_events(pages: DataFrame, stype: StatementType, width: int = PAGE_WIDTH) -> DataFrame:
     """Reduce pages to ``(file, page_no, start_id, closes)`` in one pass over the text.
 
     Whether a file is machine readable is only known from its first page, so a
     page is searched both ways, as text layer and as scan (whose text is
     usually null and costs nothing), and the file's own answer picks one.
-    Only these few small columns are joined or shuffled, never the text.
+    Only these few small columns are joined or shuffled, never the text.  They
+    are spread by file and chunk of ``width`` pages, as splitting needs them.
     """
     pages = with_known(pages, *FILE_KEY, "page_no")
     page_no = F.col("page_no")
@@ -190,15 +192,28 @@ def page_events(pages: DataFrame, stype: StatementType) -> DataFrame:
         page_event(page_no, F.col("_layer"), searched["_layer"], stype).alias("_as_layer"),
         page_event(page_no, F.col("_scan"), searched["_scan"], stype).alias("_as_scan"),
     )
+    chunked = with_chunk(events, "page_no", width)
     readable = F.coalesce("machine_readable", F.lit(False))
     chosen = F.when(readable, F.col("_as_layer")).otherwise(F.col("_as_scan"))
     return (
-        events.join(machine_readable_files(pages), FILE_KEY, "left")
+        join_carry(chunked, _readable_chunks(pages, width), FILE_KEY)
         .withColumn("_event", chosen)
-        .select(*FILE_KEY, "page_no", "_event.start_id", "_event.closes")
+        .select(*FILE_KEY, "page_no", "_event.start_id", "_event.closes", CHUNK)
     )
 
 
+def _readable_chunks(pages: DataFrame, width: int) -> DataFrame:
+    """What first pages say about their file, once per chunk of the file.
+
+    Few files have more than one chunk, and only their page numbers are read.
+    """
+    files = machine_readable_files(pages)
+    later = with_chunk(pages.where(F.col("page_no") >= width).select(*FILE_KEY, "page_no"), "page_no", width)
+    later = later.select(*FILE_KEY, CHUNK).distinct().join(files, FILE_KEY)
+    first = files.withColumn(CHUNK, F.lit(0).cast("long"))
+    return first.unionByName(later)
+
+
 def _footers(stype: StatementType) -> list[Column]:
     if not stype.start_pattern:
         return []

@@ -15,7 +15,7 @@ from foliospark.functions.dates import format_date
 from foliospark.functions.names import sanitise_name
 from foliospark.operators.chunks import ROW_WIDTH, last_known
 from foliospark.operators.values import FULL_PAGE, ValueSearch, digits_only, extract_values
-from foliospark.schemas import FILE_KEY
+from foliospark.schemas import FILE_KEY, with_known
 
 MANIFEST = [*FILE_KEY, "task", "action", "target_folder", "target_name", "detail"]
 DUPLICATE_FOLDER = "duplicate"
@@ -84,18 +84,19 @@ def date_prefix_action(files: DataFrame, value: Column, default_year: int | None
 def duplicate_action(files: DataFrame, identifier: Column) -> DataFrame:
     """Manifest columns that move repeated statements of a folder aside.
 
-    The first file by name stays.  One small aggregate finds it, and the join
-    back has one row per identifier on its right side, so a group that makes up
-    a large part of a folder is never gathered in one place.
+    The first file by name stays.  The files to keep come from one small
+    aggregate and are matched by file, not by identifier: however many copies
+    share an identifier, the work spreads evenly.
     """
-    known = files.withColumn("_identifier", identifier)
-    firsts = (
+    known = with_known(files, *FILE_KEY).withColumn("_identifier", identifier)
+    kept = (
         known.where(F.col("_identifier").isNotNull())
         .groupBy("folder", "_identifier")
-        .agg(F.min("file_name").alias("_first"))
+        .agg(F.min("file_name").alias("file_name"))
+        .select(*FILE_KEY, F.lit(True).alias("_kept"))
     )
-    checked = known.join(firsts, ["folder", "_identifier"], "left")
-    repeated = F.coalesce(F.col("file_name") > F.col("_first"), F.lit(False))
+    checked = known.join(kept, FILE_KEY, "left")
+    repeated = F.col("_identifier").isNotNull() & F.col("_kept").isNull()
     folder = F.concat_ws("/", "folder", F.lit(DUPLICATE_FOLDER))
     row = _manifest_row(
         repeated, "identify_and_move_duplicates", "move", folder, F.col("current_name"), F.col("_identifier")

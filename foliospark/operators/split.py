@@ -201,9 +201,12 @@ def assign_pages(pages: DataFrame, statements: DataFrame, bucket: int = 64) -> D
     and each page meets only the statements of its own bucket.
     """
     extra = [c for c in statements.columns if c not in FILE_KEY]
-    first = F.expr(f"start_page div {int(bucket)}L")
-    last = F.expr(f"end_page div {int(bucket)}L")
-    covered = statements.withColumn("_bucket", F.explode(F.sequence(first, last)))
+    first, last = F.expr(f"start_page div {int(bucket)}L"), F.expr(f"end_page div {int(bucket)}L")
+    # In two steps, so that no statement needs one huge array of buckets.
+    step = 65536
+    coarse = F.explode(F.sequence(F.floor(first / step), F.floor(last / step)))
+    low, high = F.greatest(first, F.col("_coarse") * step), F.least(last, F.col("_coarse") * step + step - 1)
+    covered = statements.withColumn("_coarse", coarse).withColumn("_bucket", F.explode(F.sequence(low, high)))
     placed = pages.withColumn("_bucket", F.expr(f"page_no div {int(bucket)}L"))
     return (
         placed.join(covered, [*FILE_KEY, "_bucket"])
@@ -232,8 +235,11 @@ def split_events(events: DataFrame, stype: StatementType, width: int = PAGE_WIDT
     else:
         assigned = pages_from_starts(events, width)
         statements = split_page_start(events, width)
-    started = F.max(F.col("start_id").isNotNull()).alias("_started")
-    manual = events.groupBy(*FILE_KEY).agg(started).where(~F.col("_started"))
+    # Asking for a page, not just a flag, reads the same columns as the
+    # assignments do, so both come from one pass.
+    last_start = F.max(F.when(F.col("start_id").isNotNull(), F.col("page_no"))).alias("_last_start")
+    known = with_known(events, *FILE_KEY, "page_no")
+    manual = known.groupBy(*FILE_KEY).agg(last_start).where(F.col("_last_start").isNull())
     pages = [*FILE_KEY, "page_no", "statement_id", "ordinal"]
     return SplitResult(
         events=events,
@@ -255,4 +261,4 @@ def split_documents(pages: DataFrame, stype: StatementType | None, width: int =
             *FILE_KEY, "page_no", F.lit(None).cast("string").alias("start_id"), F.lit(False).alias("closes")
         )
         return split_events(events, StatementType(name=""), width)
-    return split_events(page_events(pages, stype), stype, width)
+    return split_events(page_events(pages, stype, width), stype, width)

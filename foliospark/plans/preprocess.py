@@ -34,7 +34,7 @@ def preprocess(
     if stype is None:
         result = split.split_documents(pages, None, width)
     else:
-        result = split.split_events(settle(page_events(pages, stype)), stype, width)
+        result = split.split_events(settle(page_events(pages, stype, width)), stype, width)
     before = counts.pages_per_document(files, result.events)
     after = documents_after(result.assignments)
     return PreprocessResult(result, before, after, counts.reconcile(before, after))

@@ -17,6 +17,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", app_name: str = "fol
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Recording the source line of every Column takes longer than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

@@ -29,12 +29,14 @@ def stored_pages(spark, tmp_path):
 
 @pytest.mark.parametrize("rule", [fx.PAGE_RULE, fx.RANGE_RULE], ids=lambda r: r.name)
 def test_splitting_reads_the_text_once(stored_pages, rule):
-    events = page_events(stored_pages, rule)
-    plan = executed(split.split_events(events, rule, width=2).assignments)
+    plan = executed(split.split_documents(stored_pages, rule, width=2).assignments)
     scans = [line for line in plan.splitlines() if "FileScan" in line]
+    texts = [line for line in scans if re.search(r"ReadSchema: struct<.*\btext:string", line)]
     # One pass over all pages, and one over first pages only.
-    assert len(scans) == 2
-    assert sum("EqualTo(page_no,0)" in line for line in scans) == 1
+    assert len([line for line in texts if "ocr_text:string" in line]) == 1
+    assert all("EqualTo(page_no,0)" in line for line in texts if "ocr_text:string" not in line)
+    # The other scans look for later chunks and read no text at all.
+    assert all("GreaterThanOrEqual(page_no,2)" in line for line in scans if line not in texts)
     assert plan.count("ArrowEvalPython") == 1
 
 

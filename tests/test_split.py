@@ -160,7 +160,9 @@ def test_events_equal_the_step_by_step_operators(spark, rows):
         start = F.coalesce("start_id", F.when(F.col("phrase_matched"), F.col("page_no").cast("string")))
         closes = pt.statement_ends(F.col("page_text"), stype) & ~F.col("matched")
         want = steps.select("file_name", "page_no", start, closes)
-        assert rows(pt.page_events(pages, stype), "file_name", "page_no", "start_id", "closes") == rows(want)
+        for width in (2, 4096):
+            got = pt.page_events(pages, stype, width)
+            assert rows(got, "file_name", "page_no", "start_id", "closes") == rows(want)
 
 
 def test_phrase_is_literal_and_case_sensitive(spark):
