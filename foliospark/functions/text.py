@@ -80,4 +80,4 @@ def float_text(value: Column) -> Column:
         F.when(exponent == "4", F.concat(sign, F.lit("0.000"), F.replace(digits, F.lit("."), F.lit(""))))
         .otherwise(F.concat(sign, digits, F.lit("e-"), F.lpad(exponent, 2, "0")))
     )
-    return F.when(plain.rlike(r"E-\d+$"), spelled).otherwise(plain)
+    return F.when((F.abs(value) >= 1e-3) | (value == 0), plain).otherwise(spelled)

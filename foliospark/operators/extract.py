@@ -132,13 +132,28 @@ def attach_static(rows: DataFrame, static: DataFrame) -> DataFrame:
     return joined.select("folder", ROW_NO, *order)
 
 
-def _summary_pair(name: str) -> tuple[Column, Column]:
-    found = F.filter(
-        F.transform("documents", lambda d: F.try_element_at(d["fields"], F.lit(name))), lambda f: f.isNotNull()
-    )
-    texts = F.filter(F.transform(found, lambda f: F.coalesce(tx.null_if_empty(f["content"]), f["value"])), lambda t: t.isNotNull())
-    confidences = F.transform(found, lambda f: F.coalesce(tx.float_text(f["confidence"]), F.lit("N/A")))
-    return F.array_join(texts, " "), F.array_join(confidences, " ")
+def _with_summaries(results: DataFrame, names: list[str]) -> DataFrame:
+    """Per name, ``_text_<i>`` and ``_confidence_<i>`` joined over all documents.
+
+    The fields are looked up in one step and joined in the next, so that each
+    lookup runs once.
+    """
+
+    def lookup(name: str) -> Column:
+        fields = F.transform("documents", lambda d: F.try_element_at(d["fields"], F.lit(name)))
+        return F.filter(fields, lambda f: f.isNotNull())
+
+    def joined(i: int) -> list[Column]:
+        texts = F.filter(F.transform(f"_found_{i}", _field_text), lambda t: t.isNotNull())
+        confidences = F.transform(f"_found_{i}", lambda f: F.coalesce(tx.float_text(f["confidence"]), F.lit("N/A")))
+        return [
+            F.array_join(texts, " ").alias(f"_text_{i}"),
+            F.array_join(confidences, " ").alias(f"_confidence_{i}"),
+        ]
+
+    found = results.select("folder", "file_name", *[lookup(n).alias(f"_found_{i}") for i, n in enumerate(names)])
+    pairs = [column for i in range(len(names)) for column in joined(i)]
+    return found.select("folder", F.col("file_name").alias(SUMMARY_KEY), *pairs)
 
 
 def summary_fields(results: DataFrame, stype: StatementType, sign_mode: str = "default") -> DataFrame:
@@ -149,22 +164,21 @@ def summary_fields(results: DataFrame, stype: StatementType, sign_mode: str = "d
     stripped.
     """
     rows = []
-    for spec in stype.summary_fields:
-        text, confidence = _summary_pair(spec.name)
+    for i, spec in enumerate(stype.summary_fields):
+        text = F.col(f"_text_{i}")
         rows.append(
             F.struct(
                 F.lit(spec.name).alias("field_name"),
                 F.lit(spec.is_amount).alias("is_amount"),
                 (text if spec.is_amount else tx.strip(text)).alias("text"),
                 (amounts.amount_value(text, sign_mode) if spec.is_amount else F.lit(None).cast("double")).alias("amount"),
-                confidence.alias("confidence"),
+                F.col(f"_confidence_{i}").alias("confidence"),
             )
         )
     if not rows:
         raise ValueError(f"statement type {stype.name!r} has no summary fields")
-    return analysed(results).select(
-        "folder", F.col("file_name").alias(SUMMARY_KEY), F.inline(F.array(*rows))
-    )
+    found = _with_summaries(analysed(results), [f.name for f in stype.summary_fields])
+    return found.select("folder", SUMMARY_KEY, F.inline(F.array(*rows)))
 
 
 def summary_table(results: DataFrame, stype: StatementType, sign_mode: str = "default") -> DataFrame:
@@ -173,18 +187,18 @@ def summary_table(results: DataFrame, stype: StatementType, sign_mode: str = "de
     Amount fields have a numeric ``_Value`` and keep their source text in
     ``<F>_Text``.  A summary field called ``DocumentName`` gives way to the file name.
     """
+    specs = [f for f in stype.summary_fields if f.name != SUMMARY_KEY]
     columns = []
-    for spec in stype.summary_fields:
-        if spec.name == SUMMARY_KEY:
-            continue
-        text, confidence = _summary_pair(spec.name)
+    for i, spec in enumerate(specs):
+        text = F.col(f"_text_{i}")
         if spec.is_amount:
             columns.append(amounts.amount_value(text, sign_mode).alias(f"{spec.name}_Value"))
             columns.append(text.alias(f"{spec.name}_Text"))
         else:
             columns.append(tx.strip(text).alias(f"{spec.name}_Value"))
-        columns.append(confidence.alias(f"{spec.name}_Confidence"))
-    return analysed(results).select("folder", F.col("file_name").alias(SUMMARY_KEY), *columns)
+        columns.append(F.col(f"_confidence_{i}").alias(f"{spec.name}_Confidence"))
+    found = _with_summaries(analysed(results), [f.name for f in specs])
+    return found.select("folder", SUMMARY_KEY, *columns)
 
 
 def flatten_summary(long: DataFrame, stype: StatementType) -> DataFrame:

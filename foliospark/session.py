@@ -20,6 +20,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", app_name: str = "fol
         # Recording the source line of every Column takes longer than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Room for the generated code of many different queries in one session.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
 
