@@ -1,4 +1,5 @@
 import random
+from operator import itemgetter
 
 import pandas as pd
 import pytest
@@ -118,14 +119,13 @@ def test_raw_text(spark, rows):
 
 
 def rows_of(cells):
-    out, row, current = [], [], -1
-    for c in sorted(cells, key=lambda c: (c["row_index"], c["column_index"])):
-        if c["row_index"] > current:
-            if row:
-                out.append((current, row))
-            row, current = [], c["row_index"]
-        row.append(c["content"])
-    return out + ([(current, row)] if row else [])
+    """Row index and contents of every row, in stable column order."""
+    by_row = {}
+    for cell in cells:
+        by_row.setdefault(cell["row_index"], []).append(cell)
+    return [
+        (index, [c["content"] for c in sorted(row, key=itemgetter("column_index"))]) for index, row in by_row.items()
+    ]
 
 
 def test_table_rows_against_loop(spark):

@@ -8,7 +8,6 @@ from catalogue import fixtures as fx
 from catalogue.queries import QUERIES
 from foliospark import schemas
 from foliospark.operators import split
-from foliospark.operators.page_text import page_events
 from foliospark.plans.process import process_statements
 from foliospark.sources import readers
 
