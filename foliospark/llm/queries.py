@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe_tree, token_counts
+from foliospark.llm import bpe_tree, chat, mixing, token_counts
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,50 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, path, pattern, budget=512)
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+ORACLE["op4_mixing"] = mixing.SQL
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    done = chat.conversations(chat.linear_nodes(rows.unionByName(extra)))
+    turns, learned = chat.read_back(F.col("formatted")), chat.learned(F.col("formatted"), F.col("mask"))
+    return (
+        done.withColumn("turns", turns)
+        .withColumn("learned", learned)
+        .select(
+            F.col("tree_id").alias("conv_id"),
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+            F.char_length("learned").cast("long").alias("loss_chars"),
+            F.sha2("learned", 256).alias("loss_sha256"),
+            F.char_length("formatted").cast("long").alias("formatted_chars"),
+        )
+    )
+
+
+ORACLE["op8_chat"] = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, role AS r, text AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok', 'user', '' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok', 'assistant', ''
+), lengths AS (
+  SELECT *, len(replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\t'), ': ', '\c'))
+    + len(replace(replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\t'), ': ', '\c')) + 4 + 2 + 9 AS n FROM rows
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
