@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe_tree, chat, mixing, token_counts
+from foliospark.llm import bpe_tree, chat, mixing, signature_join, token_counts
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(function):
     return function
 
 
+@query
+def op1_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 @query
 def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
