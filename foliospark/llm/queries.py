@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe_tree, chat, mixing, signature_join, token_counts
+from foliospark.llm import bpe_tree, chat, mixing, signature_join, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,27 @@ SELECT conv_id, count(*) AS n_turns,
   sum(n)::BIGINT AS formatted_chars
 FROM lengths GROUP BY conv_id
 """
+
+
+@query
+def op7_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.stable_projection_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.mtree_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLE["op10_mtree"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
