@@ -1,13 +1,71 @@
-"""Documents to a tokenised training mix: the stages, in order."""
+"""Documents to a tokenised training mix.
+
+Five stages, each over all that the one before kept: language identification,
+quality classification, near-duplicate removal, mixing to target weights, and
+byte-level BPE encoding, which checks that decoding gives each text back.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from foliospark.llm import bigru, bpe_tree, importance, mixing, signature_join
+from foliospark.llm.common import stored, table
+
+#: A language's mean probability below which a document counts as unrecognised.
+LEAST_SCORE = 0.4
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a recognised language stay; null texts and texts without letters go."""
+    docs = docs.select(COLUMNS)
+    known = bigru.identify(docs, bigru.train(table(spark, sf_dir, "documents")))
+    return known.where((F.col("lang_pred") != bigru.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance sample takes stay."""
+    docs = docs.select(COLUMNS)
+    model = importance.fit(docs, table(spark, sf_dir, "labels"))
+    return importance.resample(docs, model).where("keep").select(COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that share 0.8 of their five-word shingles, the one with the smallest id stays.
+
+    Rows of one id and text are one document, of which one row stays; rows
+    without an id are kept.
+    """
+    docs = docs.select(COLUMNS)
+    groups = signature_join.jaccard_components(docs, width=5, num=80, den=100)
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's weight asks for."""
+    return mixing.emit(mixing.mix(docs.select(COLUMNS))).select(COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and whether they decode to its text."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = bpe_tree.decode_ids(bpe_tree.encode_texts(docs.select(COLUMNS), path, pattern), path, pattern)
+    return both.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+
+
+STAGES = [("language_id", languages), ("quality_classifier", quality), ("ngram_jaccard_join", near_duplicates), ("mixing", mix), ("bpe", encode)]
+
+#: The models of the first stages can't be expressed in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; between two of them documents are written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

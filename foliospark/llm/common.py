@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -36,3 +38,15 @@ def settled(df: DataFrame) -> DataFrame:
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """A settled table with the broadcast hint if it has at most so many rows, else without it."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write as Parquet into the folder that all executors share, and read it back.
+
+    A folder of this machine serves only where the session names none, as in tests.
+    """
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

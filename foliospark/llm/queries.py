@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bpe_tree, chat, mixing, signature_join, token_counts, vector_search
+from foliospark.llm import bigru, bpe_tree, chat, importance, mixing, signature_join, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,11 +92,25 @@ FROM lengths GROUP BY conv_id
 """
 
 
+@query
+def op6_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = bigru.identify(docs.select("doc_id", "text"), bigru.train(docs))
+    return found.select("doc_id", bigru.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.stable_projection_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = importance.fit(docs, table(spark, sf_dir, "labels"))
+    return importance.resample(docs, model).select("doc_id", "log_weight", "sample_key", "keep")
+
+
 @query
 def op10_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.mtree_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
