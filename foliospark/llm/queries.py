@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bigru, bpe_tree, chat, importance, mixing, signature_join, token_counts, vector_search
+from foliospark.llm import bigru, bpe_tree, chat, importance, mixing, signature_join, text_density, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, path, pattern, budget=512)
 
 
+@query
+def op3_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_density.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
