@@ -44,8 +44,9 @@ class Hasher:
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
-        for t in set(tokens) - known.keys():
-            known[t] = zlib.crc32(t.encode())
+        for t in tokens:
+            if t not in known:
+                known[t] = zlib.crc32(t.encode())
         one = np.array([known[t] for t in tokens], np.uint64)
         pair = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)
         return np.concatenate([one % np.uint64(BUCKETS), pair % np.uint64(BUCKETS) + np.uint64(BUCKETS)]).astype(np.int64)

@@ -52,8 +52,9 @@ class Shingler:
         known = self.known
         if len(known) >= REMEMBERED:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in words:
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.array([known[w] for w in words], np.uint64)
 
     def tokens(self, text: str | None) -> np.ndarray:
