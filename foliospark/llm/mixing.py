@@ -65,21 +65,21 @@ def mix(docs: DataFrame, limit: int = 3, seed: str = "mix") -> DataFrame:
     Columns of the added names are replaced; an empty table stays empty. Rows
     are not moved: the table of sources is broadcast after its rows are counted.
     """
-    docs = docs.drop("size", "source_size", "target", "copies")
+    docs = docs.drop("size", "source_size", "target", "copies", "_mix_source", "_mix_rate")
     sized = docs.withColumn("size", words(F.col("text")))
     sums = settled(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), limit))
-    per_source = broadcast_if_small(sums, BROADCAST_SOURCES).withColumnRenamed("source", "_source").withColumnRenamed("rate", "_rate")
+    per_source = broadcast_if_small(sums, BROADCAST_SOURCES).withColumnRenamed("source", "_mix_source").withColumnRenamed("rate", "_mix_rate")
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    whole = F.floor("_rate")
-    extra = (coin(key, seed) < F.col("_rate") - whole).cast("long")
-    joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.withColumn("copies", whole + extra).drop("_source", "_rate")
+    whole = F.floor("_mix_rate")
+    extra = (coin(key, seed) < F.col("_mix_rate") - whole).cast("long")
+    joined = sized.join(per_source, F.col("source").eqNullSafe(F.col("_mix_source")))
+    return joined.withColumn("copies", whole + extra).drop("_mix_source", "_mix_rate")
 
 
 def emit(mixed: DataFrame) -> DataFrame:
     """Each document as often as the mix takes it."""
-    repeated = mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return repeated.drop("_copy", "size", "source_size", "target", "copies")
+    repeated = mixed.where("copies > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.drop("_mix_copy", "size", "source_size", "target", "copies")
 
 
 SQL = """
