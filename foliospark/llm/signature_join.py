@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import settled
+from foliospark.llm.common import sample_by_id, settled
 from foliospark.llm.components import connected
 
 #: Sets that one task joins with as many others; larger families are dealt out as pairs of blocks.
@@ -30,6 +30,8 @@ BLOCK = 4096
 #: Keys that a task combines before it hands them on.
 COMBINE = 1 << 21
 LEAF, FANOUT = 16, 8
+#: Documents of the sample in which tokens are counted for their order.
+SAMPLE = 8192
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -79,11 +81,14 @@ class Bands:
     smallest ones, and the parts are 2 * spare more. The number of parts belongs
     to a band of sizes; sets near a band's end have keys of the next one too.
     Where parts would hold too few tokens (low thresholds), the keys are the
-    first tokens by digest instead: sets of n tokens share one of their first
-    n - ceil(n * num / den) + 1.
+    first tokens in an order of all tokens instead: sets of n tokens share one
+    of their first n - ceil(n * num / den) + 1. Any order will do; this one has
+    the tokens last that are frequent in a sample, most frequent last of all, so
+    that passages which many documents share don't bring those together.
     """
 
-    def __init__(self, num: int, den: int):
+    def __init__(self, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None):
+        self.frequent, self.classes = frequent or (np.empty(0, np.uint64), np.empty(0, np.int8))
         if not 0.7 * den <= num <= den:
             raise ValueError("similarities from 0.7 to 1")
         self.num, self.den = num, den
@@ -114,6 +119,10 @@ class Bands:
         if n == 0:
             return np.empty(0, np.uint64)
         if self.by_prefix:
+            if len(self.frequent):
+                at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
+                rank = np.where(self.frequent[at] == tokens, self.classes[at], 0)
+                tokens = tokens[np.argsort(rank, kind="stable")]
             return tokens[: n - -(-n * self.num // self.den) + 1]
         largest = n * self.den // self.num
         band = self._band(n)
@@ -241,7 +250,19 @@ def set_sizes(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(size, _INFO)
 
 
-def shared_keys(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens that at least three of about SAMPLE documents have, and the logarithm of how many: at most a few MB.
+
+    They only fix the order in which tokens become keys. Links never depend on it.
+    """
+    tokens = Shingler(width).tokens
+    found = [tokens(t) for t in sample_by_id(docs, "doc_id", SAMPLE).toArrow().column("text").to_pylist()]
+    token, count = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+    often = count >= 3
+    return token[often], np.log2(count[often]).astype(np.int8)
+
+
+def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """Rows (key, doc_id) of the join keys.
 
     A task hands on each key once: documents in it that share a key are tied by
@@ -263,7 +284,7 @@ def shared_keys(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc)], ["key", "doc_id"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands = Shingler(width), Bands(num, den)
+        shingler, bands = Shingler(width), Bands(num, den, frequent)
         keys, ids, held = [], [], 0
         for batch in batches:
             for part in slices(batch):
@@ -343,7 +364,8 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     docs = docs.select(*_columns(text, doc_id))
     info = settled(set_sizes(docs, width))
     first = F.min("doc_id").over(Window.partitionBy("key"))
-    edges = shared_keys(docs, width, num, den).select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b").distinct()
+    frequent = frequent_tokens(docs, width) if Bands(num, den).by_prefix else None
+    edges = shared_keys(docs, width, num, den, frequent).select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b").distinct()
     families = connected(settled(edges)).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     member = settled(info.join(families, "doc_id"))
     firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative")))
