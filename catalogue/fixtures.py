@@ -64,9 +64,17 @@ STATEMENT_EXAMPLE = "Statement no. 12"
 DATE_EXAMPLE = "12 NOV 2023"
 
 
-# Names a folder that already holds the derived inputs; the benchmark sets it,
-# to time the engine and not the derivation.
-PREPARED_SETTING = "foliospark.prepared"
+class Prepared(str):
+    """A data folder together with one that holds the derived inputs, so that a benchmark can time the engine alone."""
+
+    derived: str
+
+    def __new__(cls, sf_dir: str, derived: str):
+        self = super().__new__(cls, sf_dir)
+        self.derived = derived
+        return self
+
+
 DERIVED = {}
 
 
@@ -75,34 +83,26 @@ def derived(function):
 
     @wraps(function)
     def read_or_derive(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = spark.conf.get(PREPARED_SETTING, None)
-        return spark.read.parquet(f"{folder}/{function.__name__}") if folder else function(spark, sf_dir)
+        if isinstance(sf_dir, Prepared):
+            return spark.read.parquet(f"{sf_dir.derived}/{function.__name__}")
+        return function(spark, sf_dir)
 
     DERIVED[function.__name__] = function
     return read_or_derive
 
 
-def prepare(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Derive all inputs once and let later queries of this session read them."""
+def prepare(spark: SparkSession, sf_dir: str, folder: str) -> Prepared:
+    """Derive all inputs once, for queries that are given the result as their data folder."""
+    cores = spark.sparkContext.defaultParallelism
     for name, function in DERIVED.items():
-        function(spark, sf_dir).write.parquet(f"{folder}/{name}")
-    spark.conf.set(PREPARED_SETTING, folder)
+        function(spark, sf_dir).repartition(cores).write.parquet(f"{folder}/{name}")
+    return Prepared(sf_dir, folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a table is so small that it is read by fewer tasks.
-
-    On large tables, which have more splits than the cluster has cores, this
-    does nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Pages: a file is a conversation, a page is a turn.
 PAGES_SQL = """
 SELECT folder, file_name, page_no,
@@ -132,7 +132,7 @@ FROM (
 
 @derived
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(PAGES_SQL, conversations=spread(table(spark, sf_dir, "conversations")))
+    return spark.sql(PAGES_SQL, conversations=table(spark, sf_dir, "conversations"))
 
 
 # Transactions: a file is a user, a row is an event.
@@ -208,7 +208,7 @@ FROM {{lines}}
 
 @derived
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     lines = documents.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_idx", "line"))
     return spark.sql(SPANS_SQL, lines=lines)
 
@@ -320,7 +320,7 @@ def analysis_results(lineitem: DataFrame) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem").select(*RESULT_COLUMNS))
+    return table(spark, sf_dir, "lineitem").select(*RESULT_COLUMNS)
 
 
 @derived
@@ -332,7 +332,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
 @derived
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Results that hold the lines of every document, 40 to a page."""
-    documents = spread(table(spark, sf_dir, "documents")).withColumn("_lines", F.split("text", "\n"))
+    documents = table(spark, sf_dir, "documents").withColumn("_lines", F.split("text", "\n"))
     last_page = f"(size(_lines) - 1) div {LINES_PER_PAGE}"
     pages_of = (
         f"transform(sequence(0, CAST({last_page} AS INT)), p -> named_struct('page_no', p, 'lines', "

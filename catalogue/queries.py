@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,15 +36,22 @@ def query(function: Query) -> Query:
 # Sources
 
 
-@query
-def file_inventory(spark, sf_dir):
-    found = readers.read_file_inventory(spark, sf_dir, ignore_case=True, suffix="PARQUET")
-    return found.select("file_name", "stem", "length")
+def stored(df, kind, fmt="parquet"):
+    """Written to the folder that all executors share, and its path; to a folder of this machine in tests on it."""
+    spark = df.sparkSession
+    base = shared_folder(spark)
+    if base is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{(base or tempfile.mkdtemp(prefix='run-', dir='/tmp')).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(path)
+    return path
 
 
 @query
 def page_table(spark, sf_dir):
-    pages = fx.pages(spark, sf_dir)
+    """Pages written and read back by the page reader, which fills in a missing folder."""
+    written = fx.pages(spark, sf_dir)
+    pages = readers.read_pages(spark, stored(written, "page_table"))
     return pages.select("folder", "file_name", "page_no", "text", "ocr_text", "footer_text", "footer_ocr_text")
 
 
@@ -514,8 +522,9 @@ def process_incremental(spark, sf_dir):
     """Line items read as a stream of results, extracted with a checkpoint."""
     base = tempfile.mkdtemp(prefix="run-", dir="/tmp") if shared_folder(spark) is None else None
     if base is None:
-        run = spark.sql("SELECT uuid()").first()[0]
-        base = os.path.join(shared_folder(spark), f"process_incremental-{run}")
+        base = os.path.join(shared_folder(spark), f"process_incremental-{uuid.uuid4().hex}")
+    elif not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     schema = fx.table(spark, sf_dir, "lineitem").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
     results = fx.analysis_results(stream).drop("l_returnflag")

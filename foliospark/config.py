@@ -34,6 +34,10 @@ class FieldSpec:
         )
 
 
+#: Columns that tables of transactions always have.
+ENGINE_COLUMNS = {"folder", "row_no"}
+
+
 @dataclass(frozen=True)
 class StatementType:
     name: str
@@ -46,6 +50,13 @@ class StatementType:
     static_fields: tuple[FieldSpec, ...] = field(default=())
     dynamic_fields: tuple[FieldSpec, ...] = field(default=())
 
+    def __post_init__(self) -> None:
+        taken = sorted({f.name for f in (*self.static_fields, *self.dynamic_fields)} & ENGINE_COLUMNS)
+        if taken:
+            raise ValueError(f"statement type {self.name!r}: field names used by the engine itself: {', '.join(taken)}")
+        if self.start_pattern:
+            re.compile(self.start_pattern)  # fails here, not in a task
+
     @classmethod
     def from_dict(cls, raw: dict[str, Any]) -> StatementType:
         def specs(key: str) -> tuple[FieldSpec, ...]:

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_AMOUNT = r"[-+]?[\d,]*\.?\d+"
+# Fixed value: what counts as an amount in a text; digits of all scripts.
+_AMOUNT = r"(?U)[-+]?[\d,]*\.?\d+"
+#: Decimal digits of all scripts, and what each means.
+_DIGITS = {chr(c): str(unicodedata.digit(chr(c))) for c in range(128, sys.maxunicode) if unicodedata.category(chr(c)) == "Nd"}
 _NUMBER = r"^\s*[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:inf(inity)?))\s*$"
 
 
@@ -23,7 +29,9 @@ def amount_value(text: Column, sign_mode: str = "default") -> Column:
     """
     if sign_mode not in ("default", "corrected"):
         raise ValueError(f"unknown sign_mode {sign_mode!r}")
-    number = F.replace(_number_text(text), F.lit(","), F.lit("")).try_cast("double")
+    found = F.replace(_number_text(text), F.lit(","), F.lit(""))
+    plain = F.translate(found, "".join(_DIGITS), "".join(_DIGITS.values()))
+    number = F.when(found.rlike(r"[^\x00-\x7F]"), plain).otherwise(found).try_cast("double")
     if sign_mode == "corrected":
         number = F.abs(number)
     return number * F.when(text.contains("-"), F.lit(-1.0)).otherwise(F.lit(1.0))

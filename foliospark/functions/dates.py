@@ -31,6 +31,20 @@ def _month_number(name: Column) -> Column:
     return F.array_position(initials, F.lower(F.substring(name, 1, 3))).cast("int")
 
 
+# The names of weekdays that may stand before a date.
+_WEEKDAYS = "monday|mon|tuesday|tues|tue|wednesday|wed|thursday|thurs|thur|thu|friday|fri|saturday|sat|sunday|sun"
+_TIME = r"(?i)(?:[T\s,]+(?:at\s+)?)\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+
+
+def _plain_date(text: Column) -> Column:
+    """The date without weekday, time, ordinal endings and ``of``; six digits as day, month and year."""
+    text = F.regexp_replace(F.trim(text), _TIME, "")
+    text = F.regexp_replace(text, rf"(?i)^(?:{_WEEKDAYS})\b[\s.,]*|[\s.,]+(?:{_WEEKDAYS})$", "")
+    text = F.regexp_replace(text, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1")
+    text = F.regexp_replace(text, r"(?i)(?<=\d)\s+of\s+", " ")
+    return F.trim(F.regexp_replace(text, r"^(\d{2})(\d{2})(\d{2})$", "$1-$2-$3"))
+
+
 def parse_date(text: Column, default_year: int | None = None, pivot_year: int = 2025) -> Column:
     """Date meant by a text; null when it cannot be told.
 
@@ -39,7 +53,7 @@ def parse_date(text: Column, default_year: int | None = None, pivot_year: int =
     ones within 50 years of ``pivot_year``.  A date without a year needs
     ``default_year``: nothing is ever taken from today's date.
     """
-    text = F.trim(text)
+    text = _plain_date(text)
     year, month, day = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(None).cast("int")
 
     def number(pattern: str, group: int) -> Column:

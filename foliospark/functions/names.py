@@ -30,3 +30,8 @@ def document_name(file_stem: Column, ordinal: Column) -> Column:
 
 def statement_name(file_stem: Column, statement_id: Column) -> Column:
     return F.concat(file_stem, F.lit("_statement_"), statement_id, F.lit(".pdf"))
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,8 +32,15 @@ def collapse_spaces(text: Column) -> Column:
 
 
 def search_pattern(pattern: str) -> str:
-    """A configured pattern as a Java regex: any case, Unicode classes."""
-    return "(?iU)" + pattern.replace("(?P<", "(?<")
+    """A configured pattern as a Java regex: any case, Unicode classes.
+
+    Named groups and references to them are turned into numbered ones, since
+    Java's names are narrower.  A pattern that is no valid regex is refused here.
+    """
+    numbers = re.compile(pattern).groupindex
+    pattern = re.sub(r"\(\?P<\w+>", "(", pattern)
+    pattern = re.sub(r"\(\?P=(\w+)\)", lambda m: f"(?:\\{numbers[m[1]]})", pattern)
+    return "(?iU)" + pattern
 
 
 def _nfkc_udf():

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.schemas import FILE_KEY
+from foliospark.schemas import FILE_KEY, with_known
 
 
 def pages_per_document(files: DataFrame, pages: DataFrame) -> DataFrame:
     """Pages of every file; a file without readable pages counts 0."""
-    counted = pages.groupBy(*FILE_KEY).agg(F.count("*").alias("total_pages"))
+    counted = with_known(pages, *FILE_KEY).groupBy(*FILE_KEY).agg(F.count("*").alias("total_pages"))
     return (
-        files.select(*FILE_KEY)
+        with_known(files.select(*FILE_KEY), *FILE_KEY)
         .join(counted, FILE_KEY, "left")
         .select(*FILE_KEY, F.coalesce("total_pages", F.lit(0)).cast("long").alias("total_pages"))
     )

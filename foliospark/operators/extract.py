@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from foliospark.config import StatementType
 from foliospark.functions import amounts
+from foliospark.functions.names import quoted
 from foliospark.functions import text as tx
 from foliospark.schemas import FILE_KEY
 
@@ -124,12 +125,17 @@ def transactions_with_static(results: DataFrame, stype: StatementType, sign_mode
 
 
 def attach_static(rows: DataFrame, static: DataFrame) -> DataFrame:
-    """Join form of :func:`transactions_with_static` for two separate tables."""
+    """Join form of :func:`transactions_with_static` for two separate tables.
+
+    Every transaction stays; one whose file has no static row has nulls there.
+    """
     key = ["folder", STATIC_KEY]
     clash = [c for c in static.columns if c in rows.columns and c not in key]
-    joined = rows.join(static.drop(*clash), key)
+    keyed = static.drop(*clash).withColumnsRenamed({c: f"_of_{c}" for c in key})
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in key]
+    joined = rows.join(keyed, same[0] & same[1], "left")
     order = _merged([c for c in static.columns if c != "folder"], [c for c in rows.columns if c not in ("folder", ROW_NO)])
-    return joined.select("folder", ROW_NO, *order)
+    return joined.select("folder", ROW_NO, *map(quoted, order))
 
 
 def _with_summaries(results: DataFrame, names: list[str]) -> DataFrame:
@@ -220,7 +226,7 @@ def coerce_amounts(rows: DataFrame, stype: StatementType) -> DataFrame:
     """Amount columns as doubles; text that is not a number becomes null."""
     types = dict(rows.dtypes)
     replaced = {
-        name: amounts.to_number(F.col(name)) for name in stype.amount_columns if types.get(name) == "string"
+        name: amounts.to_number(quoted(name)) for name in stype.amount_columns if types.get(name) == "string"
     }
     return rows.withColumns(replaced) if replaced else rows
 

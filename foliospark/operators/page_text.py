@@ -32,7 +32,7 @@ def machine_readable_files(pages: DataFrame) -> DataFrame:
 
 def flag_machine_readable(pages: DataFrame) -> DataFrame:
     """Add ``machine_readable``; a file without a first page counts as scanned."""
-    flagged = pages.join(machine_readable_files(pages), FILE_KEY, "left")
+    flagged = with_known(pages, *FILE_KEY).join(machine_readable_files(pages), FILE_KEY, "left")
     return flagged.withColumn("machine_readable", F.coalesce("machine_readable", F.lit(False)))
 
 
@@ -54,7 +54,8 @@ def footer_text(spans: DataFrame) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct("block_no", "line_no", "span_no", "text")))
     joined = F.array_join(F.transform(parts, lambda p: p["text"]), " ")
     return (
-        spans.where(in_strip)
+        with_known(spans, *FILE_KEY)
+        .where(in_strip)
         .groupBy(*FILE_KEY, "page_no")
         .agg(tx.null_if_empty(tx.strip(joined)).alias("footer_text"))
         .where(F.col("footer_text").isNotNull())
@@ -63,7 +64,8 @@ def footer_text(spans: DataFrame) -> DataFrame:
 
 def attach_footers(pages: DataFrame, footers: DataFrame) -> DataFrame:
     """Put ``footer_text`` rows next to their pages."""
-    return pages.drop("footer_text").join(footers, [*FILE_KEY, "page_no"], "left")
+    keyed = with_known(pages.drop("footer_text"), *FILE_KEY)
+    return keyed.join(with_known(footers, *FILE_KEY), [*FILE_KEY, "page_no"], "left")
 
 
 def start_match(page: Column, footer: Column, footer_ocr: Column, stype: StatementType) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ class SplitResult:
     events: DataFrame  # one small row per page
     statements: DataFrame  # one row per output document, with its name
     assignments: DataFrame  # one row per page that belongs to a document
-    manual: DataFrame  # files without any start
+    manual: DataFrame  # files without any start, or without any numbered page
 
 
 def pages_from_starts(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
@@ -218,9 +218,9 @@ def assign_pages(pages: DataFrame, statements: DataFrame, bucket: int = 64) -> D
 def route_manual(files: DataFrame, statements: DataFrame | None) -> DataFrame:
     """Files that have to be split by hand: no start was found, or
     (``statements=None``) the statement type is unknown."""
-    wanted = files.select(*FILE_KEY).distinct()
+    wanted = with_known(files.select(*FILE_KEY), *FILE_KEY).distinct()
     if statements is not None:
-        wanted = wanted.join(statements.select(*FILE_KEY).distinct(), FILE_KEY, "left_anti")
+        wanted = wanted.join(with_known(statements.select(*FILE_KEY), *FILE_KEY).distinct(), FILE_KEY, "left_anti")
     return wanted.select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem"))
 
 
@@ -257,8 +257,17 @@ def split_documents(pages: DataFrame, stype: StatementType | None, width: int =
     once and call :func:`split_events` on it.
     """
     if stype is None:
-        events = pages.select(
+        keyed = with_known(pages, *FILE_KEY)
+        events = keyed.select(
             *FILE_KEY, "page_no", F.lit(None).cast("string").alias("start_id"), F.lit(False).alias("closes")
         )
-        return split_events(events, StatementType(name=""), width)
-    return split_events(page_events(pages, stype, width), stype, width)
+        result = split_events(events, StatementType(name=""), width)
+    else:
+        result = split_events(page_events(pages, stype, width), stype, width)
+    return replace(result, manual=result.manual.unionByName(unnumbered_files(pages)))
+
+
+def unnumbered_files(pages: DataFrame) -> DataFrame:
+    """Files none of whose pages has a number: they can't be split, so they belong to the manual list."""
+    counted = with_known(pages.select(*FILE_KEY, "page_no"), *FILE_KEY).groupBy(*FILE_KEY).agg(F.count("page_no").alias("_pages"))
+    return counted.where(F.col("_pages") == 0).select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem"))

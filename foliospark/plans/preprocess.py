@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +29,16 @@ def preprocess(
     """Statements, page assignments, manual list and counts of one batch.
 
     The page events are materialised once: they are a few bytes per page, and
-    all results are computed from them without touching the text again.
+    all results are computed from them without touching the text again.  Files
+    of ``files`` without a statement, or without pages, are on the manual list.
     """
     if stype is None:
         result = split.split_documents(pages, None, width)
     else:
         result = split.split_events(settle(page_events(pages, stype, width)), stype, width)
+        result = replace(result, manual=result.manual.unionByName(split.unnumbered_files(pages)))
+    named = files.select(*FILE_KEY).unionByName(result.manual.select(*FILE_KEY))
+    result = replace(result, manual=split.route_manual(named, result.statements))
     before = counts.pages_per_document(files, result.events)
     after = documents_after(result.assignments)
     return PreprocessResult(result, before, after, counts.reconcile(before, after))

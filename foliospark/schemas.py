@@ -9,14 +9,18 @@ FILE_KEY = ["folder", "file_name"]
 
 
 def with_known(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows in which none of the columns is null.
+    """File keys filled in, so that no row goes; of other columns, rows that have them.
 
-    Joins on a column make Spark add this filter to one side.  Having it on
-    both from the start keeps the two sides the same below their shuffle, so
-    that Spark runs that part once and reuses it.
+    Joins on a column make Spark filter nulls out on one side.  Having no nulls
+    on both sides from the start keeps the two the same below their shuffle, so
+    that Spark runs that part once and reuses it.  A file without a folder or
+    a name has an empty one.
     """
+    keys = [column for column in columns if column in FILE_KEY]
+    df = df.withColumns({key: F.coalesce(F.col(key), F.lit("")) for key in keys}) if keys else df
     for column in columns:
-        df = df.where(F.col(column).isNotNull())
+        if column not in FILE_KEY:
+            df = df.where(F.col(column).isNotNull())
     return df
 
 
