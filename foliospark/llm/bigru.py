@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import slices
+from foliospark.llm.common import sample_by_id
 
-#: Documents the network is trained on at most; bytes of a window; windows read at a time.
+#: Documents the network is trained on, about; bytes of a window; windows read at a time.
 SAMPLE, WINDOW, TOGETHER = 2000, 64, 4096
 UNKNOWN = "und"
 
@@ -174,11 +175,11 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, documents: int = SAMPLE) -> BiGru | None:
     """A network for the languages of the ``lang`` column, or None if there are none.
 
-    Learns from whole texts of at most so many documents that have a language
-    and an id and aren't held out, the first by digest of the id.
+    Learns from whole texts of about so many documents that have a language
+    and an id and aren't held out, chosen by digest of the id.
     """
     usable = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") > 0))
-    rows = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", F.md5("text")).limit(documents).select("text", "lang").toArrow().to_pylist()
+    rows = sorted(sample_by_id(usable, "doc_id", documents).select("text", "lang").toArrow().to_pylist(), key=lambda r: (r["text"], r["lang"]))
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

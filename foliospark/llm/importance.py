@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import settled
+from foliospark.llm.common import sample_by_id, settled
 from foliospark.llm.mixing import coin
 
 #: Labelled documents the target model and the cut are fitted to at most.
@@ -155,12 +155,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits both models, the cut and the sample's size.
 
     The raw model is that of all rows of ``docs``. The target model, and the cut
-    between good and other documents, come from at most LABELLED labelled rows,
-    the first by digest. The sample's size k is the number of rows above the cut.
+    between good and other documents, come from about LABELLED labelled rows,
+    chosen by digest of the id. The sample's size k is the number of rows above the cut.
     Without usable labels everything is kept.
     """
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min((F.col("quality") == 1) & ~(F.coalesce("toxic", F.lit(0)) == 1))).alias("good"))
-    chosen = settled(marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED))
+    chosen = settled(sample_by_id(marks, "doc_id", LABELLED))
     marked = settled(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     raw = ngram_counts(docs)
     ratios = log_ratios(ngram_counts(marked.where("good")), raw)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import settled
+from foliospark.llm.common import sample_by_id, settled
 
 #: Rows of the sample that the top level is fitted to; cells it has at most; rows of a cell and of a block; queries at a time.
 SAMPLE, MOST_CELLS, BLOCK, BATCH = 8192, 2048, 4096, 1024
@@ -374,7 +374,7 @@ def _search(rows: DataFrame, is_query: Column, k: int, make: Callable[[Space, in
     if not facts["n"]:
         return nothing
     method = make(Space(facts["most"]), facts["size"])
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
+    sample = sample_by_id(rows, "vec_id", SAMPLE).orderBy("vec_id", "v").select("v").toArrow()
     method.fit_top(_matrix(sample.column("v")), min(MOST_CELLS, max(1, math.ceil(facts["n"] / BLOCK))))
     cells = settled(_located(rows, method))
     known = cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("away").alias("radius")).collect()
