@@ -87,12 +87,12 @@ class Bands:
     that passages which many documents share don't bring those together.
     """
 
-    def __init__(self, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None):
+    def __init__(self, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False):
         self.frequent, self.classes = frequent or (np.empty(0, np.uint64), np.empty(0, np.int8))
         if not 0.7 * den <= num <= den:
             raise ValueError("similarities from 0.7 to 1")
         self.num, self.den = num, den
-        self.by_prefix = (den - num) / (den + num) * 3 > 0.2
+        self.by_prefix = (den - num) / (den + num) * 3 > 0.2 and not parts
         self.starts = [1]
 
     def _band(self, n: int) -> int:
@@ -255,15 +255,24 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
 
     They only fix the order in which tokens become keys. Links never depend on it.
     """
-    tokens = Shingler(width).tokens
-    found = [tokens(t) for t in sample_by_id(docs, "doc_id", SAMPLE).toArrow().column("text").to_pylist()]
-    token, count = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
-    often = count >= 3
-    return token[often], np.log2(count[often]).astype(np.int8)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Shingler(width).tokens
+        for batch in batches:
+            for part in slices(batch):
+                found = [tokens(t) for t in part.column("text").to_pylist()]
+                token, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
 
-def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """Rows (key, doc_id) of the join keys.
+    counts = sample_by_id(docs, "doc_id", SAMPLE).select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    often = counts.where(F.col("n") >= 3).toArrow()
+    token, n = np.asarray(often.column("token")).view(np.uint64), np.asarray(often.column("n"))
+    order = np.argsort(token)
+    return token[order], np.log2(n[order]).astype(np.int8)
+
+
+def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
+    """Rows (key, doc_id) of the join keys; with ``parts`` always by parts, and of each family (a column) by itself.
 
     A task hands on each key once: documents in it that share a key are tied by
     a key of their own instead. So a key has a row for each task, not for each
@@ -284,14 +293,15 @@ def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc)], ["key", "doc_id"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands = Shingler(width), Bands(num, den, frequent)
+        shingler, bands = Shingler(width), Bands(num, den, frequent, parts)
         keys, ids, held = [], [], 0
         for batch in batches:
             for part in slices(batch):
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                family = part.column("family").to_pylist() if parts else [0] * part.num_rows
+                for doc, text, own in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), family):
                     found = bands.keys(shingler.tokens(text)) if doc is not None else ()
                     if len(found):
-                        keys.append(found)
+                        keys.append(mixed(found ^ np.uint64(own & 0xFFFFFFFFFFFFFFFF)) if parts else found)
                         ids.append(doc)
                         held += len(found)
                 if held >= COMBINE:
@@ -348,6 +358,29 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
+def _families(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """doc_id and family of the documents that share keys with others; similar ones are always of one family.
+
+    Chains of shared passages can make a family of first tokens large. Whole
+    parts are shared by chance much more rarely, but are more keys, so families
+    of more than BLOCK documents are divided by those.
+    """
+
+    def tied(rows: DataFrame) -> DataFrame:
+        first = F.min("doc_id").over(Window.partitionBy("key"))
+        edges = rows.select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b").distinct()
+        return connected(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+
+    if not Bands(num, den).by_prefix:
+        return tied(shared_keys(docs, width, num, den))
+    families = tied(shared_keys(docs, width, num, den, frequent_tokens(docs, width)))
+    large = settled(families.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("family"))
+    if large.isEmpty():
+        return families
+    within = docs.join(families.join(large, "family", "left_semi"), "doc_id")
+    return families.join(large, "family", "left_anti").select("doc_id", "family").unionByName(tied(shared_keys(within, width, num, den, parts=True)))
+
+
 def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text: str = "text", doc_id: str = "doc_id", spanning: bool = True) -> tuple[DataFrame, DataFrame]:
     """Classes of equal sets, and the links between them.
 
@@ -363,10 +396,7 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     """
     docs = docs.select(*_columns(text, doc_id))
     info = settled(set_sizes(docs, width))
-    first = F.min("doc_id").over(Window.partitionBy("key"))
-    frequent = frequent_tokens(docs, width) if Bands(num, den).by_prefix else None
-    edges = shared_keys(docs, width, num, den, frequent).select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b").distinct()
-    families = connected(settled(edges)).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    families = _families(docs, width, num, den)
     member = settled(info.join(families, "doc_id"))
     firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative")))
     sizes = firsts.groupBy("family").agg(F.count("*").alias("n")).where("n > 1")
