@@ -61,7 +61,8 @@ def paths(nodes: DataFrame) -> DataFrame:
     known = ids.select(F.col("tree_id").alias("_tree"), F.col("node_id").alias("_node"))
     up = ids.where("parent_id IS NOT NULL").join(known, F.col("tree_id").eqNullSafe(F.col("_tree")) & (F.col("parent_id") == F.col("_node")), "left_semi")
     jumps = [settled(up.select("tree_id", F.col("node_id").alias("low"), F.col("parent_id").alias("high")))]
-    while len(jumps) < 40:
+    most = ids.groupBy("tree_id").count().agg(F.max("count")).first()[0] or 0
+    while 1 << len(jumps) < most:  # no path is longer than its tree; on a cycle jumps would never end
         a, b = jumps[-1].alias("a"), jumps[-1].alias("b")
         longer = a.join(b, F.col("a.tree_id").eqNullSafe(F.col("b.tree_id")) & (F.col("a.high") == F.col("b.low")))
         longer = settled(longer.select("a.tree_id", "a.low", "b.high"))

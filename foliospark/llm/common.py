@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +24,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Compute once for several uses, in the folder that all executors share.
+    """Compute once for several uses: a checkpoint in the folder that all executors share.
 
-    Only where the session names no such folder (tests on one machine) the
-    rows are persisted instead; lost parts are then computed again.
+    Where the session names no such folder, as in tests on one machine, a
+    temporary one of this machine serves.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    context = df.sparkSession.sparkContext
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return df.checkpoint()
 
 
 def sample_by_id(df: DataFrame, key: str, rows: int) -> DataFrame:
