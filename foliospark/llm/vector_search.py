@@ -270,7 +270,7 @@ class MTree:
             while len(active):
                 node = lower[active].argmin(1)
                 reach = self.space.radius(q[active], np.maximum(best.scores[active, -1], bound[active])) + slack
-                go = lower[active, node] <= reach
+                go = np.isfinite(lower[active, node]) & (lower[active, node] <= reach)
                 active, node, reach = active[go], node[go], reach[go]
                 for n, part in groups_of(node) if len(active) else ():
                     rows = active[part]
