@@ -2,7 +2,8 @@
 
 Two generative models of hashed n-grams, one of target text (labelled as good
 and not toxic) and one of all raw text, give each document an importance
-weight, the product of its n-grams' probability ratios. Gumbel noise is added
+weight, the product of its n-grams' probability ratios, judged against what good
+documents of its length have. Gumbel noise is added
 to the log weights and the k largest are kept: a sample without replacement in
 proportion to the weights.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -87,20 +88,54 @@ def log_ratios(target: np.ndarray, raw: np.ndarray) -> dict[int, float]:
     return ratios
 
 
-def log_weights(docs: DataFrame, ratios: dict[int, float], text: str = "text") -> DataFrame:
-    """Adds log_weight, the sum over a text's n-grams (0 for a text without any)."""
-    docs = docs.drop("log_weight")
+def _summed(docs: DataFrame, ratios: dict[int, float], text: str, add: str, columns: Callable[[np.ndarray, np.ndarray], list[pa.Array]]) -> DataFrame:
+    """Adds columns made of each text's sum of log ratios and number of n-grams."""
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, log = Hasher(), np.zeros(ORDERS * BUCKETS)
         log[list(ratios)] = list(ratios.values())
         for batch in batches:
             for part in slices(batch):
-                found = [float(log[hasher.buckets(t)].sum()) for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], [*part.schema.names, "log_weight"])
+                found = [hasher.buckets(t) for t in part.column(text).to_pylist()]
+                sums, sizes = np.array([log[f].sum() for f in found], float), np.array([len(f) for f in found], float)
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns(sums, sizes)], [*part.schema.names, *(c.split()[0] for c in add.split(", "))])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(weigh, f"{schema}, log_weight double")
+    return docs.mapInArrow(weigh, f"{schema}, {add}")
+
+
+#: Mean sum of log ratios of an n-gram, its variance, and the variance of means between documents.
+Spread = tuple[float, float, float]
+
+
+def good_spread(sums: np.ndarray, sizes: np.ndarray) -> Spread:
+    """How the sums of good documents grow with their number of n-grams n: by mean * n, with a variance of own * n + between * n^2."""
+    sums, sizes = sums[sizes > 0], sizes[sizes > 0]
+    if not len(sums):
+        return 0.0, 1.0, 0.0
+    mean = float(sums.sum() / sizes.sum())
+    square = (sums - mean * sizes) ** 2 / sizes
+    least = 1.0 / float(sizes.sum())
+    own, between = max(least, float(square.mean())), 0.0
+    for _ in range(20):  # least squares of square on own + between * n, weighted by what was found before
+        w = 1 / (own + between * sizes) ** 2
+        w /= w.sum()
+        middle, height = float((w * sizes).sum()), float((w * square).sum())
+        wide = float((w * (sizes - middle) ** 2).sum())
+        between = max(0.0, float((w * (sizes - middle) * square).sum()) / wide) if wide > 0 else 0.0
+        own = max(least, height - between * middle)
+    return mean, own, between
+
+
+def log_weights(docs: DataFrame, ratios: dict[int, float], spread: Spread, text: str = "text") -> DataFrame:
+    """Adds log_weight: by how many standard deviations of good documents of its length a text's sum is above theirs (0 for a text without n-grams)."""
+    mean, own, between = spread
+
+    def standard(sums: np.ndarray, sizes: np.ndarray) -> list[pa.Array]:
+        n = np.maximum(sizes, 1)
+        return [pa.array((sums - mean * sizes) / np.sqrt(own * n + between * n * n), pa.float64())]
+
+    return _summed(docs.drop("log_weight"), ratios, text, "log_weight double", standard)
 
 
 def best_cut(weights: np.ndarray, good: np.ndarray, lose: float = 0.01) -> float:
@@ -138,10 +173,10 @@ def kth_largest(keys: DataFrame, column: str, k: int, bins: int = 4096) -> float
 
 
 class Model:
-    """The ratios, the cut of log weights, and the smallest key that is kept."""
+    """The ratios, the spread of good documents, the cut of log weights, and the smallest key that is kept."""
 
-    def __init__(self, ratios: dict[int, float], cut: float, least: float):
-        self.ratios, self.cut, self.least = ratios, cut, least
+    def __init__(self, ratios: dict[int, float], spread: Spread, cut: float, least: float):
+        self.ratios, self.spread, self.cut, self.least = ratios, spread, cut, least
 
 
 def _key(log_weight: Column) -> Column:
@@ -154,8 +189,8 @@ def _key(log_weight: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits both models, the cut and the sample's size.
 
-    The raw model is that of all rows of ``docs``. The target model, and the cut
-    between good and other documents, come from about LABELLED labelled rows,
+    The raw model is that of all rows of ``docs``. The target model, the spread of
+    good documents by length, and the cut between good and other documents, come from about LABELLED labelled rows,
     chosen by digest of the id. The sample's size k is the number of rows above the cut.
     Without usable labels everything is kept.
     """
@@ -164,11 +199,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     marked = settled(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     raw = ngram_counts(docs)
     ratios = log_ratios(ngram_counts(marked.where("good")), raw)
-    seen = log_weights(marked, ratios).select("good", "log_weight").toArrow()
-    good = np.asarray(seen.column("good")).astype(bool)
-    cut = best_cut(np.asarray(seen.column("log_weight")), good) if good.any() else -math.inf
-    keys = settled(log_weights(docs.select("doc_id", "text"), ratios).select("log_weight", _key(F.col("log_weight")).alias("key")))
-    return Model(ratios, cut, kth_largest(keys, "key", keys.where(F.col("log_weight") >= cut).count()))
+    seen = settled(_summed(marked, ratios, "text", "total double, n double", lambda sums, sizes: [pa.array(sums), pa.array(sizes)]).select("good", "total", "n")).toArrow()
+    good, sums, sizes = (np.asarray(seen.column(c)).astype(t) for c, t in (("good", bool), ("total", float), ("n", float)))
+    mean, own, between = spread = good_spread(sums[good], sizes[good])
+    n = np.maximum(sizes, 1)
+    cut = best_cut((sums - mean * sizes) / np.sqrt(own * n + between * n * n), good)
+    keys = settled(log_weights(docs.select("doc_id", "text"), ratios, spread).select("log_weight", _key(F.col("log_weight")).alias("key")))
+    return Model(ratios, spread, cut, kth_largest(keys, "key", keys.where(F.col("log_weight") >= cut).count()))
 
 
 def resample(docs: DataFrame, model: Model) -> DataFrame:
@@ -177,5 +214,5 @@ def resample(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have log weight 0. Rows without an id are told apart
     by their text. Columns of those names are replaced.
     """
-    weighed = log_weights(docs, model.ratios).withColumn("sample_key", _key(F.col("log_weight")))
+    weighed = log_weights(docs, model.ratios, model.spread).withColumn("sample_key", _key(F.col("log_weight")))
     return weighed.withColumn("keep", F.col("sample_key") >= model.least)

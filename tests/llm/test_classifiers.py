@@ -77,3 +77,16 @@ def test_kth_largest(spark):
 def test_cut_loses_few_good_documents():
     weights, good = np.array([-9.0, -8.0, -5.0, -0.5, 0.0, 0.0, 0.0, 0.0]), np.array([False, False, False, True, True, True, True, True])
     assert -5 < importance.best_cut(weights, good) <= -0.5
+
+
+def test_importance_is_alike_for_all_lengths(spark):
+    docs, labels = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text"), table(spark, "/root/testdata/sf0.1", "labels")
+    good = docs.join(labels.where("quality = 1 and toxic = 0"), "doc_id")
+    joined = good.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(40)).alias("doc_id")).agg(F.array_join(F.collect_list("text"), " ").alias("text"))
+    longest = joined.select((-1 - F.col("doc_id")).alias("doc_id"), F.substring("text", 1, 130000).alias("text"))
+    model = importance.fit(docs, labels)
+    size = F.length("text")
+    class_ = F.when(size < 2000, 0).when(size < 10000, 1).otherwise(2)
+    kept = {r[0]: r[1] for r in importance.resample(good, model).groupBy(class_).agg(F.avg(F.col("keep").cast("int"))).collect()}
+    assert min(kept.values()) >= 0.96 and max(kept.values()) - min(kept.values()) <= 0.04
+    assert importance.resample(longest, model).agg(F.avg(F.col("keep").cast("int"))).first()[0] >= 0.95
