@@ -21,15 +21,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import sample_by_id, settled
+from foliospark.llm.common import broadcast_if_small, sample_by_id, settled
 from foliospark.llm.mixing import coin
 
-#: Labelled documents the target model and the cut are fitted to at most.
-LABELLED = 40_000
+#: Labelled documents the spread of good documents and the cut are fitted to, about; labels that are sent to all tasks, else labels are joined by shuffle.
+LABELLED, SENT_LABELS = 40_000, 1_000_000
 #: Buckets for n-grams of each order, and the orders.
 BUCKETS, ORDERS = 1 << 18, 2
-#: Added to observed and to expected counts; a ratio counts if its logarithm is below this; log weights are multiplied by this before noise.
-PSEUDO, COUNTS_BELOW, SHARPNESS = 20.0, -1.5, 10.0
+#: Share of the expected count that is added to observed and expected ones; share of false ratios among those that count; log weights are multiplied by this before noise.
+PRIOR, FALSE, SHARPNESS = 0.05, 0.01, 10.0
+#: Only n-grams are tested that could reach this level if the target had none of them.
+TESTABLE = 1e-3
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
@@ -53,38 +55,62 @@ class Hasher:
         return np.concatenate([one % np.uint64(BUCKETS), pair % np.uint64(BUCKETS) + np.uint64(BUCKETS)]).astype(np.int64)
 
 
-def ngram_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Counts of all buckets over all rows. Tasks count first; the result has ORDERS * BUCKETS numbers, whatever the input."""
+def ngram_counts(docs: DataFrame, text: str = "text", good: str = "good") -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of documents with each bucket: of all rows, and of those where ``good`` is true.
+
+    Tasks count first; the results have ORDERS * BUCKETS numbers, whatever the
+    input. Documents are counted, not occurrences, since those within one document
+    depend on each other.
+    """
+    size = ORDERS * BUCKETS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, total = Hasher(), np.zeros(ORDERS * BUCKETS, np.int64)
+        hasher, total = Hasher(), np.zeros((2, size), np.int64)
         for batch in batches:
             for part in slices(batch):
-                found = [hasher.buckets(t) for t in part.column(text).to_pylist()]
-                total += np.bincount(np.concatenate(found), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-    sums = docs.select(text).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(ORDERS * BUCKETS)
-    total[np.asarray(sums.column("bucket"))] = np.asarray(sums.column("n"))
-    return total
+                found = [np.unique(hasher.buckets(t)) for t in part.column(text).to_pylist()]
+                total[0] += np.bincount(np.concatenate(found), minlength=size)
+                chosen = [f for f, g in zip(found, part.column(good).to_pylist()) if g]
+                if chosen:
+                    total[1] += np.bincount(np.concatenate(chosen), minlength=size)
+        at = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], ["bucket", "n", "n_good"])
+
+    counts = docs.select(text, good).mapInArrow(count, "bucket long, n long, n_good long")
+    sums = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_good").alias("n_good")).toArrow()
+    raw, target = np.zeros(size), np.zeros(size)
+    raw[np.asarray(sums.column("bucket"))] = np.asarray(sums.column("n"))
+    target[np.asarray(sums.column("bucket"))] = np.asarray(sums.column("n_good"))
+    return raw, target
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray) -> dict[int, float]:
-    """Truncated log ratios by bucket, those of 0 left out.
+    """Log ratios by bucket, those of 0 left out.
 
     A ratio is that of the target's count to the one expected from the raw text,
-    both raised by PSEUDO, and at most 1; only clear ratios count, since texts
-    have many rare words that say nothing, and long texts very many.
+    both raised by PRIOR times the expected one, so equal rates give equal ratios at
+    all sizes. It counts, whatever its sign, if its likelihood-ratio test is among
+    those with at most a share FALSE of false ones (Benjamini and Hochberg). The
+    target is a part of the raw text.
     """
     ratios = {}
     for order in range(ORDERS):
         part = slice(order * BUCKETS, (order + 1) * BUCKETS)
-        expected = raw[part] * (target[part].sum() / max(1.0, raw[part].sum()))
-        log = np.log((target[part] + PSEUDO) / (expected + PSEUDO))
-        for b in np.flatnonzero(log < COUNTS_BELOW).tolist():
-            ratios[order * BUCKETS + b] = float(log[b])
+        n, seen = raw[part], target[part]
+        share = seen.sum() / max(1.0, n.sum())
+        if not 0 < share < 1:
+            continue
+        at = np.flatnonzero(-2 * n * math.log1p(-share) >= -2 * math.log(TESTABLE))
+        n, seen = n[at], seen[at]
+        expected, others = n * share, n - seen
+        deviance = 2 * (seen * np.log(np.maximum(seen, 1) / expected) + others * np.log(np.maximum(others, 1) / (n - expected)))
+        chance = np.array([math.erfc(math.sqrt(max(0.0, d) / 2)) for d in deviance.tolist()])
+        passed = np.flatnonzero(np.sort(chance) <= FALSE * np.arange(1, len(at) + 1) / max(1, len(at)))
+        if not len(passed):
+            continue
+        log = np.log((seen + PRIOR * expected) / (expected + PRIOR * expected))
+        for k in np.flatnonzero(chance <= np.sort(chance)[passed[-1]]).tolist():
+            ratios[order * BUCKETS + int(at[k])] = float(log[k])
     return ratios
 
 
@@ -189,22 +215,24 @@ def _key(log_weight: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits both models, the cut and the sample's size.
 
-    The raw model is that of all rows of ``docs``. The target model, the spread of
-    good documents by length, and the cut between good and other documents, come from about LABELLED labelled rows,
-    chosen by digest of the id. The sample's size k is the number of rows above the cut.
+    The raw model is that of all rows of ``docs``, the target model that of all
+    rows labelled good. The spread of good documents by length, and the cut between
+    good and other documents, come from about LABELLED labelled rows, chosen by digest
+    of the id. The sample's size k is the number of rows above the cut.
     Without usable labels everything is kept.
     """
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min((F.col("quality") == 1) & ~(F.coalesce("toxic", F.lit(0)) == 1))).alias("good"))
-    chosen = settled(sample_by_id(marks, "doc_id", LABELLED))
-    marked = settled(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
-    raw = ngram_counts(docs)
-    ratios = log_ratios(ngram_counts(marked.where("good")), raw)
+    marks = settled(marks)
+    docs = docs.select("doc_id", "text")
+    raw, target = ngram_counts(docs.join(broadcast_if_small(marks, SENT_LABELS), "doc_id", "left"))
+    ratios = log_ratios(target, raw)
+    marked = docs.join(F.broadcast(sample_by_id(marks, "doc_id", LABELLED)), "doc_id")
     seen = settled(_summed(marked, ratios, "text", "total double, n double", lambda sums, sizes: [pa.array(sums), pa.array(sizes)]).select("good", "total", "n")).toArrow()
     good, sums, sizes = (np.asarray(seen.column(c)).astype(t) for c, t in (("good", bool), ("total", float), ("n", float)))
     mean, own, between = spread = good_spread(sums[good], sizes[good])
     n = np.maximum(sizes, 1)
     cut = best_cut((sums - mean * sizes) / np.sqrt(own * n + between * n * n), good)
-    keys = settled(log_weights(docs.select("doc_id", "text"), ratios, spread).select("log_weight", _key(F.col("log_weight")).alias("key")))
+    keys = settled(log_weights(docs, ratios, spread).select("log_weight", _key(F.col("log_weight")).alias("key")))
     return Model(ratios, spread, cut, kth_largest(keys, "key", keys.where(F.col("log_weight") >= cut).count()))
 
 

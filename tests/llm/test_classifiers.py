@@ -90,3 +90,22 @@ def test_importance_is_alike_for_all_lengths(spark):
     kept = {r[0]: r[1] for r in importance.resample(good, model).groupBy(class_).agg(F.avg(F.col("keep").cast("int"))).collect()}
     assert min(kept.values()) >= 0.96 and max(kept.values()) - min(kept.values()) <= 0.04
     assert importance.resample(longest, model).agg(F.avg(F.col("keep").cast("int"))).first()[0] >= 0.95
+
+
+@pytest.mark.parametrize("size, most", [("sf0.01", 0.35), ("sf0.1", 0.2)])
+def test_telling_words_count_at_every_size(spark, size, most):
+    docs, labels = table(spark, f"/root/testdata/{size}", "documents"), table(spark, f"/root/testdata/{size}", "labels")
+    model = importance.fit(docs, labels)
+    for word in ("trash", "scum", "idiot", "disgusting"):
+        assert sum(model.ratios.get(b, 0) for b in importance.Hasher().buckets(word).tolist()) < -1, word
+    found = importance.resample(docs, model).join(labels, "doc_id").select("keep", "quality", "toxic").collect()
+    toxic, good = [r["keep"] for r in found if r["toxic"] == 1], [r["keep"] for r in found if (r["quality"], r["toxic"]) == (1, 0)]
+    assert sum(toxic) <= most * len(toxic) and sum(good) >= 0.97 * len(good)
+
+
+def test_equal_rates_give_equal_ratios_at_every_size():
+    raw, target = np.zeros(importance.ORDERS * importance.BUCKETS), np.zeros(importance.ORDERS * importance.BUCKETS)
+    raw[:1000], target[:1000] = 100, 30
+    target[:3] = 0, 5, 90
+    found = [importance.log_ratios(target * k, raw * k) for k in (1, 10, 1000)]
+    assert all(set(f) == {0, 1, 2} and f == pytest.approx(found[0]) for f in found) and found[0][2] > 0
