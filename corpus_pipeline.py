@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.llm import bigru, bpe_tree, importance, mixing, signature_join
-from foliospark.llm.common import stored, table
+from foliospark.llm.common import broadcast_if_small, settled, stored, table
 
 #: A language's mean probability below which a document counts as unrecognised.
 LEAST_SCORE = 0.4
@@ -33,16 +33,45 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return importance.resample(docs, model).where("keep").select(COLUMNS)
 
 
+def _row_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """One row of each id and text, with a key ``row``; and row and id of those whose key isn't their id, or None if there are none.
+
+    Rows whose id no other has keep it as key and aren't shuffled for it; all
+    others get numbers beyond the ids.
+    """
+    ids = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = settled(ids.where("n > 1").select("doc_id"))
+    if repeated.isEmpty() and docs.where(F.col("doc_id").isNull()).isEmpty():
+        return docs.withColumn("row", F.col("doc_id")), None
+    few = broadcast_if_small(repeated, 1_000_000)
+    others = docs.where(F.col("doc_id").isNull()).unionByName(docs.where(F.col("doc_id").isNotNull()).join(few, "doc_id", "left_semi").select(COLUMNS))
+    rest = F.min(F.struct(*(F.col(c) for c in COLUMNS if c not in ("doc_id", "text")))).alias("rest")
+    one = others.groupBy("doc_id", "text").agg(rest).select("doc_id", "text", "rest.*").select(COLUMNS)
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    number = F.monotonically_increasing_id()
+    key = F.lit((high if high is not None else 0) + 1) + number if high is None or high < 1 << 62 else F.lit(low - 1) - number
+    others = settled(one.withColumn("row", key))
+    alone = docs.where(F.col("doc_id").isNotNull()).join(few, "doc_id", "left_anti").select(*COLUMNS, F.col("doc_id").alias("row"))
+    return alone.unionByName(others), others.select("row", F.col("doc_id").alias("id"), F.lit(True).alias("other"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that share 0.8 of their five-word shingles, the one with the smallest id stays.
 
-    Rows of one id and text are one document, of which one row stays; rows
-    without an id are kept.
+    Rows of one id and text are one document, of which one row stays. Rows of
+    one id and different texts are different documents, and so are rows without an
+    id, of which one stays only where no similar document has an id.
     """
-    docs = docs.select(COLUMNS)
-    groups = signature_join.jaccard_components(docs, width=5, num=80, den=100)
-    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    rows, others = _row_keys(docs.select(COLUMNS))
+    groups = signature_join.jaccard_components(rows, width=5, num=80, den=100, doc_id="row").select(F.col("doc_id").alias("row"), "component_id")
+    if others is None:
+        gone = groups.where(F.col("row") != F.col("component_id")).select("row")
+    else:
+        groups = settled(groups)
+        known = groups.join(others, "row", "left").withColumn("id", F.when(F.col("other"), F.col("id")).otherwise(F.col("row")))
+        stays = known.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row"))["row"].alias("row"))
+        gone = groups.select("row").join(stays.select("row"), "row", "left_anti")
+    return rows.join(gone.distinct(), "row", "left_anti").select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

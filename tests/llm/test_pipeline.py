@@ -37,3 +37,11 @@ def test_run_is_registered():
     entry = pytest.importorskip("__spark_entry__")
     assert entry.queries()["pipeline"] is pipeline.run
     assert all(any(q.startswith(f"op{n}_") for q in entry.queries()) for n in range(1, 11))
+
+
+def test_near_duplicates_decides_by_rows(spark, documents):
+    first, second, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, first), (1, first), (2, first + " end"), (5, second), (5, third + " x"), (5, second), (4, second + " y"), (9, third), (7, first + " z"), (7, "a text of its own with words"), (None, first), (None, "no id but a text of its own"), (None, "no id but a text of its own"), (6, None), (6, None), (8, "")]
+    found = pipeline.near_duplicates(spark, documents([(d, t, "en", "a") for d, t in rows]), SMALL).collect()
+    kept = Counter((r["doc_id"], r["text"]) for r in found)
+    assert kept == Counter([(1, first), (4, second + " y"), (5, third + " x"), (7, "a text of its own with words"), (None, "no id but a text of its own"), (6, None), (8, "")])
