@@ -39,12 +39,15 @@ _NAMES = re.compile(
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 _SPACE = re.compile(r"\s+")
+#: Characters outside links from which a block's own text counts as running text.
+RUNNING = 40
 
 
-def is_left_out(name: str, attributes: str, in_article: bool, forms: bool) -> bool:
+def is_left_out(name: str, attributes: str, in_article: bool, form: bool) -> bool:
+    """``form``: whether this element, if it is a form, is read like any block."""
     if name in ROOTS:
         return False
-    if name in LEFT_OUT and not (forms and name == "form"):
+    if name in LEFT_OUT and not (form and name == "form"):
         return True
     if name == "header":
         return not in_article
@@ -65,12 +68,14 @@ def is_left_out(name: str, attributes: str, in_article: bool, forms: bool) -> bo
 class Page:
     """Blocks of a page in document order, with counts of characters and tags, in links and overall."""
 
-    def __init__(self, source: str, forms: bool = False):
+    def __init__(self, source: str, forms: frozenset[int] | None = frozenset()):
+        """``forms``: which forms, numbered from 0 in page order, are read like other blocks; None for all."""
         self.tag, self.parent = ["html"], [0]
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
         self.own = [0.0]
         self.pieces: list[tuple[int, int, str]] = []  # segment, block, text
-        self.had_form = False
+        self.forms = 0
+        self.form_at: dict[int, int] = {}  # block: number of the form
         self._read(source, forms)
         for k in range(len(self.tag) - 1, 0, -1):
             up = self.parent[k]
@@ -79,7 +84,7 @@ class Page:
             self.tags[up] += self.tags[k] + 1
             self.link_tags[up] += self.link_tags[k]
 
-    def _read(self, source: str, forms: bool) -> None:
+    def _read(self, source: str, forms: frozenset[int] | None) -> None:
         stack: list[tuple[str, int, bool]] = []  # element, the block that is current after it closes, whether it is left out
         block, out, links, articles, segment, at = 0, 0, 0, 0, 0, 0
 
@@ -147,8 +152,8 @@ class Page:
                     self.tags[block] += 1
                     segment += name == "hr"
                 continue
-            left = is_left_out(name, attributes, articles > 0, forms)
-            self.had_form |= name == "form"
+            left = is_left_out(name, attributes, articles > 0, forms is None or self.forms in forms)
+            self.forms += name == "form"
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
@@ -170,10 +175,35 @@ class Page:
                 for counts in (self.chars, self.link_chars, self.tags, self.link_tags, self.own):
                     counts.append(0)
                 block = len(self.tag) - 1
+                if name == "form":
+                    self.form_at[block] = self.forms - 1
             else:
                 self.tags[block] += 1
                 self.link_tags[block] += name == "a"
 
+    def last(self) -> list[int]:
+        """Last block of each subtree: blocks of a subtree are neighbours."""
+        last = list(range(len(self.tag)))
+        for k in range(len(last) - 1, 0, -1):
+            last[self.parent[k]] = max(last[self.parent[k]], last[k])
+        return last
+
+    def running(self) -> list[int]:
+        """Characters of running text of each subtree."""
+        found = [int(own) if own >= RUNNING else 0 for own in self.own]
+        for k in range(len(found) - 1, 0, -1):
+            found[self.parent[k]] += found[k]
+        return found
+
+    def content_forms(self) -> frozenset[int]:
+        """Forms that wrap content: an article or main element, or mostly running text that is at least a third of the page's."""
+        running, last = self.running(), self.last()
+        return frozenset(
+            number
+            for k, number in self.form_at.items()
+            if any(self.tag[j] in ("article", "main") and self.chars[j] for j in range(k + 1, last[k] + 1)) or 2 * running[k] >= self.chars[k] > 0 and 3 * running[k] >= running[0]
+        )
+
     def densities(self) -> list[float]:
         """Characters per tag, times a logarithm that falls as links take a larger share of characters and tags."""
         top = max((k for k in range(len(self.tag)) if self.tag[k] == "body"), default=0, key=lambda k: self.chars[k])
@@ -200,9 +230,7 @@ class Page:
         while self.tag[k] not in ("body", "html"):
             threshold = min(threshold, density[k])
             k = self.parent[k]
-        last = list(range(n))  # last block of each subtree: blocks of a subtree are neighbours
-        for k in range(n - 1, 0, -1):
-            last[self.parent[k]] = max(last[self.parent[k]], last[k])
+        last = self.last()
         top_total, top_at = total[:], list(range(n))
         for k in range(n - 1, 0, -1):
             up = self.parent[k]
@@ -275,9 +303,10 @@ def main_text(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    found = page.text()
-    if not found and page.had_form:  # pages that are a form as a whole
-        found = Page(source, forms=True).text()
+    forms = Page(source, None).content_forms() if page.forms else frozenset()
+    found = (Page(source, forms) if forms else page).text()
+    if not found and page.forms:  # pages that are a form as a whole
+        found = Page(source, None).text()
     return found
 
 

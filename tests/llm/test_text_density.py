@@ -51,3 +51,16 @@ def test_long_malformed_and_clashing(spark):
     assert found.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r["page_id"] or -1, r["n_chars"]) for r in found.collect()) == [(-1, 4), (1, 1), (1, 1), (1, 249999), (2, 20000), (3, 0)]
     assert extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<body><div>Skip to text</div><form id=f><article><h1>T</h1>" + BODY + "</article></form></body>", "T\n\n" + BODY[3:-4]),
+        ("<body><div>Skip to text</div><form id=f><input type=hidden><div>" + BODY * 3 + "</div></form></body>", "\n\n".join([BODY[3:-4]] * 3)),
+        ("<body><div>" + BODY * 3 + "</div><form><label>Your name</label><input><p>We keep what you enter here for as long as it takes us.</p></form></body>", "\n\n".join([BODY[3:-4]] * 3)),
+        ("<body><form><label>Search</label><input></form><form><main>" + BODY + "<form><label>Name</label></form></main></form></body>", BODY[3:-4]),
+    ],
+)
+def test_forms_by_content(page, text):
+    assert main_text(page) == text
