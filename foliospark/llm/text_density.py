@@ -27,7 +27,11 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes noscrip
 LEFT_OUT = RAW | frozenset("head nav footer aside form button select input svg canvas object audio video map menu dialog datalist".split())
 ROOTS = frozenset("html body main article".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-#: Names of classes and ids that mark menus, headers, footers, sidebars, notices, adverts, forms and comments.
+#: Blocks that are text rather than parts of a page: inside the main text their names mean nothing unless they are mostly links.
+PASSAGES = frozenset("p li dt dd tr td th caption figcaption blockquote pre address".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup summary legend".split())
+#: Names of classes and ids that mark menus, headers, footers, sidebars, notices, adverts, forms and comments. They weigh only
+#: with blocks other than headings, and inside the main text only with those that aren't running text.
 _NAMES = re.compile(
     r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|post|article|user|reader|social|sticky|js|the|google)?[-_]?"
     r"(?:ads?|adverts?|advert[a-z]*ments?|adsense|adsbygoogle|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|cookiebar|consent|gdpr|notices?|alerts?|notifications?|disclaimer|newsletter|subscribe|subscription|signup|"
@@ -55,28 +59,36 @@ def is_left_out(name: str, attributes: str, in_article: bool, form: bool) -> boo
         return False
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'").lower()
-        if key in ("class", "id"):
-            if any(_NAMES.fullmatch(x) for x in value.split()):
-                return True
-        elif key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
+        if key == "role" and value in ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
             return True
-        elif key == "style" and "display:none" in value.replace(" ", ""):
+        if key == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
+def is_named(name: str, attributes: str) -> bool:
+    """Whether a block's class or id is one of those names."""
+    if name not in BLOCKS or name in HEADINGS or name in ROOTS or not attributes or attributes.isspace():
+        return False
+    found = ((key.lower(), value.strip("\"'")) for key, value in _ATTRIBUTE.findall(attributes))
+    return any(_NAMES.fullmatch(x) for key, value in found if key in ("class", "id") for x in value.split())
+
+
 class Page:
     """Blocks of a page in document order, with counts of characters and tags, in links and overall."""
 
-    def __init__(self, source: str, forms: frozenset[int] | None = frozenset()):
-        """``forms``: which forms, numbered from 0 in page order, are read like other blocks; None for all."""
+    def __init__(self, source: str, forms: frozenset[int] | None = frozenset(), names: frozenset[int] | None = frozenset()):
+        """``forms`` and ``names``: which forms and which named blocks, each numbered from 0 in page order, are read like other blocks; None for all."""
         self.tag, self.parent = ["html"], [0]
         self.chars, self.link_chars, self.tags, self.link_tags = [0], [0], [0], [0]
         self.own = [0.0]
         self.pieces: list[tuple[int, int, str]] = []  # segment, block, text
         self.forms = 0
         self.form_at: dict[int, int] = {}  # block: number of the form
-        self._read(source, forms)
+        self.named = 0
+        self.named_at: dict[int, int] = {}  # block: number of the named block
+        self.dropped: list[tuple[int, int]] = []  # number of the named block left out, the block around it
+        self._read(source, forms, names)
         for k in range(len(self.tag) - 1, 0, -1):
             up = self.parent[k]
             self.chars[up] += self.chars[k]
@@ -84,7 +96,7 @@ class Page:
             self.tags[up] += self.tags[k] + 1
             self.link_tags[up] += self.link_tags[k]
 
-    def _read(self, source: str, forms: frozenset[int] | None) -> None:
+    def _read(self, source: str, forms: frozenset[int] | None, names: frozenset[int] | None) -> None:
         stack: list[tuple[str, int, bool]] = []  # element, the block that is current after it closes, whether it is left out
         block, out, links, articles, segment, at = 0, 0, 0, 0, 0, 0
 
@@ -154,6 +166,13 @@ class Page:
                 continue
             left = is_left_out(name, attributes, articles > 0, forms is None or self.forms in forms)
             self.forms += name == "form"
+            named = is_named(name, attributes)
+            if named:
+                if names is not None and self.named not in names:
+                    if not out and not left and (self.tag[block] not in ("body", "html") or name == "section" or name in PASSAGES):
+                        self.dropped.append((self.named, block))
+                    left = True
+                self.named += 1
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
@@ -177,6 +196,8 @@ class Page:
                 block = len(self.tag) - 1
                 if name == "form":
                     self.form_at[block] = self.forms - 1
+                if named:
+                    self.named_at[block] = self.named - 1
             else:
                 self.tags[block] += 1
                 self.link_tags[block] += name == "a"
@@ -204,6 +225,15 @@ class Page:
             if any(self.tag[j] in ("article", "main") and self.chars[j] for j in range(k + 1, last[k] + 1)) or 2 * running[k] >= self.chars[k] > 0 and 3 * running[k] >= running[0]
         )
 
+    def content_names(self) -> frozenset[int]:
+        """Named blocks that can be part of a text: mostly running text, or passages that aren't mostly links."""
+        running = self.running()
+        return frozenset(
+            number
+            for k, number in self.named_at.items()
+            if self.chars[k] and 2 * self.link_chars[k] < self.chars[k] and (self.tag[k] in PASSAGES or 2 * running[k] >= self.chars[k])
+        )
+
     def densities(self) -> list[float]:
         """Characters per tag, times a logarithm that falls as links take a larger share of characters and tags."""
         top = max((k for k in range(len(self.tag)) if self.tag[k] == "body"), default=0, key=lambda k: self.chars[k])
@@ -304,12 +334,31 @@ def main_text(source: str | None) -> str:
         return ""
     page = Page(source)
     forms = Page(source, None).content_forms() if page.forms else frozenset()
-    found = (Page(source, forms) if forms else page).text()
+    page = Page(source, forms) if forms else page
+    if page.dropped:  # those inside the main text that hold text themselves belong to it
+        can, take = Page(source, forms, None).content_names(), page.chosen()
+        inside = {number for number, block in page.dropped if number in can and take[block] and page.chars[block]}
+        if inside:
+            page = Page(source, forms, _with_inner(source, forms, frozenset(inside), can))
+    found = page.text()
     if not found and page.forms:  # pages that are a form as a whole
         found = Page(source, None).text()
     return found
 
 
+def _with_inner(source: str, forms: frozenset[int], inside: frozenset[int], can: frozenset[int]) -> frozenset[int]:
+    """Those named blocks, and the ones among ``can`` that lie in them through such blocks only."""
+    page = Page(source, forms, can)
+    chosen: set[int] = set()
+    holds = [False] * len(page.tag)
+    for k in range(len(page.tag)):  # parents come first
+        number = page.named_at.get(k)
+        holds[k] = number in inside or k > 0 and holds[page.parent[k]]
+        if number is not None and holds[k]:
+            chosen.add(number)
+    return frozenset(chosen)
+
+
 def extract(pages: DataFrame, source: str = "html") -> DataFrame:
     """Adds text (empty if there is none) and n_chars, its code points, and drops the source.
 

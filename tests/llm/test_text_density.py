@@ -64,3 +64,22 @@ def test_long_malformed_and_clashing(spark):
 )
 def test_forms_by_content(page, text):
     assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "inner, text",
+    [
+        ("<h2 id=discussion>Discussion</h2>", "Discussion"),
+        ("<h2 id=search>Search</h2><h3 id=notifications>Notes</h3>", "Search\n\nNotes"),
+        ("<section id=discussion><h2>D</h2>" + BODY + "</section>", "D\n\n" + BODY[3:-4]),
+        ("<section id=forms><div class=side>" + BODY + "</div><div class=share><a href=1>Share</a></div></section>", BODY[3:-4]),
+        ("<p>A <span class=alert>word</span> in it.</p><p class=related>Short.</p>", "A word in it.\n\nShort."),
+        ("<div id=popular>" + BODY + "</div><div id=navigation>" + BODY + "</div>", "\n\n".join([BODY[3:-4]] * 2)),
+        ("<div class=comments>c</div><ul class=related><li><a href=1>Another page with a long title that is all link</a></ul>", ""),
+    ],
+)
+def test_names_inside_the_text(inner, text):
+    start, other = BODY * 2, "<div class=sidebar>" + BODY + "</div>"
+    whole = "\n\n".join(filter(None, [BODY[3:-4], BODY[3:-4], text]))
+    assert main_text("<body>" + other + "<article>" + start + inner + "</article></body>") == whole
+    assert main_text("<body>" + other + "<div id=c>" + start + inner + "</div><footer>f</footer></body>") == whole
