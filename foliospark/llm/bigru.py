@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import slices
-from foliospark.llm.common import sample_by_id
 
-#: Documents the network is trained on, about; bytes of a window; windows read at a time.
-SAMPLE, WINDOW, TOGETHER = 2000, 64, 4096
+#: Documents the network is trained on, about; texts of each language at least, if it has so many; bytes of a window; windows read at a time.
+SAMPLE, LEAST, WINDOW, TOGETHER = 2000, 8, 64, 4096
 UNKNOWN = "und"
 
 
@@ -172,16 +171,33 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
+def shares(counts: dict[str, int], documents: int) -> dict[str, int]:
+    """How many texts of each language make up about so many: all of rare ones, at least LEAST of each, the others alike."""
+    out, left = {}, documents
+    for k, (language, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        out[language] = min(n, max(LEAST, left // (len(counts) - k)))
+        left = max(0, left - out[language])
+    return out
+
+
 def train(docs: DataFrame, documents: int = SAMPLE) -> BiGru | None:
     """A network for the languages of the ``lang`` column, or None if there are none.
 
-    Learns from whole texts of about so many documents that have a language
-    and an id and aren't held out, chosen by digest of the id.
+    All languages of documents that have an id and aren't held out are learned.
+    Learns from about so many whole, different texts, drawn evenly by language
+    and chosen by digest of the text, so that copies count once.
     """
+    scale = 1 << 40
     usable = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")) & (F.length("text") > 0))
-    rows = sorted(sample_by_id(usable, "doc_id", documents).select("text", "lang").toArrow().to_pylist(), key=lambda r: (r["text"], r["lang"]))
-    if not rows:
+    usable = usable.select("text", "lang", F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(scale)).alias("digest"))
+    counts = usable.select("lang", "digest").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min("digest").alias("first")).collect()
+    if not counts:
         return None
+    wanted = shares({r["lang"]: r["n"] for r in counts}, documents)
+    below = [(r["lang"], scale if wanted[r["lang"]] == r["n"] else max(r["first"] + 1, scale * wanted[r["lang"]] // r["n"])) for r in counts]
+    limits = docs.sparkSession.createDataFrame(below, "lang string, below long")
+    chosen = usable.join(F.broadcast(limits), "lang").where(F.col("digest") < F.col("below")).select("text", "lang").distinct()
+    rows = sorted(chosen.toArrow().to_pylist(), key=lambda r: (r["text"], r["lang"]))
     languages = sorted({r["lang"] for r in rows})
     return BiGru(languages).fit([r["text"].encode() for r in rows], [languages.index(r["lang"]) for r in rows])
 

@@ -109,3 +109,14 @@ def test_equal_rates_give_equal_ratios_at_every_size():
     target[:3] = 0, 5, 90
     found = [importance.log_ratios(target * k, raw * k) for k in (1, 10, 1000)]
     assert all(set(f) == {0, 1, 2} and f == pytest.approx(found[0]) for f in found) and found[0][2] > 0
+
+
+def test_rare_languages_are_learned(documents):
+    common, rare = [(k, f"the common words of text number {k} and more of the same", "en", "a") for k in range(3000)], [(k, f"zażółć gęślą jaźń żółw {k} źdźbło", "pl", "a") for k in range(5000, 5006)]
+    copies = [(k, "one text that comes again and again", "de", "a") for k in range(6000, 6400)]
+    docs = documents(common + rare + copies)
+    model = bigru.train(docs, 40)
+    assert model.languages == ["de", "en", "pl"]
+    found = bigru.identify(docs.where("lang = 'pl'"), model).collect()
+    assert len(found) == 6 and all(r["lang_pred"] == "pl" for r in found)
+    assert bigru.shares({"a": 3, "b": 10**9, "c": 10**6}, 2000) == {"a": 3, "b": 999, "c": 998}
