@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bigru, bpe_tree, chat, importance, mixing, signature_join, text_density, token_counts, vector_search
+from foliospark.llm import bigru, bpe_tree, chat, fill_in_middle, importance, mixing, signature_join, text_density, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,13 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    restored = fill_in_middle.restore(F.col("output"), F.col("form"))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+ORACLE["op12_fill_in_middle"] = fill_in_middle.SQL
