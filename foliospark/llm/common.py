@@ -23,15 +23,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Compute once for several uses: a checkpoint in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share. Only a session on one machine may do without: it gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="run-")
+
 
-    Where the session names no such folder, as in tests on one machine, a
-    temporary one of this machine serves.
-    """
+def settled(df: DataFrame) -> DataFrame:
+    """Compute once for several uses: a checkpoint in the folder that all executors share."""
     context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -49,13 +55,9 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write as Parquet into the folder that all executors share, and read it back.
-
-    A folder of this machine serves only where the session names none, as in tests.
-    """
+def stored(df: DataFrame, *by: str) -> DataFrame:
+    """Write as Parquet into the folder that all executors share, in one folder for each value of ``by``, and read it back."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bigru, bpe_tree, chat, fill_in_middle, importance, mixing, signature_join, text_density, token_counts, vector_search
+from foliospark.llm import bigru, bpe_tree, chat, fill_in_middle, importance, line_runs, mixing, signature_join, text_density, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,12 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_fill_in_middle"] = fill_in_middle.SQL
+
+
+@query
+def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_runs.dedupe(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op11_line_runs"] = line_runs.SQL
