@@ -173,7 +173,7 @@ SQL = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
 ), lines AS (
-  SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS at FROM docs
+  SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM docs
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{UPPER}', '{LOWER}') AS k FROM lines
 ), shared AS (
@@ -182,6 +182,6 @@ WITH docs AS (
   SELECT keyed.*, shared.k IS NOT NULL AND keyed.doc_id IS DISTINCT FROM shared.last AS gone FROM keyed LEFT JOIN shared USING (k)
 )
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r
 """

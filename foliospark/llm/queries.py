@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import bigru, bpe_tree, chat, fill_in_middle, importance, line_runs, mixing, signature_join, text_density, token_counts, vector_search
+from foliospark.llm import bigru, bpe_tree, chat, fill_in_middle, importance, line_runs, mixing, prefix_trie, signature_join, text_density, token_counts, vector_search
 from foliospark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,8 @@ def op11_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_line_runs"] = line_runs.SQL
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
