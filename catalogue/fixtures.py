@@ -135,6 +135,60 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(PAGES_SQL, conversations=table(spark, sf_dir, "conversations"))
 
 
+# The same pages, some of which lost their number; a number tells nothing about a file's other pages.
+MIXED_PAGES_SQL = f"""
+SELECT folder, file_name, CASE WHEN file_name LIKE '%3.pdf' AND page_no = 1 THEN NULL ELSE page_no END AS page_no,
+       text, ocr_text, footer_text, footer_ocr_text
+FROM ({PAGES_SQL}) pages
+"""
+
+
+def mixed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(MIXED_PAGES_SQL, conversations=table(spark, sf_dir, "conversations"))
+
+
+# The files of a batch: one for each conversation, and some whose pages are missing.
+BATCH_SQL = """
+SELECT DISTINCT 'f' || CAST(conv_id % 5 AS STRING) AS folder, 'conv_' || CAST(conv_id AS STRING) || '.pdf' AS file_name FROM {conversations}
+UNION ALL
+SELECT DISTINCT 'f' || CAST(conv_id % 5 AS STRING), 'lost_' || CAST(conv_id AS STRING) || '.pdf' FROM {conversations} WHERE conv_id % 12 = 5
+"""
+
+
+def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(BATCH_SQL, conversations=table(spark, sf_dir, "conversations"))
+
+
+# Spans of those pages whose text holds no start: the start stands in the footer, once in two spans; a body line, a
+# picture and blank footers say nothing.
+_AT = {"body": (0, 500, 0), "first": (5, 950, 0), "second": (6, 960, 0), "picture": (7, 990, 1), "blank": (5, 970, 0)}
+
+
+def _page_span(kind: str, text: str, where: str) -> str:
+    block, bottom, block_type = _AT[kind]
+    return f"""
+SELECT 'f' || CAST(conv_id % 5 AS STRING) AS folder, 'conv_' || CAST(conv_id AS STRING) || '.pdf' AS file_name, CAST(turn AS INT) AS page_no,
+       CAST({block} AS INT) AS block_no, CAST(0 AS INT) AS line_no, CAST(0 AS INT) AS span_no, {text} AS text,
+       CAST(0 AS DOUBLE) AS x0, CAST({bottom - 10} AS DOUBLE) AS y0, CAST(300 AS DOUBLE) AS x1, CAST({bottom} AS DOUBLE) AS y1,
+       CAST(1000 AS DOUBLE) AS page_height, CAST({block_type} AS INT) AS block_type
+FROM {{conversations}} WHERE conv_id % 10 = 7 AND {where}"""
+
+
+PAGE_SPANS_SQL = "\nUNION ALL".join(
+    [
+        _page_span("body", "'Statement number 99'", "turn % 2 = 1"),
+        _page_span("first", "'Statement  number'", "turn % 3 = 0"),
+        _page_span("second", "'00' || CAST(FLOOR(turn / 3) AS STRING) || ' Page I 0f 3'", "turn % 3 = 0"),
+        _page_span("picture", "'Statement number 77'", "turn % 3 = 1"),
+        _page_span("blank", "'   '", "turn % 3 = 2"),
+    ]
+)
+
+
+def page_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(PAGE_SPANS_SQL, conversations=table(spark, sf_dir, "conversations"))
+
+
 # Transactions: a file is a user, a row is an event.
 TRANSACTIONS_SQL = """
 SELECT CASE WHEN event_type = 'signup' AND user_id % 50 = 0 THEN NULL

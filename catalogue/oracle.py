@@ -41,8 +41,10 @@ def amount_ok(text: str) -> str:
     return rf"coalesce({text} = '' OR regexp_matches({text}, '\d'), TRUE)"
 
 
-RESOLVED = f"""
-p AS ({PAGES}),
+def resolved(pages: str) -> str:
+    """CTEs from a page table to the text that is searched."""
+    return f"""
+p AS ({pages}),
 readable AS (SELECT folder, file_name, length({strip('text')}) > 20 AS machine_readable FROM p WHERE page_no = 0),
 resolved AS (
   SELECT p.*, machine_readable,
@@ -52,7 +54,10 @@ resolved AS (
   FROM p JOIN readable USING (folder, file_name))"""
 
 
-def matched(pattern: str | None, phrase: str | None = None, continues: str | None = None) -> str:
+RESOLVED = resolved(PAGES)
+
+
+def matched(pattern: str | None, phrase: str | None = None, continues: str | None = None, pages: str = PAGES) -> str:
     """CTEs from pages to ``events(folder, file_name, page_no, start_id, closes)``."""
     tests, grouped = [], "NULL"
     if pattern:
@@ -65,7 +70,7 @@ def matched(pattern: str | None, phrase: str | None = None, continues: str | Non
     source = f"CASE {whens} END" if whens else "CAST(NULL AS VARCHAR)"
     has_phrase = f"contains(page_text, '{phrase}')" if phrase else "FALSE"
     has_end = f"NOT contains(page_text, '{continues}')" if continues else "FALSE"
-    return f"""{RESOLVED},
+    return f"""{resolved(pages)},
 sourced AS (SELECT *, {source} AS source FROM resolved),
 numbered AS (SELECT *, {grouped} AS g1 FROM sourced),
 marked AS (
@@ -85,6 +90,28 @@ events AS (
 BY_PAGE = matched(fx.PAGE_RULE.start_pattern)
 BY_RANGE = matched(fx.RANGE_RULE.start_pattern, fx.RANGE_RULE.start_phrase, fx.RANGE_RULE.must_not_contain)
 BY_PHRASE = matched(None, fx.PHRASE_RULE.start_phrase)
+_RANGE = (fx.RANGE_RULE.start_pattern, fx.RANGE_RULE.start_phrase, fx.RANGE_RULE.must_not_contain)
+
+
+def footers(spans: str) -> str:
+    return f"""
+        SELECT * FROM (
+          SELECT folder, file_name, page_no,
+                 nullif({strip("string_agg(text, ' ' ORDER BY block_no, line_no, span_no)")}, '') AS footer_text
+          FROM ({spans}) WHERE block_type = 0 AND y1 > page_height - greatest(80, floor(page_height * 0.1))
+          GROUP BY folder, file_name, page_no) WHERE footer_text IS NOT NULL"""
+
+
+MIXED_PAGES = fx.MIXED_PAGES_SQL.format(conversations="conversations")
+BATCH = fx.BATCH_SQL.format(conversations="conversations")
+#: Files with a page that has no number aren't split.
+MIXED = f"mixed AS ({MIXED_PAGES}), unnumbered AS (SELECT DISTINCT folder, file_name FROM mixed WHERE page_no IS NULL)"
+BY_RANGE_MIXED = MIXED + "," + matched(*_RANGE, pages="SELECT * FROM mixed ANTI JOIN unnumbered USING (folder, file_name)")
+BY_RANGE_FOOTERS = matched(
+    *_RANGE,
+    pages=f"""SELECT t.* REPLACE (coalesce(f.footer_text, t.footer_text) AS footer_text) FROM ({PAGES}) t
+              LEFT JOIN ({footers(fx.PAGE_SPANS_SQL.format(conversations="conversations"))}) f USING (folder, file_name, page_no)""",
+)
 
 # Every start opens a document that ends before the next start.
 STARTS = """
@@ -267,12 +294,32 @@ ORACLE: dict[str, str] = {
     "normalise_text": f"""
         SELECT folder, file_name, page_no, {normalise('text')} AS text, {normalise('footer_text')} AS footer_text
         FROM ({PAGES})""",
-    "footer_text": f"""
-        SELECT * FROM (
-          SELECT folder, file_name, page_no,
-                 nullif({strip("string_agg(text, ' ' ORDER BY block_no, line_no, span_no)")}, '') AS footer_text
-          FROM ({SPANS}) WHERE block_type = 0 AND y1 > page_height - greatest(80, floor(page_height * 0.1))
-          GROUP BY folder, file_name, page_no) WHERE footer_text IS NOT NULL""",
+    "footer_text": footers(SPANS),
+    "page_matches": f"""
+        WITH {BY_RANGE}
+        SELECT folder, file_name, page_no, machine_readable, matched, source, match_id AS number, phrase_matched, closes
+        FROM marked JOIN events USING (folder, file_name, page_no)""",
+    "split_with_footers": f"""
+        WITH {BY_RANGE_FOOTERS}, {RUNS}
+        SELECT folder, file_name, page_no, statement_id,
+               {STEM} || '_statement_' || statement_id || '.pdf' AS document_name
+        FROM events JOIN statements USING (folder, file_name) WHERE page_no BETWEEN start_page AND end_page""",
+    "split_unnumbered_pages": f"""
+        WITH {BY_RANGE_MIXED}, {RUNS}
+        SELECT folder, file_name, page_no, {STEM} || '_statement_' || statement_id || '.pdf' AS document_name
+        FROM events JOIN statements USING (folder, file_name) WHERE page_no BETWEEN start_page AND end_page
+        UNION ALL SELECT folder, file_name, NULL, NULL FROM (SELECT folder, file_name FROM events GROUP BY 1, 2 HAVING count(start_id) = 0)
+        UNION ALL SELECT folder, file_name, NULL, NULL FROM unnumbered""",
+    "preprocess_run": f"""
+        WITH {BY_RANGE_MIXED}, {RUNS},
+        docs AS (SELECT folder, file_name, count(*) AS documents, CAST(sum(end_page - start_page + 1) AS BIGINT) AS assigned_pages
+                 FROM statements GROUP BY 1, 2),
+        seen AS (SELECT folder, file_name, count(*) AS pages, count(page_no) AS numbered FROM mixed GROUP BY 1, 2)
+        SELECT folder, file_name, CASE WHEN documents IS NULL THEN 'manual' ELSE 'split' END AS result,
+               CASE WHEN documents IS NOT NULL THEN NULL WHEN pages IS NULL THEN 'no pages'
+                    WHEN numbered < pages THEN 'pages without a number' ELSE 'no start found' END AS reason,
+               coalesce(documents, 0) AS documents, coalesce(pages, 0) AS pages, coalesce(assigned_pages, 0) AS assigned_pages
+        FROM ({BATCH}) batch LEFT JOIN seen USING (folder, file_name) LEFT JOIN docs USING (folder, file_name)""",
     "match_start": f"WITH {BY_RANGE} SELECT folder, file_name, page_no, matched, source, match_id AS start_id FROM marked",
     "match_start_without_group": f"""
         WITH {BY_PAGE} SELECT folder, file_name, page_no, matched, source, match_id AS start_id FROM marked""",

@@ -260,6 +260,34 @@ def split_documents_unknown_type(spark, sf_dir):
     return split.split_documents(fx.pages(spark, sf_dir), unknown).manual
 
 
+@query
+def page_matches(spark, sf_dir):
+    """What one pass over the text says about each page."""
+    found = page_text.page_matches(fx.pages(spark, sf_dir), fx.RANGE_RULE)
+    return found.select("folder", "file_name", "page_no", "machine_readable", "matched", "source", "number", "phrase_matched", "closes")
+
+
+@query
+def split_with_footers(spark, sf_dir):
+    """Files split by numbers that stand in their footers, which are cut from spans."""
+    done = split.split_documents(fx.pages(spark, sf_dir), fx.RANGE_RULE, spans=fx.page_spans(spark, sf_dir))
+    return done.assignments.select("folder", "file_name", "page_no", "statement_id", "document_name")
+
+
+@query
+def split_unnumbered_pages(spark, sf_dir):
+    """Files some of whose pages have no number are left for manual splitting as a whole."""
+    done = split.split_documents(fx.mixed_pages(spark, sf_dir), fx.RANGE_RULE)
+    pages = done.assignments.select("folder", "file_name", "page_no", "document_name")
+    return pages.unionByName(done.manual.select("folder", "file_name"), allowMissingColumns=True)
+
+
+@query
+def preprocess_run(spark, sf_dir):
+    """Where each file of a batch went, files without pages and with unnumbered pages among them."""
+    return pre.preprocess(fx.batch_files(spark, sf_dir), fx.mixed_pages(spark, sf_dir), fx.RANGE_RULE).coverage
+
+
 # Counts
 
 

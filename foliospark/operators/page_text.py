@@ -9,6 +9,7 @@ from foliospark.config import StatementType
 from foliospark.functions import text as tx
 from foliospark.operators.chunks import CHUNK, PAGE_WIDTH, join_carry, with_chunk
 from foliospark.schemas import FILE_KEY, with_known
+from foliospark.session import settle
 
 READABLE_ABOVE = 20  # characters of text on the first page
 FOOTER_SHARE = 0.10
@@ -30,10 +31,17 @@ def machine_readable_files(pages: DataFrame) -> DataFrame:
     return first.select(*FILE_KEY, is_readable_text(F.col("text")).alias("machine_readable"))
 
 
-def flag_machine_readable(pages: DataFrame) -> DataFrame:
-    """Add ``machine_readable``; a file without a first page counts as scanned."""
-    flagged = with_known(pages, *FILE_KEY).join(machine_readable_files(pages), FILE_KEY, "left")
-    return flagged.withColumn("machine_readable", F.coalesce("machine_readable", F.lit(False)))
+def flag_machine_readable(pages: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
+    """Add ``machine_readable``; a file without a first page counts as scanned.
+
+    Text meets the flag by file and chunk of ``width`` pages, so no file sets
+    the size of a task.  Pages without a number belong to the first chunk.
+    """
+    keyed = with_known(pages, *FILE_KEY)
+    chunk = F.coalesce(F.expr(f"page_no div {int(width)}L"), F.lit(0).cast("long"))
+    flagged = join_carry(keyed.withColumn(CHUNK, chunk), _readable_chunks(keyed, width), FILE_KEY)
+    flag = F.coalesce("machine_readable", F.lit(False)).alias("machine_readable")
+    return flagged.select(*[keyed[c] for c in keyed.columns if c != "machine_readable"], flag)
 
 
 def resolve_page_text(pages: DataFrame) -> DataFrame:
@@ -62,12 +70,6 @@ def footer_text(spans: DataFrame) -> DataFrame:
     )
 
 
-def attach_footers(pages: DataFrame, footers: DataFrame) -> DataFrame:
-    """Put ``footer_text`` rows next to their pages."""
-    keyed = with_known(pages.drop("footer_text"), *FILE_KEY)
-    return keyed.join(with_known(footers, *FILE_KEY), [*FILE_KEY, "page_no"], "left")
-
-
 def start_match(page: Column, footer: Column, footer_ocr: Column, stype: StatementType) -> Column:
     """struct(matched, source, group1) of the start pattern.
 
@@ -148,60 +150,125 @@ def match_phrase(pages: DataFrame, stype: StatementType) -> DataFrame:
     return pages.withColumn("phrase_matched", phrase_found(F.col("page_text"), stype) & ~F.col("matched"))
 
 
-def page_event(page_no: Column, raw: Column, searched: tuple[Column, Column, Column], stype: StatementType) -> Column:
-    """struct(start_id, closes) of one page.
-
-    ``raw`` is the page text as it stands; ``searched`` are the normalised page,
-    footer and footer OCR texts.  ``start_id`` is set on pages that start a
-    statement, ``closes`` where an open statement ends.  A page whose pattern
-    matched never closes.
-    """
-    matched, number = F.lit(False), F.lit(None).cast("string")
-    if stype.start_pattern:
-        match = start_match(*searched, stype)
-        matched, number = match["matched"], statement_number_text(match["group1"])
-    starts = matched | phrase_found(raw, stype)
-    return F.struct(
-        F.when(starts, F.coalesce(number, page_no.cast("string"))).alias("start_id"),
-        (statement_ends(raw, stype) & ~matched).alias("closes"),
-    )
+def found_start(text: Column, stype: StatementType) -> Column:
+    """struct(hit, number) of the start pattern in one normalised text."""
+    if not stype.start_pattern:
+        return F.struct(F.lit(False).alias("hit"), F.lit(None).cast("string").alias("number"))
+    pattern = tx.search_pattern(stype.start_pattern)
+    hit, number = F.coalesce(text.rlike(pattern), F.lit(False)), F.lit(None).cast("string")
+    if stype.pattern_has_group:
+        number = F.when(hit, statement_number_text(F.regexp_extract(text, pattern, 1)))
+    return F.struct(hit.alias("hit"), number.alias("number"))
 
 
-def page_events(pages: DataFrame, stype: StatementType, width: int = PAGE_WIDTH) -> DataFrame:
-    """Reduce pages to ``(file, page_no, start_id, closes)`` in one pass over the text.
+def page_readings(pages: DataFrame, stype: StatementType, width: int = PAGE_WIDTH) -> DataFrame:
+    """What one pass over the text says about each page: a small row without any text.
 
     Whether a file is machine readable is only known from its first page, so a
-    page is searched both ways, as text layer and as scan (whose text is
-    usually null and costs nothing), and the file's own answer picks one.
-    Only these few small columns are joined or shuffled, never the text.  They
-    are spread by file and chunk of ``width`` pages, as splitting needs them.
+    page is searched both ways, as text ``layer`` and as ``scan`` (whose text is
+    usually null and costs nothing); ``readable`` is the first page's own answer.
+    Footers are searched as well.  Rows of pages without a number are kept, spread over chunks of their own.
     """
-    pages = with_known(pages, *FILE_KEY, "page_no")
     page_no = F.col("page_no")
-    as_layer = usable_text(F.col("text"), F.col("ocr_text"), F.lit(True))
-    as_scan = F.col("ocr_text")
-    texts = pages.select(*FILE_KEY, "page_no", as_layer.alias("_layer"), as_scan.alias("_scan"), *_footers(stype))
-    nothing = F.lit(None).cast("string")
-    searched = {name: (nothing, nothing, nothing) for name in ("_layer", "_scan")}
-    if stype.start_pattern:
-        columns = ["_layer", "_scan", "_footer", "_footer_ocr"]
-        texts = texts.select("*", *[tx.normalise_text(F.col(c)).alias(f"{c}_norm") for c in columns])
-        for name in searched:
-            searched[name] = (F.col(f"{name}_norm"), F.col("_footer_norm"), F.col("_footer_ocr_norm"))
-    events = texts.select(
+    layer, ocr = footer_sources(F.col("footer_text"), F.col("footer_ocr_text"))
+    footers = [layer.alias("_footer"), ocr.alias("_footer_ocr")] if stype.start_pattern else []
+    texts = with_known(pages, *FILE_KEY).select(
         *FILE_KEY,
         "page_no",
-        page_event(page_no, F.col("_layer"), searched["_layer"], stype).alias("_as_layer"),
-        page_event(page_no, F.col("_scan"), searched["_scan"], stype).alias("_as_scan"),
+        F.when(page_no == 0, is_readable_text(F.col("text"))).alias("readable"),
+        usable_text(F.col("text"), F.col("ocr_text"), F.lit(True)).alias("_layer"),
+        F.col("ocr_text").alias("_scan"),
+        *footers,
     )
-    chunked = with_chunk(events, "page_no", width)
-    readable = F.coalesce("machine_readable", F.lit(False))
-    chosen = F.when(readable, F.col("_as_layer")).otherwise(F.col("_as_scan"))
-    return (
-        join_carry(chunked, _readable_chunks(pages, width), FILE_KEY)
-        .withColumn("_event", chosen)
-        .select(*FILE_KEY, "page_no", "_event.start_id", "_event.closes", CHUNK)
+    if footers:
+        searched = ("_layer", "_scan", "_footer", "_footer_ocr")
+        texts = texts.select("*", *[tx.normalise_text(F.col(c)).alias(f"{c}_norm") for c in searched])
+
+    def start(name: str) -> Column:
+        return found_start(F.col(f"{name}_norm") if footers else F.lit(None), stype)
+
+    def reading(name: str) -> Column:
+        raw = F.col(name)
+        return F.struct(start(name).alias("start"), phrase_found(raw, stype).alias("phrase"), statement_ends(raw, stype).alias("ends"))
+
+    spread = -1 - F.pmod(F.xxhash64("_layer", "_scan"), F.lit(1024))
+    return texts.select(
+        *FILE_KEY,
+        "page_no",
+        F.coalesce(F.expr(f"page_no div {int(width)}L"), spread).alias(CHUNK),
+        "readable",
+        reading("_layer").alias("layer"),
+        reading("_scan").alias("scan"),
+        start("_footer").alias("footer"),
+        start("_footer_ocr").alias("footer_ocr"),
+    )
+
+
+def footer_starts(spans: DataFrame, stype: StatementType) -> DataFrame:
+    """The start pattern in the footers that spans hold: a small row for each page with footer text."""
+    footers = footer_text(spans)
+    return footers.select(*FILE_KEY, "page_no", found_start(tx.normalise_text(F.col("footer_text")), stype).alias("strip"))
+
+
+def with_footers(readings: DataFrame, footers: DataFrame) -> DataFrame:
+    """Readings whose footer is that of :func:`footer_starts` on pages that have one; all pages stay.
+
+    Only results of the search are joined, no text.
+    """
+    joined = readings.join(footers, [*FILE_KEY, "page_no"], "left")
+    return joined.withColumn("footer", F.coalesce("strip", "footer")).drop("strip")
+
+
+def page_matches(pages: DataFrame, stype: StatementType, spans: DataFrame | None = None, width: int = PAGE_WIDTH) -> DataFrame:
+    """One row for each page: ``machine_readable``, ``matched``, ``source``, ``number``, ``phrase_matched``, ``closes``,
+    and ``unnumbered``, whether the file has pages without a number.
+
+    All text is read in one pass, whose small result is materialised once; every
+    use of it reads that.  With ``spans`` footers are cut from them.
+    """
+    readings = page_readings(pages, stype, width)
+    if spans is not None and stype.start_pattern:
+        readings = with_footers(readings, footer_starts(spans, stype))
+    readings = settle(readings)
+    files = readings.groupBy(*FILE_KEY).agg(
+        F.coalesce(F.max("readable"), F.lit(False)).alias("machine_readable"),
+        F.max(F.col("page_no").isNull()).alias("unnumbered"),
     )
+    # The file's answer goes to each of its chunks, so pages of one file needn't meet in one task.
+    chunks = readings.select(*FILE_KEY, CHUNK).distinct().join(files, FILE_KEY)
+    known = join_carry(readings, chunks, FILE_KEY)
+    reading = F.when(F.col("machine_readable"), F.col("layer")).otherwise(F.col("scan"))
+    sources = {"page": F.col("_reading.start"), "footer": F.col("footer"), "footer_ocr": F.col("footer_ocr")}
+    source, number = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, start in reversed(sources.items()):
+        source = F.when(start["hit"], F.lit(name)).otherwise(source)
+        number = F.when(start["hit"], start["number"]).otherwise(number)
+    decided = known.withColumn("_reading", reading).withColumns({"source": source, "number": number})
+    matched = F.col("source").isNotNull()
+    return decided.select(
+        *FILE_KEY,
+        "page_no",
+        CHUNK,
+        "machine_readable",
+        matched.alias("matched"),
+        "source",
+        F.when(matched, F.coalesce("number", F.col("page_no").cast("string"))).alias("number"),
+        (F.col("_reading.phrase") & ~matched).alias("phrase_matched"),
+        (F.col("_reading.ends") & ~matched).alias("closes"),
+        "unnumbered",
+    )
+
+
+def events_of(matches: DataFrame) -> DataFrame:
+    """``(file, page_no, start_id, closes)`` of numbered pages: ``start_id`` is set on pages that start a statement,
+    ``closes`` where an open statement ends; a page whose pattern matched never closes."""
+    start = F.coalesce("number", F.when(F.col("phrase_matched"), F.col("page_no").cast("string")))
+    return matches.where(F.col("page_no").isNotNull()).select(*FILE_KEY, "page_no", start.alias("start_id"), "closes", CHUNK)
+
+
+def page_events(pages: DataFrame, stype: StatementType, width: int = PAGE_WIDTH, spans: DataFrame | None = None) -> DataFrame:
+    """Pages reduced to what splitting needs, spread by file and chunk of ``width`` pages."""
+    return events_of(page_matches(pages, stype, spans, width))
 
 
 def _readable_chunks(pages: DataFrame, width: int) -> DataFrame:
@@ -214,10 +281,3 @@ def _readable_chunks(pages: DataFrame, width: int) -> DataFrame:
     later = later.select(*FILE_KEY, CHUNK).distinct().join(files, FILE_KEY)
     first = files.withColumn(CHUNK, F.lit(0).cast("long"))
     return first.unionByName(later)
-
-
-def _footers(stype: StatementType) -> list[Column]:
-    if not stype.start_pattern:
-        return []
-    layer, ocr = footer_sources(F.col("footer_text"), F.col("footer_ocr_text"))
-    return [layer.alias("_footer"), ocr.alias("_footer_ocr")]

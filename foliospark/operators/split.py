@@ -18,7 +18,7 @@ from foliospark.operators.chunks import (
     with_chunk,
     within_chunk,
 )
-from foliospark.operators.page_text import page_events
+from foliospark.operators.page_text import events_of, page_matches
 from foliospark.schemas import FILE_KEY, with_known
 
 
@@ -27,7 +27,7 @@ class SplitResult:
     events: DataFrame  # one small row per page
     statements: DataFrame  # one row per output document, with its name
     assignments: DataFrame  # one row per page that belongs to a document
-    manual: DataFrame  # files without any start, or without any numbered page
+    manual: DataFrame  # files without any start, or with pages that have no number
 
 
 def pages_from_starts(events: DataFrame, width: int = PAGE_WIDTH) -> DataFrame:
@@ -221,7 +221,7 @@ def route_manual(files: DataFrame, statements: DataFrame | None) -> DataFrame:
     wanted = with_known(files.select(*FILE_KEY), *FILE_KEY).distinct()
     if statements is not None:
         wanted = wanted.join(with_known(statements.select(*FILE_KEY), *FILE_KEY).distinct(), FILE_KEY, "left_anti")
-    return wanted.select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem"))
+    return with_stem(wanted)
 
 
 def split_events(events: DataFrame, stype: StatementType, width: int = PAGE_WIDTH) -> SplitResult:
@@ -245,29 +245,32 @@ def split_events(events: DataFrame, stype: StatementType, width: int = PAGE_WIDT
         events=events,
         statements=name_documents(statements, stype),
         assignments=name_documents(assigned.select(*pages), stype),
-        manual=manual.select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem")),
+        manual=with_stem(manual),
     )
 
 
-def split_documents(pages: DataFrame, stype: StatementType | None, width: int = PAGE_WIDTH) -> SplitResult:
-    """Split every file of a page table by the rules of one statement type.
+def split_documents(
+    pages: DataFrame, stype: StatementType | None, width: int = PAGE_WIDTH, spans: DataFrame | None = None
+) -> SplitResult:
+    """Split every file of a page table by the rules of one statement type; footers come from ``spans`` if given.
 
-    An unknown type (``None``) sends every file to the manual list.  When more
-    than one of the results is written, persist or checkpoint ``page_events``
-    once and call :func:`split_events` on it.
+    Each file is split or on the manual list, never both: files without any
+    start, and files with pages that have no number, whose place is unknown, go
+    to the list; an unknown type (``None``) sends all there.  The text is read
+    once for all results (see :func:`page_matches`).
     """
     if stype is None:
         keyed = with_known(pages, *FILE_KEY)
         events = keyed.select(
             *FILE_KEY, "page_no", F.lit(None).cast("string").alias("start_id"), F.lit(False).alias("closes")
         )
-        result = split_events(events, StatementType(name=""), width)
-    else:
-        result = split_events(page_events(pages, stype, width), stype, width)
-    return replace(result, manual=result.manual.unionByName(unnumbered_files(pages)))
+        files = keyed.select(*FILE_KEY).distinct()
+        return replace(split_events(events, StatementType(name=""), width), manual=with_stem(files))
+    matches = page_matches(pages, stype, spans, width)
+    result = split_events(events_of(matches.where(~F.col("unnumbered"))), stype, width)
+    unnumbered = matches.where("unnumbered").select(*FILE_KEY).distinct()
+    return replace(result, events=events_of(matches), manual=result.manual.unionByName(with_stem(unnumbered)))
 
 
-def unnumbered_files(pages: DataFrame) -> DataFrame:
-    """Files none of whose pages has a number: they can't be split, so they belong to the manual list."""
-    counted = with_known(pages.select(*FILE_KEY, "page_no"), *FILE_KEY).groupBy(*FILE_KEY).agg(F.count("page_no").alias("_pages"))
-    return counted.where(F.col("_pages") == 0).select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem"))
+def with_stem(files: DataFrame) -> DataFrame:
+    return files.select(*FILE_KEY, names.stem(F.col("file_name")).alias("stem"))

@@ -27,8 +27,9 @@ def test_pages_without_folder_name_or_number(spark):
     pages = spark.createDataFrame([(*r, None, None, None) for r in data], schemas.PAGES)
     for stype in (RULE, config.StatementType(name="s", split_type="start_end", start_pattern=r"page (\d+) of")):
         done = split.split_documents(pages, stype)
-        assert files_of(done.statements) == {("", "a.pdf"), ("d", ""), ("d", "half.pdf")}
-        assert files_of(done.manual) == {("d", "n.pdf"), ("d", "none.pdf")}
+        assert files_of(done.statements) == files_of(done.assignments) == {("", "a.pdf"), ("d", "")}
+        assert files_of(done.manual) == {("d", "n.pdf"), ("d", "half.pdf"), ("d", "none.pdf")}
+        assert done.manual.count() == 3
     unknown = split.split_documents(pages, None)
     assert files_of(unknown.manual) == {("", "a.pdf"), ("d", ""), ("d", "n.pdf"), ("d", "half.pdf"), ("d", "none.pdf")}
     assert page_text.flag_machine_readable(pages).count() == len(data)
@@ -39,6 +40,13 @@ def test_every_given_file_is_a_statement_or_manual(spark):
     pages = spark.createDataFrame([(*r, None, None, None) for r in data], schemas.PAGES)
     files = spark.createDataFrame([("d", "a.pdf"), (None, "b.pdf"), ("d", "n.pdf"), ("d", "empty.pdf")], "folder string, file_name string")
     done = preprocess(files, pages, RULE)
+    why = {r["file_name"]: (r["result"], r["reason"], r["documents"], r["pages"], r["assigned_pages"]) for r in done.coverage.collect()}
+    assert why == {
+        "a.pdf": ("split", None, 1, 1, 1),
+        "b.pdf": ("manual", "no start found", 0, 1, 0),
+        "n.pdf": ("manual", "pages without a number", 0, 1, 0),
+        "empty.pdf": ("manual", "no pages", 0, 0, 0),
+    }
     manual = files_of(done.split.manual)
     assert manual == {("", "b.pdf"), ("d", "n.pdf"), ("d", "empty.pdf")}
     assert files_of(done.split.statements) | manual == files_of(done.before)

@@ -7,7 +7,8 @@ import pytest
 from catalogue import fixtures as fx
 from catalogue.queries import QUERIES
 from foliospark import schemas
-from foliospark.operators import split
+from foliospark.operators import page_text, split
+from foliospark.plans.preprocess import preprocess
 from foliospark.plans.process import process_statements
 from foliospark.sources import readers
 
@@ -26,17 +27,37 @@ def stored_pages(spark, tmp_path):
     return readers.read_pages(spark, str(tmp_path / "pages"))
 
 
+@pytest.fixture
+def checkpoints(spark, tmp_path, monkeypatch):
+    """What is materialised, in checkpoints as on a cluster."""
+    spark.sparkContext.setCheckpointDir(str(tmp_path / "checkpoints"))
+    made = []
+    monkeypatch.setattr(page_text, "settle", lambda df: made.append(df) or df.checkpoint())
+    return made
+
+
+def text_scans(plan):
+    return [line for line in plan.splitlines() if "FileScan" in line and re.search(r"ReadSchema: struct<.*\btext:string", line)]
+
+
 @pytest.mark.parametrize("rule", [fx.PAGE_RULE, fx.RANGE_RULE], ids=lambda r: r.name)
-def test_splitting_reads_the_text_once(stored_pages, rule):
-    plan = executed(split.split_documents(stored_pages, rule, width=2).assignments)
-    scans = [line for line in plan.splitlines() if "FileScan" in line]
-    texts = [line for line in scans if re.search(r"ReadSchema: struct<.*\btext:string", line)]
-    # One pass over all pages, and one over first pages only.
-    assert len([line for line in texts if "ocr_text:string" in line]) == 1
-    assert all("EqualTo(page_no,0)" in line for line in texts if "ocr_text:string" not in line)
-    # The other scans look for later chunks and read no text at all.
-    assert all("GreaterThanOrEqual(page_no,2)" in line for line in scans if line not in texts)
-    assert plan.count("ArrowEvalPython") == 1
+def test_splitting_reads_the_text_once(stored_pages, rule, checkpoints):
+    done = split.split_documents(stored_pages, rule, width=2)
+    outputs = [done.statements, done.assignments, done.manual, done.events]
+    [materialised] = checkpoints
+    plan = materialised._jdf.queryExecution().executedPlan().toString()
+    assert len(text_scans(plan)) == 1 and plan.count("FileScan") == 1
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+    assert all("FileScan" not in executed(output) for output in outputs)
+    assert {name for name, kind in materialised.dtypes if kind == "string"} == {"folder", "file_name"}
+
+
+def test_a_whole_run_reads_the_text_once(spark, stored_pages, checkpoints):
+    files = stored_pages.select("folder", "file_name").distinct()
+    done = preprocess(files, stored_pages, fx.RANGE_RULE)
+    assert len(checkpoints) == 1
+    for output in (done.split.statements, done.split.assignments, done.split.manual, done.after, done.differences, done.coverage):
+        assert not text_scans(executed(output))
 
 
 def test_extraction_does_not_shuffle_and_prunes_nested_columns(spark, tmp_path):
