@@ -125,3 +125,45 @@ def test_counts(spark, rows):
     }
     empty = counts.folder_summary(detail.where("false"), ["x"])
     assert rows(empty) == [("Total", 0, 0), ("x", 0, 0)]
+
+
+def plain_fill(rows):
+    filled, last = {}, {}
+    for name, position, value in sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1])):
+        if value is not None:
+            last[name] = value
+        filled[(name, position)] = last.get(name) if name is not None else None
+    return filled
+
+
+def test_carries_of_sparse_positions(spark):
+    """Global ids: a file's rows are far apart, most files are short, one holds a third of all rows, a sixth have no name."""
+    from foliospark.operators import chunks
+
+    rnd = random.Random(1)
+    names = [rnd.choice(["long"] * 2 + [None] + [f"f{rnd.randrange(400)}"] * 3) for _ in range(6000)]
+    rows = [(name, 10**12 + i * 70001, str(i) if rnd.random() < 0.05 else None) for i, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "OriginalFileName string, row_no long, v string").repartition(5)
+    made = []
+    carry_of = chunks.range_carry
+    chunks.range_carry = lambda *args: made.append(carry_of(*args)) or made[-1]
+    try:
+        found = chunks.last_known(frame, ["OriginalFileName"], "row_no", F.col("v"), "filled", width=100)
+    finally:
+        chunks.range_carry = carry_of
+    assert {(r["OriginalFileName"], r["row_no"]): r["filled"] for r in found.collect()} == plain_fill(rows)
+    assert found.columns == ["OriginalFileName", "row_no", "v", "filled"]
+    [carry] = made
+    assert 0 < carry.count() <= 60  # ranges of 100 rows
+    sizes = carry_of.__globals__["range_bounds"](frame, ["OriginalFileName"], "row_no", 100).collect()
+    assert sum(len(r["_bounds"]) for r in sizes) <= 60 and any(r["OriginalFileName_of_bound"] is None for r in sizes)
+
+
+def test_short_tables_are_not_cut(spark):
+    from foliospark.operators import chunks
+
+    frame = spark.createDataFrame([("a", 5, "x"), ("a", 10**15, None), (None, 1, "y")], "k string, p long, v string")
+    found = {r["p"]: r["o"] for r in chunks.last_known(frame, ["k"], "p", F.col("v"), "o").collect()}
+    assert found == {5: "x", 10**15: "x", 1: None}
+    empty = chunks.last_known(frame.limit(0), ["k"], "p", F.col("v"), "o")
+    assert empty.collect() == []
