@@ -59,6 +59,17 @@ LISTING = StatementType(
     dynamic_fields=(FieldSpec("Description"), FieldSpec("Balance", is_amount=True)),
 )
 
+# Two more types: one without static fields, one in which a field that others read as an amount is text.
+BARE = StatementType(name="bare", summary_fields=(FieldSpec("Label"),), dynamic_fields=(FieldSpec("Amount", is_amount=True),))
+NOTES = StatementType(
+    name="notes",
+    summary_fields=(FieldSpec("Label"), FieldSpec("OpeningBalance", is_amount=True)),
+    static_fields=(FieldSpec("AccountNumber", is_amount=True), FieldSpec("Reference")),
+    dynamic_fields=(FieldSpec("Date", is_date=True), FieldSpec("Description")),
+)
+MIXED_TYPES = [CARD, LISTING, BARE, NOTES]
+TYPE_SQL = "CASE WHEN l_partkey % 7 = 5 THEN 'unlisted' WHEN l_partkey % 7 = 6 THEN NULL ELSE element_at(array('card', 'listing', 'bare', 'notes'), CAST(l_suppkey % 4 AS INT) + 1) END"
+
 ACCOUNT_EXAMPLE = "44-1234"
 STATEMENT_EXAMPLE = "Statement no. 12"
 DATE_EXAMPLE = "12 NOV 2023"
@@ -319,7 +330,7 @@ RESULT_COLUMNS = [
 ]
 
 
-def analysis_results(lineitem: DataFrame) -> DataFrame:
+def analysis_results(lineitem: DataFrame, *kept: str) -> DataFrame:
     """Nested results for any table with the columns of ``lineitem``; also a stream."""
     # A date that is not printed and an amount without text have no key at all.
     entries = ", ".join(
@@ -370,6 +381,7 @@ def analysis_results(lineitem: DataFrame) -> DataFrame:
         F.expr(FILE_SQL).alias("file_name"),
         F.expr(documents).alias("documents"),
         "l_returnflag",
+        *kept,
     )
 
 
@@ -382,6 +394,13 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_results(line_items(spark, sf_dir)).drop("l_returnflag")
 
 
+def typed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of four statement types, of a type that isn't listed, and of none."""
+    items = line_items(spark, sf_dir)
+    typed = items.select("*", F.expr(TYPE_SQL).alias("statement_type"))
+    return analysis_results(typed, "statement_type").drop("l_returnflag")
+
+
 # Layout: text lines of documents, cells of line items.
 @derived
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -249,6 +249,9 @@ SELECT "OriginalFileName", row_no, "Date",
        CASE WHEN "OriginalFileName" IS NOT NULL THEN {_FILL} END AS "Date_Processed", "Amount"
 FROM ({TRANSACTIONS})"""
 
+TYPE = fx.TYPE_SQL.replace("element_at(array(", "list_extract(list_value(")
+TYPED_ROWS = ROWS.replace("AS \"Missing\", l_returnflag", f"AS \"Missing\", {TYPE} AS kind")
+
 _TYPE_ROWS = ", ".join(
     "("
     + ", ".join("NULL" if v is None else f"'{v}'" for v in (n, t.name, t.split_type, t.start_pattern, t.start_phrase, t.must_not_contain))
@@ -413,6 +416,36 @@ ORACLE: dict[str, str] = {
                CASE WHEN l_returnflag <> 'R' THEN {amount('amount_text')} END AS "Amount",
                {amount('balance_text')} AS "Balance"
         FROM ({ROWS})""",
+    "mixed_transactions": f"""
+        SELECT folder, row_no, "OriginalFileName",
+               CASE WHEN kind = 'card' THEN "StatementNumber" END AS "StatementNumber",
+               CASE WHEN kind IN ('card', 'listing') THEN "AccountName" END AS "AccountName",
+               CASE WHEN kind = 'card' THEN "AccountNumber" WHEN kind = 'notes' THEN CAST(CAST("AccountNumber" AS DOUBLE) AS VARCHAR) END AS "AccountNumber",
+               CASE WHEN kind = 'card' THEN "Reference" WHEN kind = 'notes' THEN '' END AS "Reference",
+               CASE WHEN kind = 'card' THEN '' END AS "Missing",
+               CASE WHEN kind IN ('card', 'notes') THEN "Date" END AS "Date",
+               CASE WHEN kind <> 'bare' THEN "Description" END AS "Description",
+               CASE WHEN kind IN ('card', 'bare') THEN {amount('amount_text')} END AS "Amount",
+               CASE WHEN kind IN ('card', 'listing') THEN {amount('balance_text')} END AS "Balance",
+               CASE kind WHEN 'card' THEN {_OK} WHEN 'listing' THEN {amount_ok('balance_text')} WHEN 'bare' THEN {amount_ok('amount_text')} ELSE TRUE END AS "ConversionSuccess"
+        FROM ({TYPED_ROWS}) WHERE kind <> 'unlisted'""",
+    "mixed_summaries": f"""
+        SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS "DocumentName",
+               CASE WHEN kind IN ('card', 'notes') THEN {amount(_OPENING)} END AS "OpeningBalance_Value",
+               CASE WHEN kind IN ('card', 'notes') THEN {_OPENING} END AS "OpeningBalance_Text",
+               CASE WHEN kind IN ('card', 'notes') THEN {_CONF_1} END AS "OpeningBalance_Confidence",
+               CASE WHEN kind IN ('card', 'listing') THEN {amount(f'({_CLOSING})')} END AS "ClosingBalance_Value",
+               CASE WHEN kind IN ('card', 'listing') THEN {_CLOSING} END AS "ClosingBalance_Text",
+               CASE WHEN kind IN ('card', 'listing') THEN {_CONF_1} || ' ' || {_CONF_2} END AS "ClosingBalance_Confidence",
+               CASE WHEN kind <> 'listing' THEN 'two  words  end' END AS "Label_Value",
+               CASE WHEN kind <> 'listing' THEN {_CONF_1} || ' ' || {_CONF_2} END AS "Label_Confidence",
+               CASE WHEN kind = 'card' THEN {amount(f'({_RATE})')} END AS "Rate_Value",
+               CASE WHEN kind = 'card' THEN {_RATE} END AS "Rate_Text", CASE WHEN kind = 'card' THEN {_RATE_CONF} END AS "Rate_Confidence"
+        FROM (SELECT *, {TYPE} AS kind FROM lineitem) WHERE {GOOD} AND kind <> 'unlisted'""",
+    "mixed_unmatched": f"""
+        SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name,
+               CASE WHEN kind IS NULL THEN 'no type' WHEN kind = 'unlisted' THEN kind ELSE 'failed' END AS why
+        FROM (SELECT *, {TYPE} AS kind FROM lineitem) WHERE kind IS NULL OR kind = 'unlisted' OR {fx.FAILED_SQL}""",
     "extraction_totals": f"""
         SELECT count(*) AS files, count(CASE WHEN {fx.FAILED_SQL} THEN 1 END) AS failed,
                count(CASE WHEN {GOOD} THEN 1 END) AS summaries,

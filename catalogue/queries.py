@@ -401,6 +401,25 @@ def union_runs(spark, sf_dir):
     return rows.select("folder", "OriginalFileName", "row_no", "AccountName", "AccountNumber", "Amount", "Balance")
 
 
+@query
+def mixed_transactions(spark, sf_dir):
+    """Transactions of four statement types in one table."""
+    return process.process_mixed(fx.typed_results(spark, sf_dir), fx.MIXED_TYPES).transactions
+
+
+@query
+def mixed_summaries(spark, sf_dir):
+    return process.process_mixed(fx.typed_results(spark, sf_dir), fx.MIXED_TYPES).summary
+
+
+@query
+def mixed_unmatched(spark, sf_dir):
+    """Files that gave nothing: failed ones of known types, and all of unknown types."""
+    done = process.process_mixed(fx.typed_results(spark, sf_dir), fx.MIXED_TYPES)
+    failed = done.failed.withColumn("why", F.lit("failed"))
+    return failed.unionByName(done.unmatched.select("folder", "file_name", F.coalesce("statement_type", F.lit("no type")).alias("why")))
+
+
 @query
 def extraction_totals(spark, sf_dir):
     return extract.extraction_totals(fx.results(spark, sf_dir))

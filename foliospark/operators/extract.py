@@ -6,6 +6,7 @@ except the optional join of :func:`attach_static`.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -138,16 +139,19 @@ def attach_static(rows: DataFrame, static: DataFrame) -> DataFrame:
     return joined.select("folder", ROW_NO, *map(quoted, order))
 
 
-def _with_summaries(results: DataFrame, names: list[str]) -> DataFrame:
+def _with_summaries(
+    results: DataFrame, names: list[str], where: dict[str, Column] | None = None, kept: Sequence[str] = ()
+) -> DataFrame:
     """Per name, ``_text_<i>`` and ``_confidence_<i>`` joined over all documents.
 
     The fields are looked up in one step and joined in the next, so that each
-    lookup runs once.
+    lookup runs once; with ``where`` only in the rows that have the field.
     """
 
     def lookup(name: str) -> Column:
         fields = F.transform("documents", lambda d: F.try_element_at(d["fields"], F.lit(name)))
-        return F.filter(fields, lambda f: f.isNotNull())
+        found = F.filter(fields, lambda f: f.isNotNull())
+        return F.when(where[name], found) if where else found
 
     def joined(i: int) -> list[Column]:
         texts = F.filter(F.transform(f"_found_{i}", _field_text), lambda t: t.isNotNull())
@@ -157,9 +161,9 @@ def _with_summaries(results: DataFrame, names: list[str]) -> DataFrame:
             F.array_join(confidences, " ").alias(f"_confidence_{i}"),
         ]
 
-    found = results.select("folder", "file_name", *[lookup(n).alias(f"_found_{i}") for i, n in enumerate(names)])
+    found = results.select("folder", "file_name", *kept, *[lookup(n).alias(f"_found_{i}") for i, n in enumerate(names)])
     pairs = [column for i in range(len(names)) for column in joined(i)]
-    return found.select("folder", F.col("file_name").alias(SUMMARY_KEY), *pairs)
+    return found.select("folder", F.col("file_name").alias(SUMMARY_KEY), *kept, *pairs)
 
 
 def summary_fields(results: DataFrame, stype: StatementType, sign_mode: str = "default") -> DataFrame:
@@ -287,6 +291,125 @@ def table_rows(results: DataFrame) -> DataFrame:
     return rows.where(F.col("_row").isNotNull()).select(*FILE_KEY, "table_idx", "_row.row_index", "_row.contents")
 
 
+# Several statement types in one table
+
+
+def of_types(results: DataFrame, types: Sequence[StatementType], type_column: str) -> Column:
+    return F.coalesce(F.col(type_column).isin([t.name for t in types]), F.lit(False))
+
+
+def _layout(of_type: dict[str, dict[str, str]]) -> dict[str, dict[str, list[str]]]:
+    """Columns in the order in which types bring them, each with its kinds and their types."""
+    layout: dict[str, dict[str, list[str]]] = {}
+    for type_name, columns in of_type.items():
+        for name, kind in columns.items():
+            layout.setdefault(name, {}).setdefault(kind, []).append(type_name)
+    return layout
+
+
+def _owners(of_type: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Field names in order, each with the types that have it."""
+    owners: dict[str, list[str]] = {}
+    for type_name, names in of_type.items():
+        for name in names:
+            owners.setdefault(name, []).append(type_name)
+    return owners
+
+
+def transactions_of_types(
+    results: DataFrame, types: Sequence[StatementType], type_column: str, sign_mode: str = "default"
+) -> DataFrame:
+    """Transactions with static fields, of results whose type a column names, in one projection over one read.
+
+    Columns are those of all types, null in rows of types that lack them. A
+    column that is an amount in some types and text in others is text.
+    """
+    static = _owners({t.name: _static_names(t) for t in types})
+    amounts_of = {t.name: set(t.amount_columns) for t in types}
+
+    def kinds(t: StatementType) -> dict[str, str]:
+        # A transaction's field wins over a static one; amounts that come as text must be plain numbers.
+        found = {STATIC_KEY: "file"} | {name: "static" for name in _static_names(t)}
+        found |= {f.name: "amount" if f.is_amount else "dynamic" for f in t.dynamic_fields} | {SUCCESS: "ok"}
+        names = _merged([STATIC_KEY, *_static_names(t)], [*(f.name for f in t.dynamic_fields), SUCCESS])
+        number = {n for n in names if n in amounts_of[t.name] and found[n] in ("static", "dynamic")}
+        return {n: f"number of {found[n]}" if n in number else found[n] for n in names}
+
+    wanted = analysed(results).where(of_types(results, types, type_column))
+    found = wanted.select(
+        *FILE_KEY,
+        F.col(type_column).alias("_type"),
+        _items(F.col("documents")).alias("_items"),
+        *[F.when(F.col(type_column).isin(owners), _static_column(n)).alias(f"_found_{i}") for i, (n, owners) in enumerate(static.items())],
+    )
+    texts = [F.coalesce(_field_text(F.col(f"_found_{i}")), F.lit("")).alias(f"_static_{i}") for i in range(len(static))]
+    rows = _exploded(found.select(*FILE_KEY, "_type", "_items", *texts))
+
+    def item(name: str) -> Column:
+        return F.try_element_at(F.col("_item"), F.lit(name))["value"]
+
+    success = None
+    for t in types:
+        ok = reduce(lambda a, b: a & b, [amounts.amount_ok(item(f.name)) for f in t.dynamic_fields if f.is_amount], F.lit(True))
+        here = F.col("_type") == t.name
+        success = F.when(here, ok) if success is None else success.when(here, ok)
+    index = {name: i for i, name in enumerate(static)}
+
+    def column(name: str, by_kind: dict[str, list[str]]) -> Column:
+        if name == SUCCESS:
+            return success
+        text = F.col(f"_static_{index[name]}") if name in index else F.lit(None).cast("string")
+        values = {
+            "file": F.col("file_name"),
+            "static": text,
+            "number of static": amounts.to_number(text),
+            "dynamic": item(name),
+            "number of dynamic": amounts.to_number(item(name)),
+            "amount": amounts.amount_value(item(name), sign_mode),
+        }
+        numeric = {"amount", "number of static", "number of dynamic"}
+        if len({kind in numeric for kind in by_kind}) > 1:
+            values = {kind: value.cast("string") for kind, value in values.items()}
+        return reduce(lambda done, kind: done.when(F.col("_type").isin(by_kind[kind]), values[kind]), by_kind, F)
+
+    layout = _layout({t.name: kinds(t) for t in types})
+    columns = [column(name, by_kind).alias(name) for name, by_kind in layout.items()]
+    return rows.select("folder", F.col(ROW_NO).cast("long").alias(ROW_NO), *columns)
+
+
+def summaries_of_types(
+    results: DataFrame, types: Sequence[StatementType], type_column: str, sign_mode: str = "default"
+) -> DataFrame:
+    """Wide summaries of results whose type a column names, in one projection over one read."""
+    fields = {t.name: {f.name: f.is_amount for f in t.summary_fields if f.name != SUMMARY_KEY} for t in types}
+    owners = _owners({name: list(specs) for name, specs in fields.items()})
+    index = {name: i for i, name in enumerate(owners)}
+
+    def kinds(specs: dict[str, bool]) -> dict[str, str]:
+        found = {}
+        for name, is_amount in specs.items():
+            found[f"{name}_Value"] = "amount" if is_amount else "text"
+            if is_amount:
+                found[f"{name}_Text"] = "source"
+            found[f"{name}_Confidence"] = "confidence"
+        return found
+
+    field_of = {c: n for n in owners for c in (f"{n}_Value", f"{n}_Text", f"{n}_Confidence")}
+    wanted = analysed(results).where(of_types(results, types, type_column)).withColumn("_type", F.col(type_column))
+    found = _with_summaries(wanted, list(owners), {n: F.col("_type").isin(o) for n, o in owners.items()}, ["_type"])
+
+    def column(name: str, by_kind: dict[str, list[str]]) -> Column:
+        i = index[field_of[name]]
+        text = F.col(f"_text_{i}")
+        values = {"amount": amounts.amount_value(text, sign_mode), "text": tx.strip(text), "source": text, "confidence": F.col(f"_confidence_{i}")}
+        if len({kind == "amount" for kind in by_kind}) > 1:
+            values["amount"] = values["amount"].cast("string")
+        return reduce(lambda done, kind: done.when(F.col("_type").isin(by_kind[kind]), values[kind]), by_kind, F)
+
+    layout = _layout({name: kinds(specs) for name, specs in fields.items()})
+    return found.select("folder", SUMMARY_KEY, *[column(name, by_kind).alias(name) for name, by_kind in layout.items()])
+
+
 def union_runs(runs: list[DataFrame]) -> DataFrame:
     """Rows of all runs; columns a run lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), runs)

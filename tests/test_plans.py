@@ -9,7 +9,7 @@ from catalogue.queries import QUERIES
 from foliospark import schemas
 from foliospark.operators import page_text, split
 from foliospark.plans.preprocess import preprocess
-from foliospark.plans.process import process_statements
+from foliospark.plans.process import process_mixed, process_statements
 from foliospark.sources import readers
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,6 +72,16 @@ def test_extraction_does_not_shuffle_and_prunes_nested_columns(spark, tmp_path):
     assert "transactions" not in summary_scan and "tables" not in summary_scan
 
 
+def test_four_statement_types_are_read_once(spark, tmp_path):
+    fx.typed_results(spark, SF_DIR).write.parquet(str(tmp_path / "results"))
+    done = process_mixed(spark.read.parquet(str(tmp_path / "results")), fx.MIXED_TYPES)
+    for table in (done.transactions, done.summary, done.failed, done.unmatched):
+        plan = executed(table)
+        assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Union" not in plan
+    with pytest.raises(ValueError, match="different names"):
+        process_mixed(done.failed, [fx.CARD, fx.CARD])
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_everything(spark, name):
     if name in ("process_incremental", "file_inventory"):
