@@ -330,7 +330,7 @@ RESULT_COLUMNS = [
 ]
 
 
-def analysis_results(lineitem: DataFrame, *kept: str) -> DataFrame:
+def analysis_results(lineitem: DataFrame, *kept: str, failed: str = FAILED_SQL) -> DataFrame:
     """Nested results for any table with the columns of ``lineitem``; also a stream."""
     # A date that is not printed and an amount without text have no key at all.
     entries = ", ".join(
@@ -371,7 +371,7 @@ def analysis_results(lineitem: DataFrame, *kept: str) -> DataFrame:
     )
     # Inside a lambda, so that the generated code around it stays small.
     documents = (
-        f"CASE WHEN {FAILED_SQL} THEN NULL ELSE transform(array(1, 2), n -> CASE n "
+        f"CASE WHEN {failed} THEN NULL ELSE transform(array(1, 2), n -> CASE n "
         f"WHEN 1 THEN named_struct('fields', map({first}), 'transactions', slice(_items, 1, 3)) "
         f"ELSE named_struct('fields', map({second}), 'transactions', "
         "CASE WHEN l_linenumber > 3 THEN slice(_items, 4, 4) END) END) END"
@@ -401,6 +401,21 @@ def typed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis_results(typed, "statement_type").drop("l_returnflag")
 
 
+#: Failed analyses that come back in good order, and results that are delivered a second time though they were good.
+RETURNED_SQL, REPEATED_SQL = "l_orderkey % 82 = 41", "l_orderkey % 10 = 3"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Two batches of results, each file in an object of its own name; the second has returned, repeated and still failing files."""
+    items = line_items(spark, sf_dir)
+    second = items.where(f"({FAILED_SQL}) OR ({REPEATED_SQL})")
+    batches = []
+    for rows, failed, day in ((items, FAILED_SQL, "2024-01-01"), (second, f"({FAILED_SQL}) AND NOT ({RETURNED_SQL})", "2024-01-02")):
+        results = analysis_results(rows, failed=failed).drop("l_returnflag")
+        batches.append(results.withColumns({"source": F.concat("folder", F.lit("/"), "file_name"), "version": F.lit(day).cast("timestamp")}))
+    return batches
+
+
 # Layout: text lines of documents, cells of line items.
 @derived
 def text_results(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -259,7 +259,51 @@ _TYPE_ROWS = ", ".join(
     for n, t in enumerate(fx.SPLIT_TYPES)
 )
 
+ORACLE_PHRASE = f"WITH {BY_PHRASE} SELECT {STEM} AS stem FROM (SELECT folder, file_name FROM events GROUP BY ALL HAVING count(start_id) = 0)"
+ORACLE_PAGE = f"WITH {BY_PAGE} SELECT {STEM} AS stem FROM (SELECT folder, file_name FROM events GROUP BY ALL HAVING count(start_id) = 0)"
+
+# Every cell of the nested results that has a name of its own.
+_FIELDS = [
+    (0, "StatementNumber", "'No. ' || CAST(l_orderkey AS VARCHAR)", "'unused'", "NULL"),
+    (0, "AccountNumber", "''", "CAST(l_suppkey AS VARCHAR)", "NULL"),
+    (0, "Reference", "CASE WHEN l_partkey % 3 = 0 THEN '' END", "NULL", "NULL"),
+    (0, "OpeningBalance", fx.OPENING_SQL, "NULL", fx.CONFIDENCE_1_SQL),
+    (0, "ClosingBalance", fx.CLOSING_1_SQL, "'0.00'", fx.CONFIDENCE_1_SQL),
+    (0, "Label", "' two  words '", "NULL", fx.CONFIDENCE_1_SQL),
+    (1, "StatementNumber", "'second'", "NULL", "NULL"),
+    (1, "AccountName", "'Supplier ' || CAST(l_suppkey AS VARCHAR)", "NULL", "NULL"),
+    (1, "Reference", "'late'", "NULL", "NULL"),
+    (1, "ClosingBalance", "NULL", fx.CLOSING_2_SQL, fx.CONFIDENCE_2_SQL),
+    (1, "Label", "'end '", "NULL", fx.CONFIDENCE_2_SQL),
+]
+_CELLS = [
+    ("Date", fx.DATE_SQL, f"{fx.DATE_SQL} IS NOT NULL"),
+    ("Description", fx.DESCRIPTION_SQL, "TRUE"),
+    ("Amount", fx.AMOUNT_SQL, f"{fx.AMOUNT_KIND} <> 0"),
+    ("Reference", fx.REFERENCE_SQL, "TRUE"),
+    ("Balance", fx.BALANCE_SQL, "TRUE"),
+    ("NotConfigured", "'ignored'", "TRUE"),
+]
+_FILE = f"{fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name"
+_FIELD_ROWS = [
+    f"SELECT {_FILE}, {n} AS document, '{name}' AS name, {content} AS content, {value} AS value, CAST({confidence} AS VARCHAR) AS confidence FROM lineitem WHERE {GOOD}"
+    for n, name, content, value, confidence in _FIELDS
+] + [f"SELECT {_FILE}, 1, 'Rate', '4.5%', NULL, CAST({fx.CONFIDENCE_2_SQL} AS VARCHAR) FROM lineitem WHERE {GOOD} AND l_partkey % 5 = 0"]
+_CELL_ROWS = [f"SELECT {_FILE}, i, '{name}' AS name, {value} AS value FROM {ITEMS} WHERE {GOOD} AND {there}" for name, value, there in _CELLS]
+_SHOWN = "name || '=' || coalesce(content, '~') || '|' || coalesce(value, '~') || '|' || coalesce(confidence, '~')"
+DOCUMENTS = f"""
+WITH fields AS (
+  SELECT folder, file_name, document, string_agg({_SHOWN}, ';' ORDER BY {_SHOWN}) AS fields FROM ({" UNION ALL ".join(_FIELD_ROWS)}) GROUP BY 1, 2, 3),
+lines AS (
+  SELECT folder, file_name, i, string_agg(name || '=~|' || coalesce(value, '~'), ';' ORDER BY name || '=~|' || coalesce(value, '~')) AS line
+  FROM ({" UNION ALL ".join(_CELL_ROWS)}) GROUP BY 1, 2, 3),
+items AS (
+  SELECT folder, file_name, CASE WHEN i > 3 THEN 1 ELSE 0 END AS document, string_agg(line, chr(10) ORDER BY i) AS items FROM lines GROUP BY 1, 2, 3)
+SELECT folder, file_name, CAST(document AS INTEGER) AS document, fields, items FROM fields LEFT JOIN items USING (folder, file_name, document)
+UNION ALL SELECT {_FILE}, NULL, NULL, NULL FROM lineitem WHERE {fx.FAILED_SQL}"""
+
 ORACLE: dict[str, str] = {
+    "analysis_documents": DOCUMENTS,
     "page_table": PAGES,
     "analysis_round_trip": f"""
         SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name, {fx.FAILED_SQL} AS failed,
@@ -379,7 +423,8 @@ ORACLE: dict[str, str] = {
         SELECT folder, "OriginalFileName", row_no, "Date", "Description", "Reference", {_MONEY} FROM ({ROWS})""",
     "convert_amount": f"""
         SELECT file_name, i, {amount('amount_text')} AS value,
-               CASE WHEN amount_text LIKE '%-%' THEN -1 ELSE 1 END * abs({amount('amount_text')}) AS corrected_value
+               CASE WHEN amount_text LIKE '%-%' THEN -1 ELSE 1 END * abs({amount('amount_text')}) AS corrected_value,
+               {amount_ok('amount_text')} AS ok
         FROM (SELECT {fx.FILE_SQL} AS file_name, i, {fx.AMOUNT_SQL} AS amount_text FROM {ITEMS})""",
     "conversion_success": f"""
         SELECT folder, "ConversionSuccess", count(*) AS rows FROM (SELECT folder, {_MONEY} FROM ({ROWS})) GROUP BY ALL""",
@@ -446,6 +491,38 @@ ORACLE: dict[str, str] = {
         SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name,
                CASE WHEN kind IS NULL THEN 'no type' WHEN kind = 'unlisted' THEN kind ELSE 'failed' END AS why
         FROM (SELECT *, {TYPE} AS kind FROM lineitem) WHERE kind IS NULL OR kind = 'unlisted' OR {fx.FAILED_SQL}""",
+    "named_objects": f"""
+        SELECT folder || '/100% ' || file_name || '+' || page_no || '.json' AS name, * FROM ({PAGES})""",
+    "unsplit_manifest_of_runs": f"""
+        WITH one AS ({ORACLE_PHRASE}), two AS ({ORACLE_PAGE})
+        SELECT stem, min(run) AS first_run, count(*) AS runs
+        FROM (SELECT stem, 'run 1' AS run FROM one UNION ALL SELECT stem, 'run 2' FROM two) GROUP BY stem""",
+    "raw_text_written": f"""
+        SELECT source AS folder, 'doc_' || CAST(doc_id AS VARCHAR) || '.pdf' AS document_name, text AS extracted_text
+        FROM documents WHERE doc_id % 37 <> 0""",
+    "tables_written": f"""
+        SELECT *, CAST(NULL AS VARCHAR) AS "Note",
+               CASE WHEN "Amount" < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', abs("Amount")) AS shown_amount
+        FROM ({FILLED})""",
+    "run_all_document_tasks": f"""
+        WITH first AS ({CATEGORISED}), second AS ({PREFIXED}), third AS ({DUPLICATES}),
+        named AS (SELECT folder, file_name, first.target_folder,
+                         CASE WHEN second.action = 'rename' THEN left(second.target_name, 9) ELSE '' END || first.target_name AS target_name
+                  FROM first JOIN second USING (folder, file_name))
+        SELECT folder, file_name, CAST(0 AS INTEGER) AS step, task, action, target_folder, target_name, detail FROM first
+        UNION ALL
+        SELECT folder, file_name, 1, second.task, second.action, named.target_folder, named.target_name, second.detail
+        FROM named JOIN second USING (folder, file_name)
+        UNION ALL
+        SELECT folder, file_name, 2, third.task, third.action,
+               CASE WHEN third.action = 'move' THEN third.target_folder ELSE named.target_folder END, named.target_name, third.detail
+        FROM named JOIN third USING (folder, file_name)""",
+    "incremental_retry": f"""
+        SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name,
+               CASE WHEN {fx.FAILED_SQL} AND NOT ({fx.RETURNED_SQL}) THEN 'failed' ELSE 'analysed' END AS status,
+               CAST(CASE WHEN {fx.FAILED_SQL} THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
+               CASE WHEN {fx.FAILED_SQL} AND NOT ({fx.RETURNED_SQL}) THEN NULL ELSE l_linenumber END AS rows
+        FROM lineitem""",
     "extraction_totals": f"""
         SELECT count(*) AS files, count(CASE WHEN {fx.FAILED_SQL} THEN 1 END) AS failed,
                count(CASE WHEN {GOOD} THEN 1 END) AS summaries,
@@ -505,9 +582,9 @@ ORACLE: dict[str, str] = {
     "run_table_tasks": f"""SELECT "Date_Processed", count(*) AS rows FROM ({FILLED}) GROUP BY 1""",
     "last_known_value": f"""
         SELECT "OriginalFileName", row_no,
-               last_value(CASE WHEN row_no % 5 = 0 THEN "Amount" END IGNORE NULLS)
-               OVER (PARTITION BY "OriginalFileName" ORDER BY row_no) AS "Amount_Processed"
-        FROM ({TRANSACTIONS}) WHERE "OriginalFileName" IS NOT NULL""",
+               CASE WHEN "OriginalFileName" IS NOT NULL THEN last_value(CASE WHEN row_no % 5 = 0 THEN "Amount" END IGNORE NULLS)
+               OVER (PARTITION BY "OriginalFileName" ORDER BY row_no) END AS "Amount_Processed"
+        FROM ({TRANSACTIONS})""",
     "pending_results": f"""
         SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name FROM lineitem
         WHERE l_orderkey % 3 = 0 OR {fx.FAILED_SQL}""",

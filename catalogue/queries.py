@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -36,13 +35,16 @@ def query(function: Query) -> Query:
 # Sources
 
 
-def stored(df, kind, fmt="parquet"):
-    """Written to the folder that all executors share, and its path; to a folder of this machine in tests on it."""
-    spark = df.sparkSession
+def new_folder(spark, kind):
+    """A path in the folder that all executors share; on this machine in tests on it."""
     base = shared_folder(spark)
     if base is None and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{(base or tempfile.mkdtemp(prefix='run-', dir='/tmp')).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    return f"{(base or tempfile.mkdtemp(prefix='run-', dir='/tmp')).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def stored(df, kind, fmt="parquet"):
+    path = new_folder(df.sparkSession, kind)
     df.write.format(fmt).save(path)
     return path
 
@@ -69,6 +71,67 @@ def analysis_round_trip(spark, sf_dir):
     )
 
 
+@query
+def analysis_documents(spark, sf_dir):
+    """Every field and transaction cell of results that were written as JSON and read back by the reader, as text."""
+    path = stored(fx.results(spark, sf_dir), "analysis_documents", "json")
+    results = readers.read_analysis_results(spark, path)
+    unnamed = ("NoDate", "NoAmount", "NoRate")
+
+    def texts(cells, *shown):
+        named = F.filter(F.map_entries(cells), lambda e: ~e["key"].isin(*unnamed))
+        return F.sort_array(F.transform(named, lambda e: F.concat(e["key"], F.lit("="), F.concat_ws("|", *(F.coalesce(show(e["value"]), F.lit("~")) for show in shown)))))
+
+    content, value, confidence = (lambda c: c["content"]), (lambda c: c["value"]), (lambda c: tx.float_text(c["confidence"]))
+    items = F.transform("_document.transactions", lambda item: F.array_join(texts(item, content, value), ";"))
+    documents = results.select("folder", "file_name", F.posexplode_outer("documents").alias("document", "_document"))
+    return documents.select(
+        "folder", "file_name", "document", F.array_join(texts(F.col("_document.fields"), content, value, confidence), ";").alias("fields"), F.array_join(items, "\n").alias("items")
+    )
+
+
+@query
+def named_objects(spark, sf_dir):
+    """All seven columns of pages, written as one object each under names with blanks and percent signs, and read back."""
+    path = new_folder(spark, "named_objects")
+    name = F.format_string("%s/100%% %s+%d.json", "folder", "file_name", "page_no")
+    writers.write_named_objects(fx.pages(spark, sf_dir), path, name)
+    good, _ = readers.read_named_objects(spark, path, schemas.PAGES, prefix="f")
+    return good
+
+
+@query
+def unsplit_manifest_of_runs(spark, sf_dir):
+    """The manual lists of two runs, one of which was repeated."""
+    path = new_folder(spark, "unsplit")
+    pages = fx.pages(spark, sf_dir)
+    for run, rule in (("run 1", fx.PHRASE_RULE), ("run 2", fx.PAGE_RULE), ("run 2", fx.PAGE_RULE)):
+        writers.append_unsplit_manifest(split.split_documents(pages, rule).manual, path, run)
+    return readers.read_unsplit_manifest(spark, path)
+
+
+@query
+def raw_text_written(spark, sf_dir):
+    """Texts of documents written and read back."""
+    path = new_folder(spark, "raw_text")
+    writers.write_raw_text(raw_text(spark, sf_dir), path)
+    return spark.read.parquet(f"{path}/ExtractedText")
+
+
+@query
+def tables_written(spark, sf_dir):
+    """Transactions of a run written as display tables, read back, date-filled and written as processed tables."""
+    path = new_folder(spark, "tables")
+    rows = fx.transactions(spark, sf_dir).withColumn("Note", F.when(F.col("row_no") % 3 == 1, "n/a").when(F.col("row_no") % 3 == 2, ""))
+    summary = rows.groupBy("OriginalFileName").agg(F.count("*").alias("rows"))
+    writers.write_tables(rows, summary, path, fx.CARD, csv=True)
+    transactions, summary = readers.read_tables(spark, path)
+    filled = tasks.run_table_tasks(transactions, ["fill_missing_dates"])
+    target = writers.write_processed(filled, summary, path, csv=True)
+    shown = readers.read_tables(spark, f"{path}/csv", "csv")[0].select(F.col("row_no").cast("long").alias("row_no"), F.col("Amount").alias("shown_amount"))
+    return spark.read.parquet(f"{target}/transactions").join(shown, "row_no")
+
+
 @query
 def json_objects_parsed(spark, sf_dir):
     """JSON objects, some of them cut off: which ones parse, and to what."""
@@ -334,6 +397,7 @@ def convert_amount(spark, sf_dir):
         F.col("i").cast("long").alias("i"),
         amounts.convert_amount(F.col("amount_text"))["value"].alias("value"),
         amounts.amount_value(F.col("amount_text"), "corrected").alias("corrected_value"),
+        amounts.convert_amount(F.col("amount_text"))["ok"].alias("ok"),
     )
 
 
@@ -535,6 +599,16 @@ def run_document_tasks(spark, sf_dir):
     return tasks.run_document_tasks(fx.spans(spark, sf_dir), steps, wanted)
 
 
+@query
+def run_all_document_tasks(spark, sf_dir):
+    """All tasks, duplicates last: their folders and names are those that the tasks before gave."""
+    wanted = tasks.DocumentExamples(
+        field_name="Account Number", value=fx.ACCOUNT_EXAMPLE, account=fx.ACCOUNT_EXAMPLE, statement=fx.STATEMENT_EXAMPLE, date=fx.DATE_EXAMPLE
+    )
+    steps = ["categorise_by_value", "add_date_prefix_to_filenames", "identify_and_move_duplicates"]
+    return tasks.run_document_tasks(fx.spans(spark, sf_dir), steps, wanted)
+
+
 @query
 def run_table_tasks(spark, sf_dir):
     rows = fx.transactions(spark, sf_dir)
@@ -545,7 +619,7 @@ def run_table_tasks(spark, sf_dir):
 @query
 def last_known_value(spark, sf_dir):
     """Forward fill of an amount, in short chunks so that values cross them."""
-    rows = fx.transactions(spark, sf_dir).where(F.col("OriginalFileName").isNotNull())
+    rows = fx.transactions(spark, sf_dir)
     kept = F.when(F.col("row_no") % 5 == 0, F.col("Amount"))
     return last_known(rows, ["OriginalFileName"], "row_no", kept, "Amount_Processed", width=64).select(
         "OriginalFileName", "row_no", "Amount_Processed"
@@ -564,14 +638,22 @@ def pending_results(spark, sf_dir):
     return incremental.pending(results, manifest).select("folder", "file_name")
 
 
+@query
+def incremental_retry(spark, sf_dir):
+    """Two deliveries, the second with failed files that came back under their own names: what is known of each file, and its transactions."""
+    path = new_folder(spark, "incremental_retry")
+    for number, batch in enumerate(fx.deliveries(spark, sf_dir)):
+        for _ in range(number + 1):  # the second one is run again
+            incremental.extract_batch(batch, fx.CARD, path, number)
+    known = incremental.current_status(incremental.read_manifest(spark, path))
+    rows = spark.read.parquet(f"{path}/transactions").groupBy("folder", F.col("OriginalFileName").alias("file_name")).agg(F.count("*").alias("rows"))
+    return known.join(rows, ["folder", "file_name"], "left").select("folder", "file_name", "status", "batch_id", "rows")
+
+
 @query
 def process_incremental(spark, sf_dir):
     """Line items read as a stream of results, extracted with a checkpoint."""
-    base = tempfile.mkdtemp(prefix="run-", dir="/tmp") if shared_folder(spark) is None else None
-    if base is None:
-        base = os.path.join(shared_folder(spark), f"process_incremental-{uuid.uuid4().hex}")
-    elif not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    base = new_folder(spark, "process_incremental")
     schema = fx.table(spark, sf_dir, "lineitem").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
     results = fx.analysis_results(stream).drop("l_returnflag")

@@ -136,7 +136,7 @@ def extract_values(
     active = [s for s in searches if s.pattern.length > 0]
     empty = [F.lit(None).cast("string").alias(s.name) for s in searches if s.pattern.length == 0]
     if not active:
-        return (spans if files is None else files).select(*FILE_KEY).distinct().select("*", *empty)
+        return with_known((spans if files is None else files).select(*FILE_KEY), *FILE_KEY).distinct().select("*", *empty)
 
     regions = {f"region_{n}": fraction for n, fraction in enumerate(sorted({s.page_fraction for s in active}))}
     region_of = {fraction: name for name, fraction in regions.items()}
@@ -152,7 +152,7 @@ def extract_values(
     values = [tx.null_if_empty(tx.strip(F.col(f"hit_{i}"))).alias(s.name) for i, s in enumerate(active)]
     result = found.select(*FILE_KEY, *values, *empty)
     if files is not None:
-        result = files.select(*FILE_KEY).distinct().join(result, FILE_KEY, "left")
+        result = with_known(files.select(*FILE_KEY), *FILE_KEY).distinct().join(result, FILE_KEY, "left")
     return result.select(*FILE_KEY, *[s.name for s in searches])
 
 

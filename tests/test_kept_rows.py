@@ -79,6 +79,10 @@ def test_transactions_without_static_row_or_folder_stay(spark):
 def test_spans_and_duplicates_without_folder(spark):
     spans = spark.createDataFrame([(None, "a.pdf", 0, 0, 0, 0, "No 12", 0.0, 0.0, 600.0, 9.0, 99.0, 0)], schemas.SPANS)
     assert files_of(values.region_text(spans)) == {("", "a.pdf")}
+    found = values.extract_value(spans, "No 12", 1.0, spans.select("folder", "file_name")).collect()
+    assert [(r["folder"], r["value"]) for r in found] == [("", "No 12")]
+    nothing = values.extract_value(spans, "", 1.0, spans.select("folder", "file_name")).collect()
+    assert [(r["folder"], r["value"]) for r in nothing] == [("", None)]
     files = postprocess.with_location(spark.createDataFrame([(None, "a"), (None, "b"), ("d", None)], "folder string, file_name string"))
     assert sorted(r["action"] for r in postprocess.duplicate_action(files, F.lit("same")).collect()) == ["move", "none", "none"]
 
