@@ -42,12 +42,13 @@ def settled(df: DataFrame) -> DataFrame:
 
 
 def sample_by_id(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """About ``rows`` rows, chosen by a digest of their key; all if there are no more. Nothing is sorted or shuffled."""
+    """About ``rows`` rows, chosen by a digest of the whole row, its key first; all if there are no more. Reruns agree; nothing is sorted or shuffled."""
     count = df.count()
     if count <= rows:
         return df
     scale = 1 << 30
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(scale)) < int(scale * rows / count)).limit(2 * rows)
+    columns = [F.col(key), *(F.col(f"`{c}`") for c in df.columns if c != key)]
+    return df.where(F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(scale)) < int(scale * rows / count))
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:

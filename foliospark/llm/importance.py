@@ -226,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     docs = docs.select("doc_id", "text")
     raw, target = ngram_counts(docs.join(broadcast_if_small(marks, SENT_LABELS), "doc_id", "left"))
     ratios = log_ratios(target, raw)
-    marked = docs.join(F.broadcast(sample_by_id(marks, "doc_id", LABELLED)), "doc_id")
+    marked = docs.join(broadcast_if_small(sample_by_id(marks, "doc_id", LABELLED), 2 * LABELLED), "doc_id")
     seen = settled(_summed(marked, ratios, "text", "total double, n double", lambda sums, sizes: [pa.array(sums), pa.array(sizes)]).select("good", "total", "n")).toArrow()
     good, sums, sizes = (np.asarray(seen.column(c)).astype(t) for c, t in (("good", bool), ("total", float), ("n", float)))
     mean, own, between = spread = good_spread(sums[good], sizes[good])

@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import sample_by_id, settled
+from foliospark.llm.common import sample_by_id, settled, stored
 from foliospark.llm.components import connected
 
 #: Sets that one task joins with as many others; larger families are dealt out as pairs of blocks.
 BLOCK = 4096
 #: Keys that a task combines before it hands them on.
 COMBINE = 1 << 21
-LEAF, FANOUT = 16, 8
+LEAF, FANOUT = 4, 4
 #: Documents of the sample in which tokens are counted for their order.
 SAMPLE = 8192
 
@@ -230,26 +230,10 @@ class SignatureTree:
         return found
 
 
-_INFO = "doc_id long, n_shingles long, digest long"
-
-
 def _columns(text: str, doc_id: str):
     return [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")]
 
 
-def set_sizes(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles and a digest of the whole set of each row."""
-
-    def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Shingler(width).tokens
-        for batch in batches:
-            found = [tokens(t) for part in slices(batch) for t in part.column("text").to_pylist()]
-            digests = [xxhash.xxh3_64_intdigest(t.tobytes()) - (1 << 63) for t in found]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(t) for t in found], pa.int64()), pa.array(digests, pa.int64())], ["doc_id", "n_shingles", "digest"])
-
-    return docs.mapInArrow(size, _INFO)
-
-
 def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens that at least three of about SAMPLE documents have, and the logarithm of how many: at most a few MB.
 
@@ -271,26 +255,32 @@ def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     return token[order], np.log2(n[order]).astype(np.int8)
 
 
-def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
-    """Rows (key, doc_id) of the join keys; with ``parts`` always by parts, and of each family (a column) by itself.
+def _combined(keys: list[np.ndarray], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, with its first document; other documents of the key are tied to that one by keys of their own."""
+    doc = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+    key = np.concatenate(keys)
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+    tie = np.unique(np.stack([doc, first], 1)[doc != first], axis=0)
+    name = mixed(mixed(tie[:, 0].astype(np.uint64) * _M1) + tie[:, 1].astype(np.uint64) * _M2)
+    return np.concatenate([key[new], name, name]), np.concatenate([doc[new], tie[:, 0], tie[:, 1]])
+
 
-    A task hands on each key once: documents in it that share a key are tied by
+def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
+    """In one pass over the texts: for each row doc_id, n_shingles and a digest of the whole set, and rows (key, doc_id) of the join keys.
+
+    With ``parts`` keys are always by parts, and of each family (a column) by
+    itself.  A task hands on each key once: documents in it that share a key are tied by
     a key of their own instead. So a key has a row for each task, not for each
     document, however many share it.
     """
 
-    def combined(keys: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-        doc = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
-        key = np.concatenate(keys)
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        new = np.concatenate(([True], key[1:] != key[:-1]))
-        first = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        tie = np.unique(np.stack([doc, first], 1)[doc != first], axis=0)
-        name = mixed(mixed(tie[:, 0].astype(np.uint64) * _M1) + tie[:, 1].astype(np.uint64) * _M2)
-        key = np.concatenate([key[new], name, name])
-        doc = np.concatenate([doc[new], tie[:, 0], tie[:, 1]])
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(doc)], ["key", "doc_id"])
+    def rows(doc, key, count, digest) -> pa.RecordBatch:
+        none = pa.nulls(len(doc), pa.int64())
+        columns = [none if c is None else pa.array(c, pa.int64()) for c in (doc, key, count, digest)]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "digest"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, bands = Shingler(width), Bands(num, den, frequent, parts)
@@ -298,19 +288,32 @@ def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple
         for batch in batches:
             for part in slices(batch):
                 family = part.column("family").to_pylist() if parts else [0] * part.num_rows
-                for doc, text, own in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), family):
-                    found = bands.keys(shingler.tokens(text)) if doc is not None else ()
+                docs_of, sizes, digests = part.column("doc_id").to_pylist(), [], []
+                for doc, text, own in zip(docs_of, part.column("text").to_pylist(), family):
+                    tokens = shingler.tokens(text)
+                    sizes.append(len(tokens))
+                    digests.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63))
+                    found = bands.keys(tokens) if doc is not None else ()
                     if len(found):
                         keys.append(mixed(found ^ np.uint64(own & 0xFFFFFFFFFFFFFFFF)) if parts else found)
                         ids.append(doc)
                         held += len(found)
+                if not parts:
+                    yield rows(docs_of, None, sizes, digests)
                 if held >= COMBINE:
-                    yield combined(keys, ids)
+                    key, doc = _combined(keys, ids)
+                    yield rows(doc, key.view(np.int64), None, None)
                     keys, ids, held = [], [], 0
         if keys:
-            yield combined(keys, ids)
+            key, doc = _combined(keys, ids)
+            yield rows(doc, key.view(np.int64), None, None)
 
-    return docs.mapInArrow(emit, "key long, doc_id long")
+    return docs.mapInArrow(emit, "doc_id long, key long, n_shingles long, digest long")
+
+
+def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
+    """Rows (key, doc_id) of the join keys alone."""
+    return sets_and_keys(docs, width, num, den, frequent, parts).where(F.col("key").isNotNull()).select("key", "doc_id")
 
 
 def _token_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -358,7 +361,7 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _families(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def _families(docs: DataFrame, keys: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """doc_id and family of the documents that share keys with others; similar ones are always of one family.
 
     Chains of shared passages can make a family of first tokens large. Whole
@@ -368,12 +371,12 @@ def _families(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
     def tied(rows: DataFrame) -> DataFrame:
         first = F.min("doc_id").over(Window.partitionBy("key"))
-        edges = rows.select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b").distinct()
+        edges = rows.select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b")
         return connected(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
+    families = tied(keys)
     if not Bands(num, den).by_prefix:
-        return tied(shared_keys(docs, width, num, den))
-    families = tied(shared_keys(docs, width, num, den, frequent_tokens(docs, width)))
+        return families
     large = settled(families.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("family"))
     if large.isEmpty():
         return families
@@ -395,20 +398,22 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     Other columns are ignored. An empty table gives empty results.
     """
     docs = docs.select(*_columns(text, doc_id))
-    info = settled(set_sizes(docs, width))
-    families = _families(docs, width, num, den)
-    member = settled(info.join(families, "doc_id"))
+    frequent = frequent_tokens(docs, width) if Bands(num, den).by_prefix else None
+    found = stored(sets_and_keys(docs, width, num, den, frequent))
+    info = found.where(F.col("key").isNull()).select("doc_id", "n_shingles", "digest")
+    families = _families(docs, found.where(F.col("key").isNotNull()).select("key", "doc_id"), width, num, den)
+    member = settled(info.join(families.hint("merge"), "doc_id"))
     firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative")))
     sizes = firsts.groupBy("family").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("representative"), blocks).cast("int")
-    chosen = firsts.join(sizes, "family").select("family", F.col("representative").alias("doc_id"), block.alias("block"), blocks.alias("blocks"))
-    rows = _token_rows(chosen.join(docs, "doc_id"), width)
+    chosen = firsts.join(sizes.hint("merge"), "family").select("family", F.col("representative").alias("doc_id"), block.alias("block"), blocks.alias("blocks"))
+    rows = _token_rows(chosen.join(docs.hint("merge"), "doc_id"), width)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "tokens")
     links = settled(tree_links(rows, num, den, spanning))
-    known = member.select("doc_id", "digest", "family").distinct().join(firsts, ["family", "digest"])
-    classes = info.join(known.select("doc_id", "digest", "representative"), ["doc_id", "digest"], "left")
+    known = member.select("doc_id", "digest", "family").distinct().join(firsts.hint("merge"), ["family", "digest"])
+    classes = info.join(known.select("doc_id", "digest", "representative").hint("merge"), ["doc_id", "digest"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("representative", "doc_id")).otherwise(F.col("doc_id"))
     return classes.select("doc_id", "n_shingles", own.alias("representative")), links
 
@@ -417,5 +422,5 @@ def jaccard_components(docs: DataFrame, width: int = 3, num: int = 90, den: int
     """doc_id, n_shingles and component_id, the smallest id reachable by links (its own if it has none). See ``similar``."""
     classes, links = similar(docs, width, num, den, text, doc_id)
     linked = connected(links).select(F.col("node").alias("representative"), "component")
-    joined = classes.join(linked, "representative", "left")
+    joined = classes.join(linked.hint("merge"), "representative", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "representative").alias("component_id"))

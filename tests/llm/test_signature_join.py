@@ -1,10 +1,14 @@
 import random
+import re
 
+import duckdb
 import numpy as np
 import pytest
 
+from foliospark.llm import components
 from foliospark.llm import signature_join as S
 from foliospark.llm.components import connected
+from foliospark.llm.queries import QUERIES
 
 
 def shingles(text, width):
@@ -106,3 +110,51 @@ def test_connected(spark):
     found = {r["node"]: r["component"] for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {x: find(x) for x in linked}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_forest_connects_what_its_edges_connect(spark, documents):
+    documents([])
+    rnd = random.Random(4)
+    edges = [(rnd.randrange(400), rnd.randrange(400)) for _ in range(300)] + [(1000 + i, 1001 + i) for i in range(200)] + [(5000, 5001 + i) for i in range(300)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    groups = {}
+    for x in parent:
+        groups.setdefault(root(x), set()).add(x)
+    wanted = {(x, r) for r, members in groups.items() if len(members) > 1 for x in members}
+    for most in (1 << 20, 10):
+        stars = components.forest(frame, most)
+        assert {(r["node"], r["component"]) for r in components.connected(stars).collect()} == wanted
+    assert {(r["node"], r["component"]) for r in components.connected(frame).collect()} == wanted
+    assert stars.count() <= 4 * 900
+
+
+def test_query_like_brute_force(spark):
+    """All documents of the small table, each pair compared."""
+    path = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{path}/documents.parquet'").fetchall()
+    sets = {}
+    for doc, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
+        grams = [tuple(words[i : i + 3]) for i in range(max(len(words) - 2, 1))] if words else []
+        sets[doc] = set(grams)
+    component = {doc: doc for doc in sets}
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 90 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((component[a], component[b]))
+                component = {d: low if c == high else c for d, c in component.items()}
+    found = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in QUERIES["op1_signature_join"](spark, path).collect()}
+    assert found == {(doc, len(sets[doc]), component[doc]) for doc in ids}
+    assert len({c for c in component.values()}) < len(ids)
