@@ -29,7 +29,9 @@ from foliospark.llm.components import connected
 BLOCK = 4096
 #: Keys that a task combines before it hands them on.
 COMBINE = 1 << 21
-LEAF, FANOUT = 4, 4
+LEAF, FANOUT = 8, 8
+#: Pairs of leaves that are looked at together.
+PAIRS = 256
 #: Documents of the sample in which tokens are counted for their order.
 SAMPLE = 8192
 
@@ -181,6 +183,22 @@ class SignatureTree:
             ok[part] = most * (den + num) >= num * (low[a] + low[b])
         return ok
 
+    def _labels(self, label: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The smallest and largest component number in each node of each level."""
+        found, width = [(label, label)], LEAF
+        for _ in self.levels[1:]:
+            low, high = found[-1]
+            at = np.arange(0, len(low), width)
+            found.append((np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)))
+            width = FANOUT
+        return found
+
+    @staticmethod
+    def _apart(labels: tuple[np.ndarray, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of nodes hold more than one component between them."""
+        low, high = labels
+        return np.minimum(low[i], low[j]) != np.maximum(high[i], high[j])
+
     def links(self, num: int, den: int, sides: np.ndarray | None = None, spanning: bool = True) -> list[tuple[int, int]]:
         """Pairs (positions in the given order) whose similarity is at least num / den.
 
@@ -191,33 +209,23 @@ class SignatureTree:
         n = len(self.sets)
         label = np.arange(n)
         side = np.zeros(n, np.int64) if sides is None else sides[self.order]
-        level = len(self.levels) - 1
-        i = j = np.zeros(1, np.int64)
-        while level > 1:
-            level -= 1
-            below = len(self.levels[level][1])
-            a = (i[:, None] * FANOUT + np.arange(FANOUT)[None])[:, :, None]
-            b = (j[:, None] * FANOUT + np.arange(FANOUT)[None])[:, None, :]
-            a, b = (x.ravel() for x in np.broadcast_arrays(a, b))
-            fits = (a <= b) & (b < below)
-            a, b = a[fits], b[fits]
-            ok = (a == b) | self.possible(level, a, b, num, den)
-            i, j = a[ok], b[ok]
-        nearest = np.argsort(j - i, kind="stable")
         found = []
         offsets = np.arange(LEAF)
-        for x, y in zip(i[nearest].tolist(), j[nearest].tolist()):
-            lx, ly = label[x * LEAF : (x + 1) * LEAF], label[y * LEAF : (y + 1) * LEAF]
-            if spanning and lx[0] == ly[0] and (lx == lx[0]).all() and (ly == ly[0]).all():
-                continue
-            a, b = (v.ravel() for v in np.broadcast_arrays((x * LEAF + offsets)[:, None], (y * LEAF + offsets)[None]))
+
+        def compare(x: np.ndarray, y: np.ndarray) -> None:
+            """Sets of pairs of leaves, one by one, in the order given."""
+            if spanning:
+                apart = self._apart(self._labels(label)[1], x, y)
+                x, y = x[apart], y[apart]
+            a, b = (x[:, None] * LEAF + offsets)[:, :, None], (y[:, None] * LEAF + offsets)[:, None, :]
+            a, b = (v.ravel() for v in np.broadcast_arrays(a, b))
             ok = (a < b) & (b < n)
             a, b = a[ok], b[ok]
-            ok = self.possible(0, a, b, num, den)
-            if sides is not None:
-                ok &= side[a] != side[b]
+            ok = np.ones(len(a), bool) if sides is None else side[a] != side[b]
             if spanning:
                 ok &= label[a] != label[b]
+            a, b = a[ok], b[ok]
+            ok = self.possible(0, a, b, num, den)
             for p, q in zip(a[ok].tolist(), b[ok].tolist()):
                 if spanning and label[p] == label[q]:
                     continue
@@ -227,6 +235,38 @@ class SignatureTree:
                 if both * den >= (len(small) + len(large) - both) * num:
                     found.append((self.order[p], self.order[q]))
                     label[label == label[q]] = label[p]
+
+        leaves = len(self.levels[1][1])
+        if spanning:
+            # Near copies are neighbours in the order: these tie most of a family, so that the
+            # traversal finds whole nodes in one component and leaves them out.
+            for start in range(0, leaves, 16):
+                x = np.arange(start, min(start + 16, leaves))
+                compare(x, x)
+                compare(x[x + 1 < leaves], x[x + 1 < leaves] + 1)
+        one = self._labels(label) if spanning else None
+        level = len(self.levels) - 1
+        i = j = np.zeros(1, np.int64)
+        while level > 1:
+            if spanning:
+                open_pairs = self._apart(one[level], i, j)
+                i, j = i[open_pairs], j[open_pairs]
+            level -= 1
+            below = len(self.levels[level][1])
+            a = (i[:, None] * FANOUT + np.arange(FANOUT)[None])[:, :, None]
+            b = (j[:, None] * FANOUT + np.arange(FANOUT)[None])[:, None, :]
+            a, b = (x.ravel() for x in np.broadcast_arrays(a, b))
+            fits = (a <= b) & (b < below)
+            a, b = a[fits], b[fits]
+            ok = (a == b) | self.possible(level, a, b, num, den)
+            i, j = a[ok], b[ok]
+        if spanning:
+            open_pairs = self._apart(one[1], i, j)
+            i, j = i[open_pairs], j[open_pairs]
+        nearest = np.argsort(j - i, kind="stable")
+        for start in range(0, len(nearest), PAIRS):
+            part = nearest[start : start + PAIRS]
+            compare(i[part], j[part])
         return found
 
 
