@@ -493,6 +493,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, {TYPE} AS kind FROM lineitem) WHERE kind IS NULL OR kind = 'unlisted' OR {fx.FAILED_SQL}""",
     "named_objects": f"""
         SELECT folder || '/100% ' || file_name || '+' || page_no || '.json' AS name, * FROM ({PAGES})""",
+    "file_inventory": f"""
+        SELECT 'object=' || folder || '_' || file_name || '_' || page_no AS folder,
+               CAST(strlen('{{"folder":"' || folder || '","file_name":"' || file_name || '","page_no":' || page_no || '}}') + 1 AS BIGINT) AS length
+        FROM ({PAGES})""",
     "unsplit_manifest_of_runs": f"""
         WITH one AS ({ORACLE_PHRASE}), two AS ({ORACLE_PAGE})
         SELECT stem, min(run) AS first_run, count(*) AS runs

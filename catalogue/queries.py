@@ -100,6 +100,16 @@ def named_objects(spark, sf_dir):
     return good
 
 
+@query
+def file_inventory(spark, sf_dir):
+    """The files of pages that were written one by one: their folder's name and their length; no contents are read."""
+    path = new_folder(spark, "file_inventory")
+    pages = fx.pages(spark, sf_dir).select("folder", "file_name", "page_no")
+    writers.write_named_objects(pages, path, F.concat_ws("_", "folder", "file_name", "page_no"))
+    found = readers.read_file_inventory(spark, f"{path}/*", suffix="txt")
+    return found.select(F.element_at(F.split("folder", "/"), -1).alias("folder"), "length")
+
+
 @query
 def unsplit_manifest_of_runs(spark, sf_dir):
     """The manual lists of two runs, one of which was repeated."""
@@ -125,9 +135,7 @@ def tables_written(spark, sf_dir):
     rows = fx.transactions(spark, sf_dir).withColumn("Note", F.when(F.col("row_no") % 3 == 1, "n/a").when(F.col("row_no") % 3 == 2, ""))
     summary = rows.groupBy("OriginalFileName").agg(F.count("*").alias("rows"))
     writers.write_tables(rows, summary, path, fx.CARD, csv=True)
-    transactions, summary = readers.read_tables(spark, path)
-    filled = tasks.run_table_tasks(transactions, ["fill_missing_dates"])
-    target = writers.write_processed(filled, summary, path, csv=True)
+    target = tasks.process_tables(spark, path, ["fill_missing_dates"], csv=True)
     shown = readers.read_tables(spark, f"{path}/csv", "csv")[0].select(F.col("row_no").cast("long").alias("row_no"), F.col("Amount").alias("shown_amount"))
     return spark.read.parquet(f"{target}/transactions").join(shown, "row_no")
 

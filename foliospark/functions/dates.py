@@ -33,12 +33,18 @@ def _month_number(name: Column) -> Column:
 
 # The names of weekdays that may stand before a date.
 _WEEKDAYS = "monday|mon|tuesday|tues|tue|wednesday|wed|thursday|thurs|thur|thu|friday|fri|saturday|sat|sunday|sun"
-_TIME = r"(?i)(?:[T\s,]+(?:at\s+)?)\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+_ZONE = r"\s*(?:z|utc|gmt|[+-]\d{2}:?\d{2})?$"
+_TIME = rf"(?i)(?:[T\s,]+(?:at\s+)?)\d{{1,2}}:\d{{2}}(?::\d{{2}}(?:[.,]\d+)?)?\s*(?:[ap]\.?m\.?)?{_ZONE}"
+# An hour alone, which needs its half of the day; and times without colons, which follow a T.
+_HOUR = rf"(?i)[\s,]+(?:at\s+)?\d{{1,2}}\s*[ap]\.?m\.?{_ZONE}"
+_COMPACT_TIME = rf"(?i)(?<=\d)T\d{{4}}(?:\d{{2}}(?:[.,]\d+)?)?{_ZONE}"
 
 
 def _plain_date(text: Column) -> Column:
     """The date without weekday, time, ordinal endings and ``of``; six digits as day, month and year."""
-    text = F.regexp_replace(F.trim(text), _TIME, "")
+    text = F.trim(text)
+    for time in (_TIME, _HOUR, _COMPACT_TIME):
+        text = F.regexp_replace(text, time, "")
     text = F.regexp_replace(text, rf"(?i)^(?:{_WEEKDAYS})\b[\s.,]*|[\s.,]+(?:{_WEEKDAYS})$", "")
     text = F.regexp_replace(text, r"(?i)\b(\d{1,2})(?:st|nd|rd|th)\b", "$1")
     text = F.regexp_replace(text, r"(?i)(?<=\d)\s+of\s+", " ")

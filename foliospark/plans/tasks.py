@@ -7,11 +7,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.operators import postprocess as pp
 from foliospark.operators.values import FULL_PAGE, ValueSearch, digits_only, extract_values
+from foliospark.sinks.writers import write_processed
+from foliospark.sources.readers import read_tables
 
 log = logging.getLogger(__name__)
 
@@ -51,6 +53,12 @@ def run_table_tasks(transactions: DataFrame, names: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.transform, steps, transactions)
 
 
+def process_tables(spark: SparkSession, folder: str, names: Sequence[str], fmt: str = "parquet", csv: bool = False) -> str:
+    """Read the tables of an earlier run, apply table tasks to its transactions, and write both to ``<folder>_processed``."""
+    transactions, summary = read_tables(spark, folder, fmt)
+    return write_processed(run_table_tasks(transactions, names), summary, folder, csv)
+
+
 def run_document_tasks(
     spans: DataFrame, names: Sequence[str], examples: DocumentExamples, files: DataFrame | None = None
 ) -> DataFrame:

@@ -120,6 +120,12 @@ def test_digits_of_all_scripts(spark):
         ("2023-1-30T00:00:00", (2023, 1, 30)),
         ("2023-01-30T00:00:00.000Z", (2023, 1, 30)),
         ("230130", (2030, 1, 23)),
+        ("5/10/23 3pm", (2023, 5, 10)),
+        ("5/10/23 at 11 a.m.", (2023, 5, 10)),
+        ("20230130T101500", (2023, 1, 30)),
+        ("20230130T1015Z", (2023, 1, 30)),
+        ("20230130T101500.25+0100", (2023, 1, 30)),
+        ("3pm", None),
         ("22nd of March 2021", (2021, 3, 22)),
         ("20230130", (2023, 1, 30)),
         ("Sat", None),

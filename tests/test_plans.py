@@ -84,7 +84,7 @@ def test_four_statement_types_are_read_once(spark, tmp_path):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_query_pairs_everything(spark, name):
-    if name in ("process_incremental", "file_inventory"):
+    if name in ("process_incremental", "incremental_retry", "analysis_documents", "named_objects", "file_inventory", "unsplit_manifest_of_runs", "raw_text_written", "tables_written"):
         pytest.skip("runs when it is built")
     plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
