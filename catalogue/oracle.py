@@ -286,20 +286,21 @@ _CELLS = [
 ]
 _FILE = f"{fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name"
 _FIELD_ROWS = [
-    f"SELECT {_FILE}, {n} AS document, '{name}' AS name, {content} AS content, {value} AS value, CAST({confidence} AS VARCHAR) AS confidence FROM lineitem WHERE {GOOD}"
+    f"SELECT rid, {_FILE}, {n} AS document, '{name}' AS name, {content} AS content, {value} AS value, CAST({confidence} AS VARCHAR) AS confidence FROM numbered WHERE {GOOD}"
     for n, name, content, value, confidence in _FIELDS
-] + [f"SELECT {_FILE}, 1, 'Rate', '4.5%', NULL, CAST({fx.CONFIDENCE_2_SQL} AS VARCHAR) FROM lineitem WHERE {GOOD} AND l_partkey % 5 = 0"]
-_CELL_ROWS = [f"SELECT {_FILE}, i, '{name}' AS name, {value} AS value FROM {ITEMS} WHERE {GOOD} AND {there}" for name, value, there in _CELLS]
+] + [f"SELECT rid, {_FILE}, 1, 'Rate', '4.5%', NULL, CAST({fx.CONFIDENCE_2_SQL} AS VARCHAR) FROM numbered WHERE {GOOD} AND l_partkey % 5 = 0"]
+_CELL_ROWS = [f"SELECT rid, {_FILE}, i, '{name}' AS name, {value} AS value FROM {ITEMS.replace('FROM lineitem', 'FROM numbered')} WHERE {GOOD} AND {there}" for name, value, there in _CELLS]
 _SHOWN = "name || '=' || coalesce(content, '~') || '|' || coalesce(value, '~') || '|' || coalesce(confidence, '~')"
 DOCUMENTS = f"""
-WITH fields AS (
-  SELECT folder, file_name, document, string_agg({_SHOWN}, ';' ORDER BY {_SHOWN}) AS fields FROM ({" UNION ALL ".join(_FIELD_ROWS)}) GROUP BY 1, 2, 3),
+WITH numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM lineitem),
+fields AS (
+  SELECT rid, folder, file_name, document, string_agg({_SHOWN}, ';' ORDER BY {_SHOWN}) AS fields FROM ({" UNION ALL ".join(_FIELD_ROWS)}) GROUP BY 1, 2, 3, 4),
 lines AS (
-  SELECT folder, file_name, i, string_agg(name || '=~|' || coalesce(value, '~'), ';' ORDER BY name || '=~|' || coalesce(value, '~')) AS line
-  FROM ({" UNION ALL ".join(_CELL_ROWS)}) GROUP BY 1, 2, 3),
+  SELECT rid, folder, file_name, i, string_agg(name || '=~|' || coalesce(value, '~'), ';' ORDER BY name || '=~|' || coalesce(value, '~')) AS line
+  FROM ({" UNION ALL ".join(_CELL_ROWS)}) GROUP BY 1, 2, 3, 4),
 items AS (
-  SELECT folder, file_name, CASE WHEN i > 3 THEN 1 ELSE 0 END AS document, string_agg(line, chr(10) ORDER BY i) AS items FROM lines GROUP BY 1, 2, 3)
-SELECT folder, file_name, CAST(document AS INTEGER) AS document, fields, items FROM fields LEFT JOIN items USING (folder, file_name, document)
+  SELECT rid, folder, file_name, CASE WHEN i > 3 THEN 1 ELSE 0 END AS document, string_agg(line, chr(10) ORDER BY i) AS items FROM lines GROUP BY 1, 2, 3, 4)
+SELECT folder, file_name, CAST(document AS INTEGER) AS document, fields, items FROM fields LEFT JOIN items USING (rid, folder, file_name, document)
 UNION ALL SELECT {_FILE}, NULL, NULL, NULL FROM lineitem WHERE {fx.FAILED_SQL}"""
 
 ORACLE: dict[str, str] = {
@@ -525,8 +526,8 @@ ORACLE: dict[str, str] = {
         SELECT {fx.FOLDER_SQL} AS folder, {fx.FILE_SQL} AS file_name,
                CASE WHEN {fx.FAILED_SQL} AND NOT ({fx.RETURNED_SQL}) THEN 'failed' ELSE 'analysed' END AS status,
                CAST(CASE WHEN {fx.FAILED_SQL} THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
-               CASE WHEN {fx.FAILED_SQL} AND NOT ({fx.RETURNED_SQL}) THEN NULL ELSE l_linenumber END AS rows
-        FROM lineitem""",
+               CASE WHEN {fx.FAILED_SQL} AND NOT ({fx.RETURNED_SQL}) THEN NULL ELSE CAST(sum(l_linenumber) AS BIGINT) END AS rows
+        FROM lineitem GROUP BY folder, file_name, l_orderkey""",
     "extraction_totals": f"""
         SELECT count(*) AS files, count(CASE WHEN {fx.FAILED_SQL} THEN 1 END) AS failed,
                count(CASE WHEN {GOOD} THEN 1 END) AS summaries,
