@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.config import StatementType
@@ -230,12 +230,15 @@ def page_matches(pages: DataFrame, stype: StatementType, spans: DataFrame | None
     if spans is not None and stype.start_pattern:
         readings = with_footers(readings, footer_starts(spans, stype))
     readings = settle(readings)
-    files = readings.groupBy(*FILE_KEY).agg(
-        F.coalesce(F.max("readable"), F.lit(False)).alias("machine_readable"),
-        F.max(F.col("page_no").isNull()).alias("unnumbered"),
-    )
     # The file's answer goes to each of its chunks, so pages of one file needn't meet in one task.
-    chunks = readings.select(*FILE_KEY, CHUNK).distinct().join(files, FILE_KEY)
+    in_chunk = readings.groupBy(*FILE_KEY, CHUNK).agg(F.max("readable").alias("_readable"), F.max(F.col("page_no").isNull()).alias("_null"))
+    in_file = Window.partitionBy(*FILE_KEY)
+    chunks = in_chunk.select(
+        *FILE_KEY,
+        CHUNK,
+        F.coalesce(F.max("_readable").over(in_file), F.lit(False)).alias("machine_readable"),
+        F.max("_null").over(in_file).alias("unnumbered"),
+    )
     known = join_carry(readings, chunks, FILE_KEY)
     reading = F.when(F.col("machine_readable"), F.col("layer")).otherwise(F.col("scan"))
     sources = {"page": F.col("_reading.start"), "footer": F.col("footer"), "footer_ocr": F.col("footer_ocr")}
