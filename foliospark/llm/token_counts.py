@@ -11,6 +11,7 @@ much of a text fits a budget, without encoding anything again.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,11 @@ from pyspark.sql import types as T
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
 
+#: Bytes of a piece whose table is shared by pieces that begin alike.
+SHARED_BYTES = 5
+#: Bytes before the end of a prefix by which the tokens that may end it are looked up.
+TAIL_BYTES = 5
+
 
 def byte_letters() -> dict[str, int]:
     """Letters that stand for bytes in a byte-level vocabulary: printable Latin-1 as it is, the rest from 256 on."""
@@ -29,6 +35,18 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Remembered(dict):
+    """Results of a function of one argument."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, key):
+        found = self[key] = self.function(key)
+        return found
+
+
 class PrefixCounter:
     """Counts for one vocabulary file of the ``tokenizers`` library (byte-level BPE, its own splitting pattern)."""
 
@@ -44,8 +62,12 @@ class PrefixCounter:
         pairs = (m if isinstance(m, list) else m.split(" ") for m in merges)
         self.merges = {(as_bytes(a), as_bytes(b)): rank for rank, (a, b) in enumerate(pairs)}
         self.endings = {t[k:] for t in self.tokens for k in range(len(t))}
+        self.longest = max(map(len, self.tokens))
         self.pattern = regex.compile(pattern)
         self.stable: dict[tuple[bytes, bytes], bool] = {}
+        self.made = _Remembered(self.last_merge)
+        self.tails: dict[bytes, list[int]] = {}
+        self.heads: dict[bytes, tuple[list[bytes], list[int]]] = {}
         self.known: dict[str, tuple[bytes, int, bool]] = {}
 
     def merged(self, data: bytes) -> list[bytes]:
@@ -63,32 +85,85 @@ class PrefixCounter:
                 seams[i - 1] = merges.get((parts[i - 1], parts[i]), no)
         return parts
 
+    def last_merge(self, token: bytes) -> tuple[bytes, bytes, int] | None:
+        """The merge that completes a token and its rank; None for a byte, or if ranks don't rise up to it."""
+        if len(token) == 1 or self.merged(token) != [token]:
+            return None
+        for cut in range(1, len(token)):
+            left, right = token[:cut], token[cut:]
+            rank = self.merges.get((left, right))
+            if rank is not None and all(len(x) == 1 or (m := self.made[x]) and m[2] < rank for x in (left, right)) and self.apart(left, right, rank):
+                return left, right, rank
+        return None
+
+    def apart(self, x: bytes, y: bytes, till: int = 1 << 60) -> bool:
+        """Whether no merge of a rank below ``till`` crosses the border of two tokens.
+
+        Undoes the merges on both sides of the border, latest first. Two parts
+        side by side merge if that has a lower rank than the merge that takes
+        one of them elsewhere; at equal ranks the left one comes first.
+        """
+        merges, made = self.merges, self.made
+        while True:
+            rank = merges.get((x, y))
+            if rank is not None and rank < till:
+                return False
+            a, b = made[x], made[y]
+            if b is not None and (a is None or b[2] >= a[2]):
+                y, till = b[0], b[2] + 1
+            elif a is not None:
+                x, till = a[1], a[2]
+            else:
+                return True
+
     def is_stable(self, before: bytes, token: bytes) -> bool:
         key = (before, token)
         known = self.stable.get(key)
         if known is None:
             if len(self.stable) >= REMEMBERED:
                 self.stable.clear()
-            known = self.stable[key] = self.merged(before + token) == ([before, token] if before else [token])
+            rising = (len(token) == 1 or self.made[token]) and (len(before) < 2 or self.made[before])
+            if not rising:
+                known = self.merged(before + token) == ([before, token] if before else [token])
+            else:
+                known = not before or self.apart(before, token)
+            self.stable[key] = known
         return known
 
+    def lengths(self, tail: bytes, whole: bool) -> list[int]:
+        """Lengths of the tokens that end ``tail``, longest first; an empty list if longer ones may exist before it."""
+        size = 1
+        while size < len(tail) and tail[-size - 1 :] in self.endings:
+            size += 1
+        return [] if size == len(tail) and not whole else [n for n in range(size, 0, -1) if tail[-n:] in self.tokens]
+
     def piece_prefixes(self, data: bytes) -> list[int]:
-        """Token counts of the prefixes 1, 2, ... bytes of one piece."""
-        tokens, stable, endings = self.tokens, self.is_stable, self.endings
-        last: list[bytes] = [b""]
-        counts = [0]
-        for i in range(1, len(data) + 1):
-            start = i - 1
-            while start and data[start - 1 : i] in endings:
-                start -= 1
-            for start in range(start, i):
-                token = data[start:i]
-                if token in tokens and stable(last[start], token):
+        """Token counts of the prefixes 1, 2, ... bytes of one piece. Pieces that begin alike share the start of the table."""
+        of, stable, tails = self.stable, self.is_stable, self.tails
+        known = self.heads.get(data[:SHARED_BYTES])
+        last, counts = (known[0][:], known[1][:]) if known else ([b""], [0])
+        for i in range(len(last), len(data) + 1):
+            tail = data[max(0, i - TAIL_BYTES) : i]
+            lengths = tails.get(tail)
+            if lengths is None:
+                if len(tails) >= REMEMBERED:
+                    tails.clear()
+                lengths = tails[tail] = self.lengths(tail, len(tail) < TAIL_BYTES)
+            for size in lengths or self.lengths(data[max(0, i - self.longest) : i], True):
+                start, token = i - size, data[i - size : i]
+                fits = of.get((last[start], token))
+                if fits is None:
+                    fits = stable(last[start], token)
+                if fits:
                     break
             else:
                 raise ValueError("a byte is missing from the vocabulary")
             last.append(token)
             counts.append(counts[start] + 1)
+            if i == SHARED_BYTES:
+                if len(self.heads) >= REMEMBERED:
+                    self.heads.clear()
+                self.heads[data[:i]] = last[:], counts[:]
         return counts[1:]
 
     def _entry(self, piece: str) -> tuple[bytes, int, bool]:
@@ -98,7 +173,7 @@ class PrefixCounter:
         if len(data) > len(piece):
             counts = [c for k, c in enumerate(counts, 1) if k == len(data) or data[k] & 0xC0 != 0x80]
         odd = piece.isspace() or len(piece) == 3 and piece[0] == "'" and piece[1].isalpha()
-        return np.array(counts, np.int32).tobytes(), counts[-1], odd
+        return array("i", counts).tobytes(), counts[-1], odd
 
     def _entries(self, pieces: list[str]) -> list[tuple[bytes, int, bool]]:
         known = self.known
