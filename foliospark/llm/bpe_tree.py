@@ -27,7 +27,9 @@ from pyspark.sql import types as T
 #: Pieces whose encoding a task remembers; beyond, it forgets all and starts anew.
 REMEMBERED = 1 << 19
 #: Bytes of a piece, and code points of a text, that are encoded without halving.
-LEAF_BYTES, LEAF_CHARS = 32, 1 << 14
+LEAF_BYTES, LEAF_CHARS = 4, 1 << 12
+#: Bytes of subtrees whose encoding a task remembers: words share them, so most joins of a new word are at its top.
+SHARED_BYTES = 8
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -41,7 +43,9 @@ class BytePairs:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
-        self.stable: dict[tuple[int, int], bool] = {}
+        self.seams: dict[tuple[int, int], list[int]] = {}
+        self.subtrees: dict[bytes, list[int]] = {}
+        self.joins = 0
 
     def merged(self, data: bytes) -> list[int]:
         """The encoding by its definition. A heap of possible merges keeps long inputs near-linear."""
@@ -78,33 +82,46 @@ class BytePairs:
                 heapq.heappush(heap, (r, before[i], till))
         return [ranks[data[i : stop[i]]] for i in range(end) if alive[i]]
 
-    def is_stable(self, a: int, b: int) -> bool:
-        """Whether two tokens side by side encode to themselves."""
-        known = self.stable.get((a, b))
+    def seam(self, a: int, b: int) -> list[int]:
+        """The encoding of two neighbours' bytes together."""
+        known = self.seams.get((a, b))
         if known is None:
-            if len(self.stable) >= REMEMBERED:
-                self.stable.clear()
-            known = self.stable[a, b] = self.merged(self.token[a] + self.token[b]) == [a, b]
+            if len(self.seams) >= REMEMBERED:
+                self.seams.clear()
+            known = self.seams[a, b] = self.merged(self.token[a] + self.token[b])
         return known
 
+    def is_stable(self, a: int, b: int) -> bool:
+        """Whether two tokens side by side encode to themselves."""
+        return self.seam(a, b) == [a, b]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two encodings' bytes together."""
         if not left or not right:
             return left or right
+        self.joins += 1
         i, j, step = len(left) - 1, 1, 1
+        window = self.seam(left[-1], right[0])
         while True:
-            window = self.merged(b"".join(self.token[t] for t in chain(left[i:], right[:j])))
             left_ok = i == 0 or window[0] == left[i] or self.is_stable(left[i - 1], window[0])
             right_ok = j == len(right) or window[-1] == right[j - 1] or self.is_stable(window[-1], right[j])
             if left_ok and right_ok:
                 return left[:i] + window + right[j:]
             i, j, step = i if left_ok else max(0, i - step), j if right_ok else min(len(right), j + step), step * 2
+            window = self.merged(b"".join(self.token[t] for t in chain(left[i:], right[:j])))
 
     def encode(self, data: bytes) -> list[int]:
-        if len(data) <= LEAF_BYTES:
-            return self.merged(data)
-        half = len(data) // 2
-        return self.join(self.encode(data[:half]), self.encode(data[half:]))
+        size = len(data)
+        if size > SHARED_BYTES:
+            return self.join(self.encode(data[: size // 2]), self.encode(data[size // 2 :]))
+        known = self.subtrees.get(data)
+        if known is None:
+            if len(self.subtrees) >= REMEMBERED:
+                self.subtrees.clear()
+            half = size // 2
+            known = self.merged(data) if size <= LEAF_BYTES else self.join(self.encode(data[:half]), self.encode(data[half:]))
+            self.subtrees[data] = known
+        return known
 
     def encode_piece(self, data: bytes) -> list[int]:
         """One match of the splitting pattern: whole tokens stay whole."""
@@ -197,20 +214,22 @@ def decode(tokens: dict[int, bytes], ids: list[int]) -> bytes:
     return decode(tokens, ids[:half]) + decode(tokens, ids[half:])
 
 
-def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", keep_text: bool = True) -> DataFrame:
     """Adds the token ids of each whole text; a null text has none. A column of that name is replaced.
 
-    Texts are independent, so nothing is shuffled; a task holds one Arrow batch.
+    Without ``keep_text`` the text itself is not handed back. Texts are
+    independent, so nothing is shuffled; a task holds one Arrow batch.
     """
     docs = docs.drop(ids)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    keep = [f for f in docs.schema.fields if keep_text or f.name != text]
+    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, pattern).encode
         for batch in batches:
             for part in slices(batch):
                 found = [encode(t) if t else [] for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.list_(pa.int32()))], [*part.schema.names, ids])
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(found, pa.list_(pa.int32()))], schema.names)
 
     return docs.mapInArrow(encode, schema)
 

@@ -28,8 +28,8 @@ def op1_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe_tree.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
-    decoded = bpe_tree.decode_ids(encoded.drop("text"), path, pattern)
+    encoded = bpe_tree.encode_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern, keep_text=False)
+    decoded = bpe_tree.decode_ids(encoded, path, pattern)
     return decoded.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -85,3 +85,53 @@ def test_counts_budgets_and_tables_of_odd_rows(odd, nothing):
     longest = max(i for i in range(len(first) + 1) if len(library.encode(first[:i]).ids) <= 4)
     assert fitting[1] == longest == token_counts.fits(__import__("numpy").array(tables[first]), 4)
     assert tables[None] == [] and token_counts.count_tokens(nothing, JSON, P.PATTERN).count() == 0
+
+
+def test_borders_by_undone_merges_are_those_of_the_encoding():
+    counter = token_counts.counter(JSON, P.PATTERN)
+    rnd, tokens = random.Random(3), sorted(counter.tokens)
+    short = [t for t in tokens if len(t) <= 3]
+    pairs = [(rnd.choice(x), rnd.choice(x)) for x in (tokens, short) for _ in range(3000)] + [(t, t) for t in short[:500]]
+    pairs += [(t[:k], t[k:]) for t in tokens[::50] for k in range(1, len(t)) if t[:k] in counter.tokens and t[k:] in counter.tokens]
+    for a, b in pairs:
+        assert counter.is_stable(a, b) == (counter.merged(a + b) == [a, b])
+
+
+def test_long_pieces_have_whole_tables():
+    counter = token_counts.counter(JSON, P.PATTERN)
+    own = tokenizers.Tokenizer.from_file(JSON)
+    for text in ["ab" * 3000, " " * 3000, "日本" * 700]:
+        table = counter.prefixes(text)
+        assert len(table) == len(text) and table[-1] == len(own.encode(text, add_special_tokens=False).ids)
+
+
+def test_most_documents_are_joined_from_subtrees(spark):
+    from foliospark.llm.common import table
+
+    texts = [r["text"] for r in table(spark, "/root/testdata/sf0.001", "documents").select("text").collect() if r["text"]]
+    joined = 0
+    for text in texts:
+        encoder = bpe_tree.TextEncoder(bpe_tree.BytePairs(bpe_tree.load_ranks(RANKS)) if not joined else encoder.pairs, P.PATTERN)
+        before = encoder.pairs.joins
+        encoder.encode(text)
+        joined += encoder.pairs.joins > before
+    assert 2 * joined > len(texts)
+
+
+def test_queries_give_what_the_libraries_give(spark, library):
+    import hashlib
+
+    from foliospark.llm.common import table
+    from foliospark.llm.queries import QUERIES
+
+    where = "/root/testdata/sf0.001"
+    own = tokenizers.Tokenizer.from_file(JSON)
+    op2, op5 = [], []
+    for r in table(spark, where, "documents").select("doc_id", "text").collect():
+        text = r["text"] or ""
+        ids = library.encode_ordinary(text)
+        op2.append((r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+        n = len(own.encode(text, add_special_tokens=False).ids)
+        op5.append((r["doc_id"], len(text.encode()), n, n > 512))
+    assert sorted(map(tuple, QUERIES["op2_bpe_tree"](spark, where).collect())) == sorted(op2)
+    assert sorted(tuple(r)[:4] for r in QUERIES["op5_token_counts"](spark, where).collect()) == sorted(op5)
