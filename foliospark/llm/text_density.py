@@ -35,13 +35,26 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup summary legend".split())
 _NAMES = re.compile(
     r"(?:site|page|main|global|top|bottom|left|right|primary|secondary|post|article|user|reader|social|sticky|js|the|google)?[-_]?"
     r"(?:ads?|adverts?|advert[a-z]*ments?|adsense|adsbygoogle|sponsor(?:ed|s)?|promos?|promotions?|banners?|cookies?|cookiebar|consent|gdpr|notices?|alerts?|notifications?|disclaimer|newsletter|subscribe|subscription|signup|"
-    r"popup|modal|overlay|sidebars?|side|widgets?|related|recommended|recommendations|more-?stories|trending|popular|share|sharing|shares|social|follow|comments?|commentlist|discussion|disqus(?:_thread)?|respond|replies|"
+    r"popup|modal|overlay|sidebars?|side|widgets?|related|recommended|recommendations|more-?stories|trending|popular|share|sharing|shares|social|follow|comments?|commentlist|discussion|disqus(?:_thread)?|respond|repl(?:y|ies)|"
     r"menus?|nav|navi|navbar|navigation|breadcrumbs?|footers?|headers?|masthead|topbar|toolbar|pagination|pager|login|search|searchform|forms?|skip-?links?|copyright|tags|tagcloud|metadata|byline-share)"
-    r"(?:[-_](?:box|area|list|wrap|wrapper|container|content|inner|outer|section|block|bar|banner|links?|menu|message|popup|form|thread|posts?|articles?|unit|slot|top|bottom|left|right|\d+))*",
+    r"(?:[-_](?:box|area|list|wrap|wrapper|container|content|inner|outer|section|block|bar|banner|links?|menu|message|popup|form|thread|posts?|articles?|unit|slot|top|bottom|left|right|notice|\d+))*",
     re.I,
 )
+#: Those among them that hold text of others even when it is running text: reader comments, adverts, notices and sidebars.
+_FOREIGN = re.compile(
+    r"(?:site|page|top|bottom|left|right|post|article|user|reader|js|google)?[-_]?"
+    r"(?:ads|adverts?|advert[a-z]*ments?|adsense|adsbygoogle|sponsor(?:ed|s)?|cookies?|cookiebar|consent|gdpr|notices|newsletter|subscribe|signup|popup|sidebars?|comments?|commentlist|disqus(?:_thread)?|respond|repl(?:y|ies)"
+    r"|(?:cookie|privacy|legal|site|gdpr|consent)[-_](?:notice|alert|banner))"
+    r"(?:[-_](?:box|area|list|wrap|wrapper|container|content|inner|outer|section|block|bar|message|popup|form|thread|posts?|unit|slot|top|bottom|left|right|notice|banner|\d+))*",
+    re.I,
+)
+_COMMENTS = re.compile(r"(?:user|reader|post)?[-_]?(?:comments?|repl(?:y|ies))(?:[-_](?:body|item|content|box|\d+))*", re.I)
+_HEADERS = re.compile(r"(?:site|page|main|top|post|article|entry)?[-_]?(?:headers?|masthead)(?:[-_](?:box|wrap|wrapper|container|content|inner|block))*", re.I)
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+_AFTER_CDATA = re.compile(_TOKEN.pattern.replace(r"<!\[CDATA\[.*?\]\]>|", ""), re.S)
+_COMMENT = re.compile("<!--")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+_WHOLE = re.compile("<(?:article|main)", re.I)
 _SPACE = re.compile(r"\s+")
 #: Characters outside links from which a block's own text counts as running text.
 RUNNING = 40
@@ -66,12 +79,21 @@ def is_left_out(name: str, attributes: str, in_article: bool, form: bool) -> boo
     return False
 
 
+def names_of(attributes: str) -> list[str]:
+    """Classes and ids."""
+    if not attributes or attributes.isspace():
+        return []
+    found = ((key.lower(), value.strip("\"'")) for key, value in _ATTRIBUTE.findall(attributes))
+    return [x for key, value in found if key in ("class", "id") for x in value.split()]
+
+
 def is_named(name: str, attributes: str) -> bool:
-    """Whether a block's class or id is one of those names."""
-    if name not in BLOCKS or name in HEADINGS or name in ROOTS or not attributes or attributes.isspace():
+    """Whether a block's class or id is one of those names; an ``article`` counts if it is a comment."""
+    if name == "article":
+        return any(map(_COMMENTS.fullmatch, names_of(attributes)))
+    if name not in BLOCKS or name in HEADINGS or name in ROOTS:
         return False
-    found = ((key.lower(), value.strip("\"'")) for key, value in _ATTRIBUTE.findall(attributes))
-    return any(_NAMES.fullmatch(x) for key, value in found if key in ("class", "id") for x in value.split())
+    return any(map(_NAMES.fullmatch, names_of(attributes)))
 
 
 class Page:
@@ -87,6 +109,8 @@ class Page:
         self.form_at: dict[int, int] = {}  # block: number of the form
         self.named = 0
         self.named_at: dict[int, int] = {}  # block: number of the named block
+        self.foreign: set[int] = set()  # named blocks that stay out even if they hold running text
+        self.headers: set[int] = set()  # blocks named as headers
         self.dropped: list[tuple[int, int]] = []  # number of the named block left out, the block around it
         self._read(source, forms, names)
         for k in range(len(self.tag) - 1, 0, -1):
@@ -98,6 +122,9 @@ class Page:
 
     def _read(self, source: str, forms: frozenset[int] | None, names: frozenset[int] | None) -> None:
         stack: list[tuple[str, int, bool]] = []  # element, the block that is current after it closes, whether it is left out
+        places: dict[str, list[int]] = {}  # element: where it is in the stack, and so for all blocks
+        block_places: list[int] = []
+        last_tag, last_cdata = source.rfind(">"), source.rfind("]]>")
         block, out, links, articles, segment, at = 0, 0, 0, 0, 0, 0
 
         def text(piece: str) -> None:
@@ -114,6 +141,9 @@ class Page:
             nonlocal block, out, links, articles, segment
             while len(stack) > depth:
                 name, before, left = stack.pop()
+                places[name].pop()
+                if name in BLOCKS:
+                    block_places.pop()
                 out -= left
                 links -= name == "a"
                 articles -= name in ("article", "main")
@@ -122,22 +152,25 @@ class Page:
                 block = before
 
         def open_depth(names: tuple[str, ...], stop: frozenset[str]) -> int:
-            for d in range(len(stack) - 1, -1, -1):
-                if stack[d][0] in names:
-                    return d
-                if stack[d][0] in stop:
-                    return -1
-            return -1
+            """Where the innermost open element of those names is, -1 if there is none or one of ``stop`` is inside it."""
+            at = max((places[n][-1] for n in names if places.get(n)), default=-1)
+            if at >= 0 and stop:
+                inner = (block_places[-1] if block_places else -1) if stop is BLOCKS else max((places[n][-1] for n in stop if places.get(n)), default=-1)
+                return at if at >= inner else -1
+            return at
 
         size = len(source)
         while at < size:
-            found = _TOKEN.search(source, at)
+            token = _COMMENT if at > last_tag else _TOKEN if at < last_cdata else _AFTER_CDATA
+            found = token.search(source, at)
             if found is None:
                 if not out:
                     text(source[at:])
                 break
             if found.start() > at and not out:
                 text(source[at : found.start()])
+            if token is _COMMENT:  # never closed
+                break
             at = found.end()
             name = found[2] or found[5]
             if name is None:
@@ -177,6 +210,9 @@ class Page:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
                 at = end.end() if end else size
                 continue
+            places.setdefault(name, []).append(len(stack))
+            if name in BLOCKS:
+                block_places.append(len(stack))
             stack.append((name, block, left))
             out += left
             if out:
@@ -198,6 +234,10 @@ class Page:
                     self.form_at[block] = self.forms - 1
                 if named:
                     self.named_at[block] = self.named - 1
+                    if name not in PASSAGES and any(map((_COMMENTS if name == "article" else _FOREIGN).fullmatch, names_of(attributes))):
+                        self.foreign.add(block)
+                    elif any(map(_HEADERS.fullmatch, names_of(attributes))):
+                        self.headers.add(block)
             else:
                 self.tags[block] += 1
                 self.link_tags[block] += name == "a"
@@ -226,13 +266,43 @@ class Page:
         )
 
     def content_names(self) -> frozenset[int]:
-        """Named blocks that can be part of a text: mostly running text, or passages that aren't mostly links."""
+        """Named blocks that can be part of a text: mostly running text, passages that aren't mostly links, and headers that hold a title.
+
+        Comments, adverts, notices and sidebars can't be, unless they wrap an article or main element.
+        """
+        running, last = self.running(), self.last()
+        wraps = self.wrapping()
+        titled = [0] * (len(self.tag) + 1)  # titles before each block
+        for k, name in enumerate(self.tag):
+            titled[k + 1] = titled[k] + (name in ("h1", "h2") and self.chars[k] > 0)
+
+        def can(k: int) -> bool:
+            if self.named_at[k] in wraps:
+                return True
+            if k in self.foreign or not self.chars[k] or 2 * self.link_chars[k] >= self.chars[k]:
+                return False
+            return self.tag[k] in PASSAGES or 2 * running[k] >= self.chars[k] or k in self.headers and titled[last[k] + 1] > titled[k + 1]
+
+        return frozenset(number for k, number in self.named_at.items() if can(k))
+
+    def wrapping(self) -> frozenset[int]:
+        """Named blocks with an article or main element of the page in them."""
+        last = self.last()
+        wholes = self.main_articles(last)
+        return frozenset(number for k, number in self.named_at.items() if any(k < a <= last[k] for a in wholes))
+
+    def main_articles(self, last: list[int]) -> list[int]:
+        """Outermost articles (main elements, where there are none) that hold running text and aren't mostly links; only those with a title, if any has one."""
         running = self.running()
-        return frozenset(
-            number
-            for k, number in self.named_at.items()
-            if self.chars[k] and 2 * self.link_chars[k] < self.chars[k] and (self.tag[k] in PASSAGES or 2 * running[k] >= self.chars[k])
-        )
+        for name in ("article", "main"):
+            found, end = [], -1
+            for k in range(len(self.tag)):
+                if self.tag[k] == name and k > end and k not in self.foreign and running[k] and 2 * self.link_chars[k] < self.chars[k]:
+                    found.append(k)
+                    end = last[k]
+            if found:
+                return [k for k in found if any(self.tag[j] == "h1" and self.chars[j] for j in range(k, last[k] + 1))] or found
+        return []
 
     def densities(self) -> list[float]:
         """Characters per tag, times a logarithm that falls as links take a larger share of characters and tags."""
@@ -272,7 +342,15 @@ class Page:
                 if self.chars[k]:
                     marked[top_at[k]] = True
         articles = [k for k in range(n) if self.tag[k] == "article" and self.chars[k]] or [k for k in range(n) if self.tag[k] == "main" and self.chars[k]]
+        def spread(take: list[bool]) -> None:
+            """Takes the subtrees of the blocks taken."""
+            for k in range(1, n):
+                take[k] = take[k] or take[self.parent[k]]
+
         take = [False] * n
+        only = self.main_articles(last)  # what is outside them never beats them
+        if only and not any(marked[k] and any(a <= k <= last[a] or k <= a <= last[k] for a in only) for k in range(n)):
+            marked = [k in only for k in range(n)]
         for k in [k for k in range(n) if marked[k]]:
             around = [a for a in articles if a <= k <= last[a]]
             inside = [a for a in articles if k < a <= last[k]]
@@ -282,8 +360,11 @@ class Page:
                 roots = inside
             else:
                 roots = [k]
+            if only:
+                roots = [a for a in only if any(a <= r <= last[a] or r <= a <= last[r] for r in roots)]
             for r in roots:
-                take[r : last[r] + 1] = [True] * (last[r] + 1 - r)
+                take[r] = True
+        spread(take)
         if not articles:  # a parent most of whose text is taken is taken whole
             got = [0] * n
             direct = self.chars[:]
@@ -292,10 +373,11 @@ class Page:
             for k in range(n - 1, -1, -1):
                 got[k] += direct[k] if take[k] else 0
                 if not take[k] and self.tag[k] not in ("body", "html") and 2 * got[k] >= self.chars[k] > 0 and 2 * self.link_chars[k] < self.chars[k]:
-                    take[k : last[k] + 1] = [True] * (last[k] + 1 - k)
+                    take[k] = True
                     got[k] = self.chars[k]
                 if k:
                     got[self.parent[k]] += got[k]
+            spread(take)
         return take
 
     def text(self) -> str:
@@ -335,6 +417,9 @@ def main_text(source: str | None) -> str:
     page = Page(source)
     forms = Page(source, None).content_forms() if page.forms else frozenset()
     page = Page(source, forms) if forms else page
+    if page.named and not any(x in ("article", "main") for x in page.tag) and _WHOLE.search(source):  # a named block may wrap the article
+        wraps = Page(source, forms, None).wrapping()
+        page = Page(source, forms, wraps) if wraps else page
     if page.dropped:  # those inside the main text that hold text themselves belong to it
         can, take = Page(source, forms, None).content_names(), page.chosen()
         inside = {number for number, block in page.dropped if number in can and take[block] and page.chars[block]}

@@ -83,3 +83,59 @@ def test_names_inside_the_text(inner, text):
     whole = "\n\n".join(filter(None, [BODY[3:-4], BODY[3:-4], text]))
     assert main_text("<body>" + other + "<article>" + start + inner + "</article></body>") == whole
     assert main_text("<body>" + other + "<div id=c>" + start + inner + "</div><footer>f</footer></body>") == whole
+
+
+OTHER = "<p>I think that this is a long enough remark to be running text.</p>"
+
+
+@pytest.mark.parametrize("name", ["comments", "user-comments", "advert", "cookie-notice", "newsletter", "sidebar"])
+@pytest.mark.parametrize("element", ["div", "section"])
+def test_text_of_others_inside_the_article_stays_out(name, element):
+    page = f"<body><article><h1>T</h1>{BODY * 2}<{element} class='{name}'>{OTHER}<article>{OTHER}</article></{element}>{BODY}</article></body>"
+    assert main_text(page) == "\n\n".join(["T"] + [BODY[3:-4]] * 3)
+
+
+@pytest.mark.parametrize("name", ["article-header", "page-header", "entry-header", "header"])
+def test_titles_in_named_headers(name):
+    assert main_text(f"<body><article><div class='{name}'><h1>The title</h1></div>{BODY}</article></body>") == "The title\n\n" + BODY[3:-4]
+
+
+@pytest.mark.parametrize(
+    "after",
+    [f"<div class=thread>{OTHER * 12}</div>", f"<article class=reply>{OTHER * 3}</article>" * 4, f"<article class='x comment'>{OTHER}</article>" * 9, f"<div>{OTHER * 30}</div>"],
+)
+def test_nothing_beats_the_article(after):
+    assert main_text(f"<body><article><h1>T</h1>{BODY}</article>{after}</body>") == "T\n\n" + BODY[3:-4]
+
+
+def test_named_wrappers_and_teasers():
+    assert main_text(f"<body><div class=sidebar>{OTHER}</div><div class='content sidebar'><article>{BODY}</article></div></body>") == BODY[3:-4]
+    teaser = "<article><h3><a href=1>Another page with a long title, all of it a link</a></h3></article>"
+    assert main_text(f"<body>{teaser * 3}<div id=c>{BODY * 3}</div></body>") == "\n\n".join([BODY[3:-4]] * 3)
+
+
+@pytest.mark.parametrize(
+    "few, many",
+    [
+        (f(3000), f(24000))
+        for f in (
+            lambda n: "<div>" * n + "x",
+            lambda n: "<div>" * n + "x" + "</div>" * n,
+            lambda n: "<b>" * n + "x</p>" * n,
+            lambda n: "<b>" * n + "<div>x</div>" * n,
+            lambda n: "<p " * n,
+            lambda n: "<ul><li>" * n,
+            lambda n: "x<![CDATA[>" * n,
+            lambda n: "<div class=comments>" * n + BODY,
+        )
+    ],
+)
+def test_time_grows_with_the_page(few, many):
+    import time
+
+    def seconds(page):
+        start = time.process_time()
+        main_text(page)
+        return time.process_time() - start
+
+    assert seconds(many) < 24 * seconds(few) + 0.5  # eight times the page
