@@ -195,6 +195,11 @@ class TextEncoder:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self._tree(text)[1]))
 
+    def forget(self) -> None:
+        """Drops what was remembered of the texts, as a task does at its end: its worker may live on beside others."""
+        self.known.clear()
+        self.pairs.subtrees.clear()
+
 
 _ENCODERS: dict[tuple[str, str], TextEncoder] = {}
 
@@ -225,11 +230,14 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", i
     schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern).encode
-        for batch in batches:
-            for part in slices(batch):
-                found = [encode(t) if t else [] for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(found, pa.list_(pa.int32()))], schema.names)
+        own = encoder(path, pattern)
+        try:
+            for batch in batches:
+                for part in slices(batch):
+                    found = [own.encode(t) if t else [] for t in part.column(text).to_pylist()]
+                    yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(found, pa.list_(pa.int32()))], schema.names)
+        finally:
+            own.forget()
 
     return docs.mapInArrow(encode, schema)
 
