@@ -153,7 +153,7 @@ class BiGru:
         lengths = np.array([len(t) for t in texts], np.int64)
         counts = -(-lengths // WINDOW)
         owner = np.repeat(np.arange(len(texts)), counts)
-        data = np.full(int(counts.sum()) * WINDOW, 256, np.int64)
+        data = np.full(int(counts.sum()) * WINDOW, 256, np.int16)  # a byte, or 256 for padding
         starts = (np.cumsum(counts) - counts) * WINDOW
         for t, at in zip(texts, starts.tolist()):
             data[at : at + len(t)] = np.frombuffer(t, np.uint8)
