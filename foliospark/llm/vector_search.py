@@ -45,8 +45,13 @@ class Best:
         rows, scores = rows[better], scores[better]
         if not len(rows):
             return
+        ids = np.broadcast_to(ids, scores.shape)
+        most = int((scores >= self.scores[rows, -1, None]).sum(1).max())
+        if most < scores.shape[1]:  # no row has more that could enter, so only so many are sorted
+            top = np.argpartition(scores, scores.shape[1] - most, 1)[:, -most:]
+            scores, ids = np.take_along_axis(scores, top, 1), np.take_along_axis(ids, top, 1)
         scores = np.concatenate([self.scores[rows], scores], 1)
-        ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], 1)
+        ids = np.concatenate([self.ids[rows], ids], 1)
         order = np.lexsort((ids, -scores), axis=-1)[:, : self.k]
         self.scores[rows] = np.take_along_axis(scores, order, 1)
         self.ids[rows] = np.take_along_axis(ids, order, 1)
