@@ -19,6 +19,7 @@ bound does not rule out. A task streams queries past one block of vectors.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from foliospark.llm.common import sample_by_id, settled
 
 #: Rows of the sample that the top level is fitted to; cells it has at most; rows of a cell and of a block; queries at a time.
 SAMPLE, MOST_CELLS, BLOCK, BATCH = 8192, 2048, 4096, 1024
+#: Where a component is beyond two to this power all are divided by one power of two, so that squared norms stay finite.
+EXPONENT = 480
 
 
 class Best:
@@ -308,17 +311,19 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(embeddings: DataFrame, vector_id: str, vector: str, zero: bool) -> DataFrame:
-    """Rows (vec_id, v array<double>) that take part: an id, and a vector of the usual length with finite components only.
+    """Rows (vec_id, v array<double>) that take part: an id, and a vector with finite components only.
 
-    The usual length is the most frequent one (the longer of equally frequent ones).
+    Where lengths differ, shorter vectors end in zeros, so inner products are those of the components both have.
     """
     v = F.col(vector).cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = embeddings.select(F.col(vector_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & (F.size(v) > 0) & finite)
+    rows = embeddings.select(F.col(vector_id).cast("long").alias("vec_id"), v.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & finite)
     if not zero:
         rows = rows.where(F.exists("v", lambda x: x != 0))
-    usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("v") == (usual["n"] if usual else 0))
+    least, most = rows.agg(F.min(F.size("v")), F.max(F.size("v"))).first()
+    if least is None or least == max(1, most):
+        return rows
+    return rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), F.lit(max(1, most)) - F.size("v"))))
 
 
 def _located(rows: DataFrame, method) -> DataFrame:
@@ -373,11 +378,15 @@ def _search_blocks(data: DataFrame, queries: DataFrame, method, k: int) -> DataF
 
 def _search(rows: DataFrame, is_query: Column, k: int, make: Callable[[Space, int], object]) -> DataFrame:
     rows = settled(rows)
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    facts = rows.agg(F.max(square).alias("most"), F.count("*").alias("n"), F.max(F.size("v")).alias("size")).first()
     nothing = rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
-    if not facts["n"]:
+    largest = rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    if largest is None:
         return nothing
+    lowered = max(0, math.frexp(largest)[1] - EXPONENT)
+    if lowered:
+        rows = settled(rows.withColumn("v", F.transform("v", lambda x: x / 2.0**lowered)))
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    facts = rows.agg(F.max(square).alias("most"), F.count("*").alias("n"), F.max(F.size("v")).alias("size")).first()
     method = make(Space(facts["most"]), facts["size"])
     sample = sample_by_id(rows, "vec_id", SAMPLE).orderBy("vec_id", "v").select("v").toArrow()
     method.fit_top(_matrix(sample.column("v")), min(MOST_CELLS, max(1, math.ceil(facts["n"] / BLOCK))))
@@ -388,7 +397,7 @@ def _search(rows: DataFrame, is_query: Column, k: int, make: Callable[[Space, in
         radii[c["cell"]], blocks[c["cell"]] = c["radius"], math.ceil(c["n"] / (2 * BLOCK))
     per_cell = F.element_at(F.array(*(F.lit(int(b)) for b in np.maximum(blocks, 1))), F.col("cell") + 1)
     data = cells.withColumn("block", F.pmod(F.xxhash64("vec_id"), per_cell).cast("int"))
-    asked = data.where(is_query).dropDuplicates(["vec_id"])
+    asked = data.where(is_query).groupBy("vec_id").agg(F.min(F.struct("v", "cell", "block")).alias("least")).select("vec_id", "least.*")
     first = settled(_search_blocks(data, asked.withColumn("bound", F.lit(float("-inf"))), method, k))
     reached = first.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
     bound = F.when(F.col("n") == k, F.col("least")).otherwise(F.lit(float("-inf")))
@@ -410,7 +419,8 @@ def _search(rows: DataFrame, is_query: Column, k: int, make: Callable[[Space, in
     visits = again.select("vec_id", "v", "cell", "block", "bound").mapInArrow(visit, "cell int, block int, vec_id long, v array<double>, bound double")
     found = first.unionByName(_search_blocks(data, visits, method, k))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    score = F.col("score") * 2.0**lowered * 2.0**lowered if lowered else F.col("score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def stable_projection_search(embeddings: DataFrame, is_query: Column, k: int = 20, vector_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -418,15 +428,28 @@ def stable_projection_search(embeddings: DataFrame, is_query: Column, k: int = 2
 
     ``is_query`` is a condition on the column vec_id. A neighbour is missed
     with a probability of 0.03 at most. Null and zero vectors, and those with
-    null or non-finite components or of an unusual length, take no part, nor do
-    rows without an id. Rows of one id are one query, and never its neighbours.
+    null or non-finite components, take no part, nor do rows without an id; of
+    vectors of several lengths the shorter ones end in zeros. Rows of one id are
+    one query, the smallest of their vectors, and never its neighbours. Vectors
+    with components beyond 2**480 are ranked on a common smaller scale; a
+    score that no double holds is infinite.
     An empty table gives an empty result; other columns are ignored.
     """
     return _search(usable(embeddings, vector_id, vector, zero=False), is_query, k, lambda space, size: StableProjections(space, size))
 
 
 def mtree_search(embeddings: DataFrame, is_query: Column, k: int = 20, scale: int = 64, vector_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Like ``stable_projection_search``, but exact, on components floor(scale * x); scores are whole numbers. Zero vectors take part."""
-    whole = usable(embeddings, vector_id, vector, zero=True).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
-    found = _search(whole, is_query, k, lambda space, size: MTree(space))
-    return found.withColumn("score", F.col("score").cast("long"))
+    """Like ``stable_projection_search``, but exact, on components floor(scale * x); scores are whole numbers. Zero and empty vectors take part.
+
+    Scores are exact up to 2**53; those that no long holds are the largest or smallest long.
+    """
+    most = sys.float_info.max
+
+    def whole(x: Column) -> Column:
+        scaled = F.greatest(F.least(x * scale, F.lit(most)), F.lit(-most))
+        return F.when(F.abs(scaled) < 2.0**53, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    rows = usable(embeddings, vector_id, vector, zero=True).withColumn("v", F.transform("v", whole))
+    found = _search(rows, is_query, k, lambda space, size: MTree(space))
+    score = F.when(F.col("score") >= 2.0**63, F.lit((1 << 63) - 1)).when(F.col("score") <= -(2.0**63), F.lit(-(1 << 63))).otherwise(F.col("score").cast("long"))
+    return found.withColumn("score", score)

@@ -19,7 +19,8 @@ def make(spark, seed, n=900, d=16):
 
 def brute(rows, whole, k=20):
     ids = np.array([r[0] for r in rows])
-    x = np.array([r[1] for r in rows])
+    size = max(len(r[1]) for r in rows)
+    x = np.array([[*r[1], *[0.0] * (size - len(r[1]))] for r in rows])
     x = np.floor(64 * x) if whole else x
     out = {}
     for i in np.flatnonzero(ids % 20 == 0):
@@ -45,13 +46,13 @@ def small_blocks(request, monkeypatch):
 
 def test_mtree_is_exact(spark, small_blocks):
     table, rows, odd = make(spark, 1)
-    want = brute([*rows, odd[-1]], True)
+    want = brute([*rows, odd[4], odd[-1]], True)
     assert collected(V.mtree_search(table, F.col("vec_id") % 20 == 0)) == want
 
 
 def test_stable_projections_recall(spark, small_blocks):
-    table, rows, _ = make(spark, 2)
-    want, found = brute(rows, False), collected(V.stable_projection_search(table, F.col("vec_id") % 20 == 0))
+    table, rows, odd = make(spark, 2)
+    want, found = brute([*rows, odd[4]], False), collected(V.stable_projection_search(table, F.col("vec_id") % 20 == 0))
     assert found.keys() == want.keys() and all(len(f) == 20 for f in found.values())
     score = lambda q: [s for _, s in want[q]]
     recall = np.mean([sum(s >= score(q)[-1] - 1e-9 for _, s in found[q]) / 20 for q in want])
@@ -72,3 +73,24 @@ def test_few_and_repeated_rows(spark):
 def test_quantile_of_chi_square():
     assert V.chi_square_quantile(0.95, 2) == pytest.approx(5.9915, abs=1e-3)
     assert V.chi_square_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
+
+
+def test_large_norms_lengths_and_vectors_of_one_id(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in rng.normal(size=6) * 1e200]) for i in range(60)] + [(i, [float(c) for c in rng.normal(size=4)]) for i in range(60, 120)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    scaled = brute([(i, [c * 1e-100 for c in v]) for i, v in rows], False)
+    found = collected(V.stable_projection_search(table, F.col("vec_id") % 20 == 0))
+    assert {q: [i for i, _ in f] for q, f in found.items()} == {q: [i for i, _ in f] for q, f in scaled.items()}
+    assert found[0][0][1] == float("inf") and all(np.isfinite(s) for _, s in found[60])
+    exact = collected(V.mtree_search(table, F.col("vec_id") % 20 == 0))
+    assert len(exact) == 6 and all(len(f) == 20 for f in exact.values()) and exact[0][0][1] == float((1 << 63) - 1)
+
+    twice = [(0, [1.0, 0.0]), (0, [-1.0, 0.0]), (1, [5.0, 0.0]), (2, [-5.0, 0.0]), (3, []), (4, [2.0])]
+    for order in (twice, twice[::-1]):
+        table = spark.createDataFrame(order, "vec_id long, embedding array<double>")
+        assert collected(V.stable_projection_search(table, F.col("vec_id") % 20 == 0)) == {0: [(2, 5.0), (4, -2.0), (1, -5.0)]}
+        assert collected(V.mtree_search(table, F.col("vec_id") % 20 == 0, scale=1)) == {0: [(2, 5.0), (3, 0.0), (4, -2.0), (1, -5.0)]}
+    empty = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<double>")
+    assert V.stable_projection_search(empty, F.col("vec_id") % 20 == 0).count() == 0
+    assert collected(V.mtree_search(empty, F.col("vec_id") % 20 == 0)) == {0: [(1, 0.0)]}
