@@ -15,6 +15,8 @@ from foliospark.llm.common import settled
 
 #: The template. Inside texts and roles these strings are escaped by a backslash and a letter.
 OPEN, AFTER_ROLE, CLOSE = "### ", ": ", " </turn>\n"
+#: Jumps of one length that are sent to all tasks; more are joined by shuffle.
+SENT_JUMPS = 100_000
 ESCAPES = (("###", "\\h"), ("</turn>", "\\t"), (": ", "\\c"))
 
 
@@ -55,7 +57,9 @@ def paths(nodes: DataFrame) -> DataFrame:
     In round k each known pair of leaf and ancestor gets a second one, 2^k steps
     further up, going from the longest steps to the shortest; so every ancestor
     comes up exactly once. A parent that doesn't exist makes a node a root; on
-    a cycle there is no leaf. Only ids are joined, never texts.
+    a cycle there is no leaf. Only ids are joined, never texts. The jumps are
+    settled, the paths are not: each round reads the one before it once, and
+    long jumps, which few nodes have, are sent instead of shuffling the paths.
     """
     ids = settled(nodes.select("tree_id", "node_id", "parent_id"))
     known = ids.select(F.col("tree_id").alias("_tree"), F.col("node_id").alias("_node"))
@@ -73,9 +77,13 @@ def paths(nodes: DataFrame) -> DataFrame:
     leaves = ids.join(answered, F.col("tree_id").eqNullSafe(F.col("_tree")) & (F.col("node_id") == F.col("_node")), "left_anti")
     found = leaves.select("tree_id", F.col("node_id").alias("leaf_id"), "node_id", F.lit(0).cast("long").alias("steps"))
     for k in range(len(jumps) - 1, -1, -1):
-        jump = jumps[k].select(F.col("tree_id").alias("_tree"), "low", "high")
-        further = found.join(jump, F.col("tree_id").eqNullSafe(F.col("_tree")) & (F.col("node_id") == F.col("low")))
-        found = settled(found.unionByName(further.select("tree_id", "leaf_id", F.col("high").alias("node_id"), (F.col("steps") + (1 << k)).alias("steps"))))
+        highs = jumps[k].groupBy(F.col("tree_id").alias("_tree"), "low").agg(F.collect_list("high").alias("highs"))  # one, unless a node is repeated
+        if jumps[k].limit(SENT_JUMPS + 1).count() <= SENT_JUMPS:
+            highs = F.broadcast(highs)
+        further = found.join(highs, F.col("tree_id").eqNullSafe(F.col("_tree")) & (F.col("node_id") == F.col("low")), "left")
+        own = F.struct("node_id", "steps")
+        above = F.transform(F.coalesce("highs", F.array()), lambda high: F.struct(high.alias("node_id"), (F.col("steps") + (1 << k)).alias("steps")))
+        found = further.select("tree_id", "leaf_id", F.inline(F.concat(F.array(own), above)))
     return found
 
 

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -84,3 +85,24 @@ def test_long_conversation_and_empty_table(spark):
     one = chat.conversations(chat.linear_nodes(rows)).select(chat.learned(F.col("formatted"), F.col("mask")).alias("x")).collect()
     assert [r["x"] for r in one] == ["".join(map(str, range(300)))]
     assert chat.conversations(chat.linear_nodes(rows.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_paths_of_trees_with_repeated_nodes(spark, monkeypatch, sent):
+    monkeypatch.setattr(chat, "SENT_JUMPS", sent)
+    rng = random.Random(8)
+    parents = {("a", "0"): [None]} | {("a", str(i)): [str(rng.randrange(max(0, i - 3), i))] for i in range(1, 40)}
+    parents |= {(None, str(i)): [str(i - 1) if i else None] for i in range(9)}
+    parents[None, "5"] = ["4", "2"]  # one node that comes twice, with two parents
+    rows = [(tree, node, p) for (tree, node), found in parents.items() for p in found]
+
+    def up(tree, node, steps):
+        yield node, steps
+        for p in parents[tree, node]:
+            if p is not None:
+                yield from up(tree, p, steps + 1)
+
+    answered = {(tree, p) for tree, _, p in rows}
+    want = sorted((str(t), leaf, node, steps) for t, leaf in parents if (t, leaf) not in answered for node, steps in up(t, leaf, 0))
+    found = chat.paths(spark.createDataFrame(rows, "tree_id string, node_id string, parent_id string").repartition(3)).collect()
+    assert sorted((str(r["tree_id"]), r["leaf_id"], r["node_id"], r["steps"]) for r in found) == want
