@@ -46,6 +46,20 @@ def forest(edges: DataFrame, most: int = REMEMBERED_NODES) -> DataFrame:
     return edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).mapInArrow(stars, "a long, b long")
 
 
+def reached(rounds: list[DataFrame]) -> DataFrame:
+    """The group that each node of the first round ends in (node, group), from the moves (a, to) of all rounds.
+
+    Goes back from the last round, so that each round's nodes are looked up once,
+    in the next round. Rounds have fewer and fewer nodes; following every node of the first
+    through all of them would make as many rows each time.
+    """
+    found = rounds[-1].select(F.col("a").alias("node"), F.col("to").alias("group"))
+    for move in reversed(rounds[:-1]):
+        nxt = found.select(F.col("node").alias("to"), "group").hint("merge")
+        found = move.join(nxt, "to", "left").select(F.col("a").alias("node"), F.coalesce("group", "to").alias("group"))
+    return found
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """Components of undirected edges (a, b): one row (node, component) for each node, the component its smallest node.
 
@@ -74,10 +88,6 @@ def connected(edges: DataFrame) -> DataFrame:
         left = settled(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
     if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
-    found = rounds[0].select(F.col("a").alias("node"), F.col("to").alias("group"))
-    for move in rounds[1:]:
-        nxt = move.select(F.col("a").alias("group"), "to").hint("merge")
-        found = found.join(nxt, "group", "left").select("node", F.coalesce("to", "group").alias("group"))
-    found = settled(found)
+    found = settled(reached(rounds))
     smallest = found.groupBy("group").agg(F.min("node").alias("component")).hint("merge")
     return settled(found.join(smallest, "group").select("node", "component"))

@@ -4,6 +4,7 @@ import re
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foliospark.llm import components
 from foliospark.llm import signature_join as S
@@ -112,6 +113,35 @@ def test_connected(spark):
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_rounds_are_followed_once(spark):
+    """Joins make a row for each node of each round but the last, not one for each first node in every round."""
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [640, 40, 20, 10, 5]
+        rounds = [spark.range(n).select(F.col("id").alias("a"), (F.col("id") % (n // 2)).alias("to")) for n in sizes]
+        found = components.reached(rounds)
+        expected = {}
+        for node in range(sizes[0]):
+            group = node
+            for n in sizes:
+                group = group % (n // 2) if group < n else group
+            expected[node] = group
+        # collects the very plan whose counts are read below
+        execution = found._jdf.queryExecution()
+        execution.executedPlan().executeCollect()
+        made, open_ = [], [execution.executedPlan()]
+        while open_:
+            node = open_.pop()
+            open_ += [node.children().apply(i) for i in range(node.children().size())]
+            if "SortMergeJoin" in node.nodeName():
+                made.append(node.metrics().apply("numOutputRows").value())
+        assert sorted(made) == sorted(sizes[:-1])
+        assert {r["node"]: r["group"] for r in found.collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+
+
 def test_forest_connects_what_its_edges_connect(spark, documents):
     documents([])
     rnd = random.Random(4)
