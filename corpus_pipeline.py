@@ -82,7 +82,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether they decode to its text."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe_tree.decode_ids(bpe_tree.encode_texts(docs.select(COLUMNS), path, pattern), path, pattern)
+    both = bpe_tree.encode_texts(docs.select(COLUMNS), path, pattern, decoded="decoded", remember=False)
     return both.select("doc_id", "lang", "source", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 
 

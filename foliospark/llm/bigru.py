@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import slices
+from foliospark.llm.common import give_back
 
 #: Documents the network is trained on, about; texts of each language at least, if it has so many; bytes of a window; windows read at a time.
 SAMPLE, LEAST, WINDOW, TOGETHER = 2000, 8, 64, 4096
@@ -224,6 +225,7 @@ def identify(docs: DataFrame, model: BiGru | None, text: str = "text") -> DataFr
                     for i, row in zip(at, prob):
                         pred[i], score[i] = model.languages[int(row.argmax())], float(min(1.0, row.max()))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*part.schema.names, "lang_pred", "score"])
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(predict, f"{schema}, lang_pred string, score double")

@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from foliospark.llm.common import give_back
+
 #: Pieces whose encoding a task remembers; beyond, it forgets all and starts anew.
 REMEMBERED = 1 << 19
 #: Bytes of a piece, and code points of a text, that are encoded without halving.
@@ -195,9 +197,13 @@ class TextEncoder:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(self._tree(text)[1]))
 
-    def forget(self) -> None:
-        """Drops the pieces, as a task does at its end: its worker may live on beside others. Subtrees, which take less and save most, stay."""
+    def forget(self, all_: bool = False) -> None:
+        """Drops the pieces, as a task does at its end: its worker may live on beside others. Subtrees, which take less and save most, stay unless all are to go."""
         self.known.clear()
+        if all_:
+            self.pairs.subtrees.clear()
+            self.pairs.seams.clear()
+            give_back()
 
 
 _ENCODERS: dict[tuple[str, str], TextEncoder] = {}
@@ -218,25 +224,37 @@ def decode(tokens: dict[int, bytes], ids: list[int]) -> bytes:
     return decode(tokens, ids[:half]) + decode(tokens, ids[half:])
 
 
-def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", keep_text: bool = True) -> DataFrame:
+def _back(tokens: dict[int, bytes], ids: pa.Array) -> pa.Array:
+    return pa.array([None if x is None else decode(tokens, x) for x in ids.to_pylist()], pa.binary())
+
+
+def encode_texts(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "token_ids", keep_text: bool = True, decoded: str | None = None, remember: bool = True
+) -> DataFrame:
     """Adds the token ids of each whole text; a null text has none. A column of that name is replaced.
 
-    Without ``keep_text`` the text itself is not handed back. Texts are
-    independent, so nothing is shuffled; a task holds one Arrow batch.
+    Without ``keep_text`` the text itself is not handed back. ``decoded`` names a
+    column for the bytes that the ids stand for, as :func:`decode_ids` adds it, but
+    without a second Python worker for each task. Texts are independent, so
+    nothing is shuffled; a task holds one Arrow batch. Without ``remember``
+    workers keep nothing of texts from task to task and give their memory back,
+    for jobs whose other steps need it.
     """
-    docs = docs.drop(ids)
+    docs = docs.drop(ids, *([decoded] if decoded else []))
     keep = [f for f in docs.schema.fields if keep_text or f.name != text]
-    schema = T.StructType([*keep, T.StructField(ids, T.ArrayType(T.IntegerType(), False), False)])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), *([T.StructField(decoded, T.BinaryType())] if decoded else [])]
+    schema = T.StructType([*keep, *added])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         try:
             for batch in batches:
                 for part in slices(batch):
-                    found = [own.encode(t) if t else [] for t in part.column(text).to_pylist()]
-                    yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), pa.array(found, pa.list_(pa.int32()))], schema.names)
+                    found = pa.array([own.encode(t) if t else [] for t in part.column(text).to_pylist()], pa.list_(pa.int32()))
+                    again = [_back(own.pairs.token, found)] if decoded else []
+                    yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), found, *again], schema.names)
         finally:
-            own.forget()
+            own.forget(all_=not remember)
 
     return docs.mapInArrow(encode, schema)
 
@@ -250,8 +268,7 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
         tokens = encoder(path, pattern).pairs.token
         for batch in batches:
             for part in slices(batch):
-                found = [None if x is None else decode(tokens, x) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*part.schema.names, decoded])
+                yield pa.RecordBatch.from_arrays([*part.columns, _back(tokens, part.column(ids))], [*part.schema.names, decoded])
 
     return docs.mapInArrow(back, schema)
 

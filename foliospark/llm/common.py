@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Returns what a Python worker has freed to the system, as a task does at its end: the worker lives on beside other steps."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share. Only a session on one machine may do without: it gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import broadcast_if_small, sample_by_id, settled
+from foliospark.llm.common import broadcast_if_small, give_back, sample_by_id, settled
 from foliospark.llm.mixing import coin
 
 #: Labelled documents the spread of good documents and the cut are fitted to, about; labels that are sent to all tasks, else labels are joined by shuffle.
@@ -75,6 +75,8 @@ def ngram_counts(docs: DataFrame, text: str = "text", good: str = "good") -> tup
                     total[1] += np.bincount(np.concatenate(chosen), minlength=size)
         at = np.flatnonzero(total[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[0, at]), pa.array(total[1, at])], ["bucket", "n", "n_good"])
+        del hasher, total
+        give_back()
 
     counts = docs.select(text, good).mapInArrow(count, "bucket long, n long, n_good long")
     sums = counts.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_good").alias("n_good")).toArrow()
@@ -125,6 +127,8 @@ def _summed(docs: DataFrame, ratios: dict[int, float], text: str, add: str, colu
                 found = [hasher.buckets(t) for t in part.column(text).to_pylist()]
                 sums, sizes = np.array([log[f].sum() for f in found], float), np.array([len(f) for f in found], float)
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns(sums, sizes)], [*part.schema.names, *(c.split()[0] for c in add.split(", "))])
+        del hasher, log
+        give_back()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(weigh, f"{schema}, {add}")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import sample_by_id, settled, stored
+from foliospark.llm.common import give_back, sample_by_id, settled, stored
 from foliospark.llm.components import connected
 
 #: Sets that one task joins with as many others; larger families are dealt out as pairs of blocks.
@@ -347,6 +347,8 @@ def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tup
         if keys:
             key, doc = _combined(keys, ids)
             yield rows(doc, key.view(np.int64), None, None)
+        del shingler, keys, ids
+        give_back()
 
     return docs.mapInArrow(emit, "doc_id long, key long, n_shingles long, digest long")
 
@@ -367,6 +369,8 @@ def _token_rows(docs: DataFrame, width: int) -> DataFrame:
             for part in slices(batch):
                 found = pa.array([tokens(t).tobytes() for t in part.column("text").to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), found], [*names, "tokens"])
+        del tokens
+        give_back()
 
     return docs.select(*names, "text").mapInArrow(add, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", tokens binary")
 
@@ -392,6 +396,7 @@ def tree_links(rows: DataFrame, num: int, den: int, spanning: bool) -> DataFrame
                 yield _pairs(out)
                 out = []
         yield _pairs(out)
+        give_back()
 
     groups = ["family", "low", "high"]
     return rows.repartition(*groups).sortWithinPartitions(*groups, "doc_id").mapInArrow(join, "a long, b long")

@@ -27,6 +27,15 @@ def test_stages_and_columns(spark):
     assert all(r["round_trip"] for r in frames[-1].collect())
 
 
+def test_a_task_has_one_python_worker(spark):
+    """Workers of two Python steps in one task live on beside each other, in the stages that follow too."""
+    docs = table(spark, SMALL, "documents")
+    for name, stage in pipeline.STAGES:
+        plan = stage(spark, docs, SMALL)._jdf.queryExecution().executedPlan().toString()
+        python = [line for line in plan.split("\n") if "MapInArrow" in line or "Exchange" in line or "Scan" in line]
+        assert not any("MapInArrow" in a and "MapInArrow" in b for a, b in zip(python, python[1:])), name
+
+
 def test_odd_documents(spark, odd, nothing):
     for name, stage in pipeline.STAGES:
         assert stage(spark, odd, SMALL).count() >= 0, name

@@ -63,6 +63,28 @@ def test_encode_and_decode_odd_rows(odd, nothing, library):
     assert bpe_tree.encode_texts(nothing, RANKS, P.PATTERN).count() == 0
 
 
+def test_decoding_in_the_task_that_encodes(odd):
+    """One Python worker for each task does both, with the results of the two steps."""
+    two = bpe_tree.decode_ids(bpe_tree.encode_texts(odd, RANKS, P.PATTERN), RANKS, P.PATTERN)
+    one = bpe_tree.encode_texts(odd, RANKS, P.PATTERN, decoded="decoded", remember=False)
+    assert one.schema == two.schema
+    key = ["doc_id", "text", "token_ids", "decoded"]
+    assert sorted((repr(r) for r in one.select(key).collect())) == sorted((repr(r) for r in two.select(key).collect()))
+
+
+def test_forgetting_all(library):
+    encoder = bpe_tree.TextEncoder(bpe_tree.BytePairs(bpe_tree.load_ranks(RANKS)), P.PATTERN)
+    for text in texts(9, 50, 40):
+        encoder.encode(text)
+    assert encoder.known and encoder.pairs.subtrees and encoder.pairs.seams
+    encoder.forget()
+    assert not encoder.known and encoder.pairs.subtrees
+    encoder.forget(all_=True)
+    assert not encoder.pairs.subtrees and not encoder.pairs.seams
+    for text in texts(9, 50, 40):
+        assert encoder.encode(text) == library.encode_ordinary(text)
+
+
 def test_prefix_counts_of_every_prefix():
     library = tokenizers.Tokenizer.from_file(JSON)
     counter = token_counts.counter(JSON, P.PATTERN)
