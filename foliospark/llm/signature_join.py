@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
-from foliospark.llm.common import give_back, sample_by_id, settled, stored
+from foliospark.llm.common import give_back, settled, stored
 from foliospark.llm.components import connected
 
 #: Sets that one task joins with as many others; larger families are dealt out as pairs of blocks.
@@ -32,8 +32,8 @@ COMBINE = 1 << 21
 LEAF, FANOUT = 8, 8
 #: Pairs of leaves that are looked at together.
 PAIRS = 256
-#: Documents of the sample in which tokens are counted for their order.
-SAMPLE = 8192
+#: Counters in which tokens are counted for their order, as a power of two, and counters of one row.
+COUNTERS, CHUNK = 25, 1 << 16
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -50,28 +50,51 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.known: dict[bytes, int] = {}
+        self.known: dict[bytes, bytes] = {}
+
+    @staticmethod
+    def _words(text: str | None) -> list[bytes]:
+        return (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
 
     def _digests(self, words: list[bytes]) -> np.ndarray:
         known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([known[w] for w in words], np.uint64)
+        try:
+            found = b"".join(map(known.__getitem__, words))
+        except KeyError:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            for w in set(words).difference(known):
+                known[w] = xxhash.xxh3_64_intdigest(w).to_bytes(8, "little")
+            found = b"".join(map(known.__getitem__, words))
+        return np.frombuffer(found, "<u8")
 
-    def tokens(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes: A-Z and ASCII white space only
-        if not words:
-            return np.empty(0, np.uint64)
-        digests = self._digests(words)
-        width = min(self.width, len(words))
-        count = len(words) - width + 1
+    @staticmethod
+    def _mix(digests: np.ndarray, width: int) -> np.ndarray:
+        count = len(digests) - width + 1
         mix = np.full(count, np.uint64(width), np.uint64)
         for i in range(width):
             mix = mixed(mix * _M1 + digests[i : i + count])
-        return np.unique(mix)
+        return mix
+
+    def tokens(self, text: str | None) -> np.ndarray:
+        words = self._words(text)
+        if not words:
+            return np.empty(0, np.uint64)
+        mix = self._mix(self._digests(words), min(self.width, len(words)))
+        mix.sort()
+        return mix[np.concatenate(([True], mix[1:] != mix[:-1]))]
+
+    def all_tokens(self, texts: list[str | None]) -> np.ndarray:
+        """The digests of several texts together, unsorted and as often as they occur; those of texts with fewer words than a shingle are left out."""
+        parts = [d for t in texts if len(d := self._digests(self._words(t))) >= self.width]
+        if not parts:
+            return np.empty(0, np.uint64)
+        mix = self._mix(np.concatenate(parts), self.width)
+        whole = np.ones(len(mix) + self.width - 1, bool)
+        ends = np.cumsum([len(d) for d in parts])
+        for i in range(1, self.width):
+            whole[ends - i] = False  # begins in one text and ends in the next
+        return mix[whole[: len(mix)]]
 
 
 class Bands:
@@ -85,16 +108,17 @@ class Bands:
     Where parts would hold too few tokens (low thresholds), the keys are the
     first tokens in an order of all tokens instead: sets of n tokens share one
     of their first n - ceil(n * num / den) + 1. Any order will do; this one has
-    the tokens last that are frequent in a sample, most frequent last of all, so
-    that passages which many documents share don't bring those together.
+    rare tokens first (``order`` is the class of each counter, see
+    ``token_order``), so that passages which many documents share don't bring
+    those together.
     """
 
-    def __init__(self, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False):
-        self.frequent, self.classes = frequent or (np.empty(0, np.uint64), np.empty(0, np.int8))
+    def __init__(self, num: int, den: int, order: np.ndarray | None = None):
         if not 0.7 * den <= num <= den:
             raise ValueError("similarities from 0.7 to 1")
+        self.order = order
         self.num, self.den = num, den
-        self.by_prefix = (den - num) / (den + num) * 3 > 0.2 and not parts
+        self.by_prefix = (den - num) / (den + num) * 3 > 0.2
         self.starts = [1]
 
     def _band(self, n: int) -> int:
@@ -121,10 +145,8 @@ class Bands:
         if n == 0:
             return np.empty(0, np.uint64)
         if self.by_prefix:
-            if len(self.frequent):
-                at = np.minimum(np.searchsorted(self.frequent, tokens), len(self.frequent) - 1)
-                rank = np.where(self.frequent[at] == tokens, self.classes[at], 0)
-                tokens = tokens[np.argsort(rank, kind="stable")]
+            if self.order is not None:
+                tokens = tokens[np.argsort(self.order[_counter(tokens)], kind="stable")]
             return tokens[: n - -(-n * self.num // self.den) + 1]
         largest = n * self.den // self.num
         band = self._band(n)
@@ -274,25 +296,47 @@ def _columns(text: str, doc_id: str):
     return [F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")]
 
 
-def frequent_tokens(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens that at least three of about SAMPLE documents have, and the logarithm of how many: at most a few MB.
+def _counter(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(64 - COUNTERS)).astype(np.int64)
+
+
+def token_order(docs: DataFrame, width: int) -> bytes:
+    """How often tokens occur in all of the texts: twice the binary logarithm of each counter, compressed.
 
-    They only fix the order in which tokens become keys. Links never depend on it.
+    Tokens that share a counter are counted together; a task counts to 255. That only
+    fixes the order in which tokens become keys; links never depend on it. The
+    counters' number is fixed, whatever the input, and rows of them are added up by shuffle.
     """
+    size = 1 << COUNTERS
+    row = min(CHUNK, size)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Shingler(width).tokens
+        shingler, total = Shingler(width), np.zeros(size, np.uint8)
         for batch in batches:
             for part in slices(batch):
-                found = [tokens(t) for t in part.column("text").to_pylist()]
-                token, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(n)], ["token", "n"])
+                at, n = np.unique(_counter(shingler.all_tokens(part.column("text").to_pylist())), return_counts=True)
+                total[at] = np.minimum(total[at] + n, 255)
+        rows = total.reshape(-1, row)
+        for k in np.flatnonzero(rows.any(1)).tolist():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([pa.compress(rows[k].tobytes(), "zstd", asbytes=True)], pa.binary())], ["chunk", "counts"])
+        del shingler, total, rows
+        give_back()
 
-    counts = sample_by_id(docs, "doc_id", SAMPLE).select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    often = counts.where(F.col("n") >= 3).toArrow()
-    token, n = np.asarray(often.column("token")).view(np.uint64), np.asarray(often.column("n"))
-    order = np.argsort(token)
-    return token[order], np.log2(n[order]).astype(np.int8)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist()))
+        for k, group in groupby(rows, key=lambda r: r[0]):
+            total = np.zeros(row, np.int64)
+            for _, counts in group:
+                total += np.frombuffer(pa.decompress(counts, row, "zstd", asbytes=True), np.uint8)
+            classes = (2 * np.log2(np.maximum(total, 1))).astype(np.int8).tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([classes], pa.binary())], ["chunk", "classes"])
+
+    counts = docs.select("text").mapInArrow(count, "chunk int, counts binary")
+    sums = counts.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(add, "chunk int, classes binary").toArrow()
+    order = np.zeros((size // row, row), np.int8)
+    for k, classes in zip(sums.column("chunk").to_pylist(), sums.column("classes").to_pylist()):
+        order[k] = np.frombuffer(classes, np.int8)
+    return pa.compress(order.tobytes(), "zstd", asbytes=True)
 
 
 def _combined(keys: list[np.ndarray], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -308,11 +352,10 @@ def _combined(keys: list[np.ndarray], ids: list[int]) -> tuple[np.ndarray, np.nd
     return np.concatenate([key[new], name, name]), np.concatenate([doc[new], tie[:, 0], tie[:, 1]])
 
 
-def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
+def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, order: bytes | None = None) -> DataFrame:
     """In one pass over the texts: for each row doc_id, n_shingles and a digest of the whole set, and rows (key, doc_id) of the join keys.
 
-    With ``parts`` keys are always by parts, and of each family (a column) by
-    itself.  A task hands on each key once: documents in it that share a key are tied by
+    A task hands on each key once: documents in it that share a key are tied by
     a key of their own instead. So a key has a row for each task, not for each
     document, however many share it.
     """
@@ -323,23 +366,22 @@ def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tup
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "digest"])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, bands = Shingler(width), Bands(num, den, frequent, parts)
+        shingler = Shingler(width)
+        bands = Bands(num, den, None if order is None else np.frombuffer(pa.decompress(order, 1 << COUNTERS, "zstd"), np.int8))
         keys, ids, held = [], [], 0
         for batch in batches:
             for part in slices(batch):
-                family = part.column("family").to_pylist() if parts else [0] * part.num_rows
                 docs_of, sizes, digests = part.column("doc_id").to_pylist(), [], []
-                for doc, text, own in zip(docs_of, part.column("text").to_pylist(), family):
+                for doc, text in zip(docs_of, part.column("text").to_pylist()):
                     tokens = shingler.tokens(text)
                     sizes.append(len(tokens))
                     digests.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63))
                     found = bands.keys(tokens) if doc is not None else ()
                     if len(found):
-                        keys.append(mixed(found ^ np.uint64(own & 0xFFFFFFFFFFFFFFFF)) if parts else found)
+                        keys.append(found)
                         ids.append(doc)
                         held += len(found)
-                if not parts:
-                    yield rows(docs_of, None, sizes, digests)
+                yield rows(docs_of, None, sizes, digests)
                 if held >= COMBINE:
                     key, doc = _combined(keys, ids)
                     yield rows(doc, key.view(np.int64), None, None)
@@ -347,17 +389,12 @@ def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tup
         if keys:
             key, doc = _combined(keys, ids)
             yield rows(doc, key.view(np.int64), None, None)
-        del shingler, keys, ids
+        del shingler, bands, keys, ids
         give_back()
 
     return docs.mapInArrow(emit, "doc_id long, key long, n_shingles long, digest long")
 
 
-def shared_keys(docs: DataFrame, width: int, num: int, den: int, frequent: tuple[np.ndarray, np.ndarray] | None = None, parts: bool = False) -> DataFrame:
-    """Rows (key, doc_id) of the join keys alone."""
-    return sets_and_keys(docs, width, num, den, frequent, parts).where(F.col("key").isNotNull()).select("key", "doc_id")
-
-
 def _token_rows(docs: DataFrame, width: int) -> DataFrame:
     """The sets themselves, as bytes."""
     keep = [f for f in docs.schema.fields if f.name != "text"]
@@ -378,27 +415,27 @@ def _token_rows(docs: DataFrame, width: int) -> DataFrame:
 def _rows(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for part in slices(batch, 256):
-            yield from zip(*(part.column(c).to_pylist() for c in ("family", "low", "high", "block", "doc_id", "tokens")))
+            yield from zip(*(part.column(c).to_pylist() for c in ("family", "band", "low", "high", "block", "doc_id", "tokens")))
 
 
 def tree_links(rows: DataFrame, num: int, den: int, spanning: bool) -> DataFrame:
-    """Links (a, b) within each group of rows (family, low, high): of one block with itself, or of two blocks with each other."""
+    """Links (a, b) within each group of rows (family, band, low, high): of one block with itself, or of two blocks with each other."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int]] = []
-        for (_, low, high), group in groupby(_rows(batches), key=lambda r: r[:3]):
+        for (_, _, low, high), group in groupby(_rows(batches), key=lambda r: r[:4]):
             group = list(group)
             if len(group) > 1:
-                sides = None if low == high else np.array([r[3] for r in group])
-                tree = SignatureTree([np.frombuffer(r[5], np.uint64) for r in group])
-                out += [(group[p][4], group[q][4]) for p, q in tree.links(num, den, sides, spanning)]
+                sides = None if low == high else np.array([r[4] for r in group])
+                tree = SignatureTree([np.frombuffer(r[6], np.uint64) for r in group])
+                out += [(group[p][5], group[q][5]) for p, q in tree.links(num, den, sides, spanning)]
             if len(out) >= 8192:
                 yield _pairs(out)
                 out = []
         yield _pairs(out)
         give_back()
 
-    groups = ["family", "low", "high"]
+    groups = ["family", "band", "low", "high"]
     return rows.repartition(*groups).sortWithinPartitions(*groups, "doc_id").mapInArrow(join, "a long, b long")
 
 
@@ -406,27 +443,25 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _families(docs: DataFrame, keys: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """doc_id and family of the documents that share keys with others; similar ones are always of one family.
+def _families(keys: DataFrame) -> DataFrame:
+    """doc_id and family of the documents that share keys with others; similar ones are always of one family."""
+    first = F.min("doc_id").over(Window.partitionBy("key"))
+    edges = keys.select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b")
+    return connected(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
-    Chains of shared passages can make a family of first tokens large. Whole
-    parts are shared by chance much more rarely, but are more keys, so families
-    of more than BLOCK documents are divided by those.
-    """
 
-    def tied(rows: DataFrame) -> DataFrame:
-        first = F.min("doc_id").over(Window.partitionBy("key"))
-        edges = rows.select(F.col("doc_id").alias("a"), first.alias("b")).where("a > b")
-        return connected(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+def _by_size(firsts: DataFrame, num: int, den: int) -> DataFrame:
+    """Adds ``band``: families of more than BLOCK sets are divided by size, each size at most twice the least of its band.
 
-    families = tied(keys)
-    if not Bands(num, den).by_prefix:
-        return families
-    large = settled(families.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("family"))
-    if large.isEmpty():
-        return families
-    within = docs.join(families.join(large, "family", "left_semi"), "doc_id")
-    return families.join(large, "family", "left_anti").select("doc_id", "family").unionByName(tied(shared_keys(within, width, num, den, parts=True)))
+    Sets whose sizes differ by more than num / den aren't similar. One that is
+    near enough to the least size of its band to have similar ones in the band below is in
+    that one too, so two similar sets always share a band. Other families are of one band.
+    """
+    sizes = firsts.groupBy("family").agg(F.count("*").alias("sets"))
+    band = F.length(F.bin("n_shingles")) - 1
+    below = F.col("n_shingles") * num < F.expr("shiftleft(1L, length(bin(n_shingles)) - 1)") * den
+    bands = F.when(F.col("sets") <= BLOCK, F.array(F.lit(0))).when(below, F.array(band - 1, band)).otherwise(F.array(band))
+    return firsts.join(sizes.hint("merge"), "family").withColumn("band", F.explode(bands)).drop("sets")
 
 
 def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text: str = "text", doc_id: str = "doc_id", spanning: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -443,21 +478,25 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     Other columns are ignored. An empty table gives empty results.
     """
     docs = docs.select(*_columns(text, doc_id))
-    frequent = frequent_tokens(docs, width) if Bands(num, den).by_prefix else None
-    found = stored(sets_and_keys(docs, width, num, den, frequent))
+    order = token_order(docs, width) if Bands(num, den).by_prefix else None
+    found = stored(sets_and_keys(docs, width, num, den, order))
     info = found.where(F.col("key").isNull()).select("doc_id", "n_shingles", "digest")
-    families = _families(docs, found.where(F.col("key").isNotNull()).select("key", "doc_id"), width, num, den)
+    families = _families(found.where(F.col("key").isNotNull()).select("key", "doc_id"))
     member = settled(info.join(families.hint("merge"), "doc_id"))
-    firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative")))
-    sizes = firsts.groupBy("family").agg(F.count("*").alias("n")).where("n > 1")
+    firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative"), F.min("n_shingles").alias("n_shingles")))
+    banded = _by_size(firsts, num, den)
+    sizes = banded.groupBy("family", "band").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("representative"), blocks).cast("int")
-    chosen = firsts.join(sizes.hint("merge"), "family").select("family", F.col("representative").alias("doc_id"), block.alias("block"), blocks.alias("blocks"))
+    chosen = banded.join(sizes.hint("merge"), ["family", "band"]).select("family", "band", F.col("representative").alias("doc_id"), block.alias("block"), blocks.alias("blocks"))
     rows = _token_rows(chosen.join(docs.hint("merge"), "doc_id"), width)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "tokens")
-    links = settled(tree_links(rows, num, den, spanning))
-    known = member.select("doc_id", "digest", "family").distinct().join(firsts.hint("merge"), ["family", "digest"])
+    rows = rows.select("family", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "doc_id", "tokens")
+    links = tree_links(rows, num, den, spanning)
+    if not spanning:  # two bands may have found the same link
+        links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = settled(links)
+    known = member.select("doc_id", "digest", "family").distinct().join(firsts.drop("n_shingles").hint("merge"), ["family", "digest"])
     classes = info.join(known.select("doc_id", "digest", "representative").hint("merge"), ["doc_id", "digest"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("representative", "doc_id")).otherwise(F.col("doc_id"))
     return classes.select("doc_id", "n_shingles", own.alias("representative")), links

@@ -188,3 +188,51 @@ def test_query_like_brute_force(spark):
     found = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in QUERIES["op1_signature_join"](spark, path).collect()}
     assert found == {(doc, len(sets[doc]), component[doc]) for doc in ids}
     assert len({c for c in component.values()}) < len(ids)
+
+
+def chained(n, tail=6):
+    """Documents of many sizes that all share a passage with the next one, and near copies of some of them."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(n):
+        own = [f"d{i}x{k}" for k in range(rnd.choice([8, 12, 17, 30, 33, 60, 64, 70]))]
+        rows.append([*(f"p{i}x{k}" for k in range(tail)), *own, *(f"p{i + 1}x{k}" for k in range(tail))])
+    for i in range(0, n, 3):
+        for size in (0, 1):
+            copy = list(rows[i])
+            copy += [f"e{i}x{size}x{k}" for k in range(len(copy) // 8 * size)]
+            rows.append(copy)
+    return [(i * 2 + 1, " ".join(w)) for i, w in enumerate(rows)]
+
+
+def test_all_texts_fix_the_order(monkeypatch, documents):
+    """Passages of few documents don't chain those to one family, which would be sent once for each of its blocks."""
+    monkeypatch.setattr(S, "COMBINE", 64)
+    docs = documents([(d, t, None, None) for d, t in chained(60)])
+    keys = S.sets_and_keys(docs, 5, 80, 100, S.token_order(docs, 5)).where("key IS NOT NULL").select("key", "doc_id")
+    sizes = [r["count"] for r in S._families(keys).groupBy("family").count().collect()]
+    assert sorted(sizes) == [3] * 20
+
+
+@pytest.mark.parametrize("num", [70, 80])
+def test_large_families_are_divided_by_size(monkeypatch, documents, num):
+    """Without an order all documents chain to one family; sets meet those of like size only, and no link is lost or given twice."""
+    monkeypatch.setattr(S, "BLOCK", 25)
+    monkeypatch.setattr(S, "token_order", lambda docs, width: None)
+    rows = chained(60)
+    docs = documents([(d, t, None, None) for d, t in rows])
+    sent = []
+    links = S.tree_links
+
+    def count(rows, *a):
+        sent.append(rows.count())
+        return links(rows, *a)
+
+    monkeypatch.setattr(S, "tree_links", count)
+    assert sorted(tuple(r) for r in S.jaccard_components(docs, 5, num, 100).collect()) == brute(rows, 5, num, 100)
+    classes, found = S.similar(docs, 5, num, 100, spanning=False)
+    representatives = {r["doc_id"]: r["representative"] for r in classes.collect()}
+    sets = {d: shingles(t, 5) for d, t in rows if representatives[d] == d}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])}
+    assert sorted((r["a"], r["b"]) for r in found.collect()) == sorted(want)
+    assert max(sent) < 2 * len(sets)
