@@ -8,7 +8,7 @@ normal directions and indexed by kd-trees there; pages come up by projected
 distance and are verified until a chi-square test says that what is left is
 further away with the wanted probability. ``mtree_search`` (exact): M-trees of
 paged metric nodes with covering radii and distances to the parent, searched best
-first; bounds from the triangle inequality spare distances.
+first, by many queries together; bounds from the triangle inequality spare distances.
 
 Both run in two rounds. The cells of a top level (fitted to a bounded sample;
 every vector is indexed) are dealt out in blocks. A query first searches its
@@ -44,12 +44,17 @@ class Best:
         self.ids = np.full((queries, k), np.iinfo(np.int64).max)
 
     def update(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        better = scores.max(1) >= self.scores[rows, -1]
+        candidates = (scores >= self.scores[rows, -1, None]).sum(1)
+        better = candidates > 0
         rows, scores = rows[better], scores[better]
         if not len(rows):
             return
+        most = int(candidates.max())
+        if most < scores.shape[1]:  # no row has more that can be among its best, so the others aren't sorted
+            top = np.argpartition(scores, scores.shape[1] - most, 1)[:, -most:]
+            scores, ids = np.take_along_axis(scores, top, 1), ids[top]
         scores = np.concatenate([self.scores[rows], scores], 1)
-        ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), len(ids)))], 1)
+        ids = np.concatenate([self.ids[rows], np.broadcast_to(ids, (len(rows), ids.shape[-1]))], 1)
         order = np.lexsort((ids, -scores), axis=-1)[:, : self.k]
         self.scores[rows] = np.take_along_axis(scores, order, 1)
         self.ids[rows] = np.take_along_axis(ids, order, 1)
@@ -260,6 +265,7 @@ class MTree:
         start = points[:1].mean(0)
         grow(np.arange(len(x)), start, start)
         pivot, cover, above = np.array(pivots), np.array(radius), np.array(to_parent)
+        inner = np.array([page is None for page in pages])
         slack = self._slack()
 
         def search(q: np.ndarray, own: np.ndarray, bound: np.ndarray, k: int) -> Best:
@@ -269,31 +275,48 @@ class MTree:
             to_pivot = np.zeros((len(q), len(pivot)))
             to_pivot[:, 0] = self.apart(target, pivot[:1])[:, 0]
             lower[:, 0] = np.maximum(to_pivot[:, 0] - cover[0], 0)
-            active = np.arange(len(q))
+
+            def reach(rows: np.ndarray) -> np.ndarray:
+                return self.space.radius(q[rows], np.maximum(best.scores[rows, -1], bound[rows])) + slack
+
+            def visit(n: int, rows: np.ndarray) -> None:
+                lower[rows, n] = np.inf
+                within = reach(rows)[:, None]
+                if pages[n] is None:
+                    below = children[n]
+                    known = np.abs(to_pivot[rows, n][:, None] - above[below][None]) - cover[below][None]
+                    useful = known <= within
+                    needed, some = np.flatnonzero(useful.any(0)), np.flatnonzero(useful.any(1))
+                    if len(needed):
+                        away = self.apart(target[rows[some]], pivot[below[needed]])
+                        to_pivot[np.ix_(rows[some], below[needed])] = away
+                        bounds = np.maximum(away - cover[below[needed]][None], 0)
+                        lower[np.ix_(rows[some], below[needed])] = np.where(useful[np.ix_(some, needed)], bounds, np.inf)
+                else:
+                    at, away = pages[n]
+                    useful = np.abs(to_pivot[rows, n][:, None] - away[None]) <= within
+                    needed, some = np.flatnonzero(useful.any(0)), np.flatnonzero(useful.any(1))
+                    if len(needed):
+                        verify(best, rows[some], q, own, x, ids, at[needed])
+
+            # A query without a bound goes to the nodes nearest to itself until it has one.
+            active = np.flatnonzero(np.isneginf(bound))
             while len(active):
                 node = lower[active].argmin(1)
-                reach = self.space.radius(q[active], np.maximum(best.scores[active, -1], bound[active])) + slack
-                go = np.isfinite(lower[active, node]) & (lower[active, node] <= reach)
-                active, node, reach = active[go], node[go], reach[go]
+                go = np.isfinite(lower[active, node])
+                active, node = active[go], node[go]
                 for n, part in groups_of(node) if len(active) else ():
-                    rows = active[part]
-                    lower[rows, n] = np.inf
-                    if pages[n] is None:
-                        below = children[n]
-                        known = np.abs(to_pivot[rows, n][:, None] - above[below][None]) - cover[below][None]
-                        useful = known <= reach[part][:, None]
-                        needed, some = np.flatnonzero(useful.any(0)), np.flatnonzero(useful.any(1))
-                        if len(needed):
-                            away = self.apart(target[rows[some]], pivot[below[needed]])
-                            to_pivot[np.ix_(rows[some], below[needed])] = away
-                            bounds = np.maximum(away - cover[below[needed]][None], 0)
-                            lower[np.ix_(rows[some], below[needed])] = np.where(useful[np.ix_(some, needed)], bounds, np.inf)
-                    else:
-                        at, away = pages[n]
-                        useful = np.abs(to_pivot[rows, n][:, None] - away[None]) <= reach[part][:, None]
-                        needed, some = np.flatnonzero(useful.any(0)), np.flatnonzero(useful.any(1))
-                        if len(needed):
-                            verify(best, rows[some], q, own, x, ids, at[needed])
+                    visit(n, active[part])
+                active = active[np.isneginf(best.scores[active, -1])]
+            # Then a node is visited by all queries that it may have results for: inner nodes first, the nearest to any query first.
+            everyone = np.arange(len(q))
+            while np.isfinite(near := lower.min(0)).any():
+                upper = np.where(inner, near, np.inf)
+                n = int(upper.argmin() if np.isfinite(upper).any() else near.argmin())
+                rows = np.flatnonzero(np.isfinite(lower[:, n]) & (lower[:, n] <= reach(everyone)))
+                lower[:, n] = np.inf
+                if len(rows):
+                    visit(n, rows)
             return best
 
         return search

@@ -94,3 +94,39 @@ def test_large_norms_lengths_and_vectors_of_one_id(spark):
     empty = spark.createDataFrame([(0, []), (1, [])], "vec_id long, embedding array<double>")
     assert V.stable_projection_search(empty, F.col("vec_id") % 20 == 0).count() == 0
     assert collected(V.mtree_search(empty, F.col("vec_id") % 20 == 0)) == {0: [(1, 0.0)]}
+
+
+def test_queries_visit_a_page_of_an_m_tree_together(monkeypatch):
+    """Where bounds spare little, a page is read a few times for all queries, not for a few queries at a time; results are exact."""
+    rng = np.random.default_rng(5)
+    x, ids = np.floor(rng.normal(size=(2000, 16)) * 64), np.arange(2000)
+    calls = []
+    verify = V.verify
+
+    def counted(best, rows, *rest):
+        calls.append(len(rows))
+        verify(best, rows, *rest)
+
+    monkeypatch.setattr(V, "verify", counted)
+    search = V.MTree(V.Space(float((x * x).sum(1).max())), page=64).index(x, ids)
+    asked = np.arange(0, 2000, 4)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    want = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=-1)[:, :10]
+    known = np.take_along_axis(scores, want, 1)
+    for bound in (np.full(len(asked), -np.inf), known[:, -1].copy()):
+        calls.clear()
+        found = search(x[asked], asked, bound, 10)
+        assert (found.ids == want).all() and (found.scores == known).all()
+        assert len(calls) < 500
+
+
+def test_best_of_many_ties():
+    rng = np.random.default_rng(6)
+    scores = rng.integers(0, 4, (50, 300)).astype(float)
+    ids = rng.permutation(300)
+    best = V.Best(50, 7)
+    for part in np.array_split(np.arange(300), 9):
+        best.update(np.arange(50), scores[:, part], ids[part])
+    want = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=-1)[:, :7]
+    assert (best.ids == ids[want]).all() and (best.scores == np.take_along_axis(scores, want, 1)).all()
