@@ -16,10 +16,14 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -49,6 +53,11 @@ class BytePairs:
         self.subtrees: dict[bytes, list[int]] = {}
         self.joins = 0
 
+    @cached_property
+    def tokens(self) -> pa.Array:
+        """The bytes of each rank; null for numbers that are no rank."""
+        return pa.array([self.token.get(k) for k in range(max(self.token, default=-1) + 1)], pa.large_binary())
+
     def merged(self, data: bytes) -> list[int]:
         """The encoding by its definition. A heap of possible merges keeps long inputs near-linear."""
         ranks = self.ranks
@@ -141,27 +150,23 @@ class TextEncoder:
 
     def __init__(self, pairs: BytePairs, pattern: str, reach: int = 3):
         self.pairs, self.pattern, self.reach = pairs, regex.compile(pattern), reach
-        self.known: dict[str, list[int]] = {}
+        #: Ids of pieces as 32-bit numbers, so that those of a text are put together without a Python number each.
+        self.known: dict[str, bytes] = {}
 
-    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
         known = self.known
         try:
-            return [known[p] for p in pieces]
+            return list(map(known.__getitem__, pieces))
         except KeyError:
             pass
         if len(known) >= REMEMBERED:
             known.clear()
-        out = []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                ids = self.pairs.encode_piece(p.encode())
-                if len(p) <= 64:
-                    known[p] = ids
-            out.append(ids)
-        return out
-
-    def _tree(self, text: str) -> tuple[list[str], list[list[int]]]:
+        long = {}
+        for p in set(pieces).difference(known):
+            (known if len(p) <= 64 else long)[p] = array("i", self.pairs.encode_piece(p.encode())).tobytes()
+        return [long[p] if p in long else known[p] for p in pieces] if long else list(map(known.__getitem__, pieces))
+
+    def _tree(self, text: str) -> tuple[list[str], list[bytes]]:
         if len(text) <= LEAF_CHARS:
             pieces = self.pattern.findall(text)
             return pieces, self._encoded(pieces)
@@ -194,8 +199,18 @@ class TextEncoder:
                 at += len(piece)
             take *= 2
 
+    def id_bytes(self, text: str | None) -> bytes:
+        """The ids of a text as 32-bit numbers; none for a null text."""
+        return b"".join(self._tree(text)[1]) if text else b""
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self._tree(text)[1]))
+        return np.frombuffer(self.id_bytes(text), np.int32).tolist()
+
+    def encode_all(self, texts: list[str | None]) -> pa.ListArray:
+        """The ids of each text."""
+        found = [self.id_bytes(t) for t in texts]
+        ends = np.cumsum([0, *(len(f) // 4 for f in found)], dtype=np.int64)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
     def forget(self, all_: bool = False) -> None:
         """Drops the pieces, as a task does at its end: its worker may live on beside others. Subtrees, which take less and save most, stay unless all are to go."""
@@ -216,16 +231,19 @@ def encoder(path: str, pattern: str) -> TextEncoder:
     return _ENCODERS[path, pattern]
 
 
-def decode(tokens: dict[int, bytes], ids: list[int]) -> bytes:
-    """Concatenation up the tree: each node's bytes are its children's, one after the other."""
-    if len(ids) <= 1 << 12:
-        return b"".join([tokens[i] for i in ids])
-    half = len(ids) // 2
-    return decode(tokens, ids[:half]) + decode(tokens, ids[half:])
-
-
-def _back(tokens: dict[int, bytes], ids: pa.Array) -> pa.Array:
-    return pa.array([None if x is None else decode(tokens, x) for x in ids.to_pylist()], pa.binary())
+def decode(tokens: pa.Array, ids: pa.Array) -> pa.Array:
+    """The bytes that each list of ids stands for: the product of encodings, concatenation, for all lists at once. Null for a null list."""
+    if not len(ids):
+        return pa.array([], pa.binary())
+    found = tokens.take(ids.flatten())
+    if found.null_count:
+        raise KeyError("an id that is null or no token")
+    ends = np.cumsum(np.append(0, np.asarray(pc.fill_null(pc.list_value_length(ids), 0))))
+    # The bytes of tokens that were taken stand one after the other; only the borders of lists are kept.
+    borders = np.append(np.zeros(1, np.int64), np.cumsum(np.asarray(pc.binary_length(found), np.int64)))
+    data = found.buffers()[2] or pa.py_buffer(b"")
+    whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(borders[ends])), data])
+    return pc.if_else(ids.is_valid(), whole, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
 
 def encode_texts(
@@ -250,8 +268,8 @@ def encode_texts(
         try:
             for batch in batches:
                 for part in slices(batch):
-                    found = pa.array([own.encode(t) if t else [] for t in part.column(text).to_pylist()], pa.list_(pa.int32()))
-                    again = [_back(own.pairs.token, found)] if decoded else []
+                    found = own.encode_all(part.column(text).to_pylist())
+                    again = [decode(own.pairs.tokens, found)] if decoded else []
                     yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in keep), found, *again], schema.names)
         finally:
             own.forget(all_=not remember)
@@ -265,10 +283,10 @@ def decode_ids(docs: DataFrame, path: str, pattern: str, ids: str = "token_ids",
     schema = T.StructType([*docs.schema.fields, T.StructField(decoded, T.BinaryType())])
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(path, pattern).pairs.token
+        tokens = encoder(path, pattern).pairs.tokens
         for batch in batches:
             for part in slices(batch):
-                yield pa.RecordBatch.from_arrays([*part.columns, _back(tokens, part.column(ids))], [*part.schema.names, decoded])
+                yield pa.RecordBatch.from_arrays([*part.columns, decode(tokens, part.column(ids))], [*part.schema.names, decoded])
 
     return docs.mapInArrow(back, schema)
 

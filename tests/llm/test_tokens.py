@@ -157,3 +157,21 @@ def test_queries_give_what_the_libraries_give(spark, library):
         op5.append((r["doc_id"], len(text.encode()), n, n > 512))
     assert sorted(map(tuple, QUERIES["op2_bpe_tree"](spark, where).collect())) == sorted(op2)
     assert sorted(tuple(r)[:4] for r in QUERIES["op5_token_counts"](spark, where).collect()) == sorted(op5)
+
+
+def test_lists_of_ids_are_decoded_together():
+    """One take of all tokens for a batch, whose bytes already stand one after the other; also for parts of a batch and null lists."""
+    pa = pytest.importorskip("pyarrow")
+    encoder = bpe_tree.TextEncoder(bpe_tree.BytePairs(bpe_tree.load_ranks(RANKS)), P.PATTERN)
+    some = [*texts(13, 40, 30), None, "", "日本 the" * 900]
+    ids, tokens = encoder.encode_all(some), encoder.pairs.tokens
+    assert [bytes(b).decode() for b in bpe_tree.decode(tokens, ids).to_pylist()] == [t or "" for t in some]
+    assert ids.to_pylist() == [encoder.encode(t) if t else [] for t in some]
+    lists = pa.array([[5], None, [], [1, 2, 3], None, [4]], pa.list_(pa.int32()))
+    want = [None if x is None else b"".join(encoder.pairs.token[k] for k in x) for x in lists.to_pylist()]
+    for a in range(7):
+        for b in range(a, 7):
+            assert bpe_tree.decode(tokens, lists.slice(a, b - a)).to_pylist() == want[a:b]
+    for bad in ([[1, None]], [[10**6]]):
+        with pytest.raises((KeyError, IndexError)):
+            bpe_tree.decode(tokens, pa.array(bad, pa.list_(pa.int32())))
