@@ -37,24 +37,38 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
 class Hasher:
-    """Texts to buckets of words and marks (runs of other signs), lower case, and of neighbouring pairs."""
+    """Texts to buckets of words and marks (runs of other signs), lower case, and of neighbouring pairs.
+
+    No word or mark holds white space, so what stands between white space is cut up once and its digests are remembered.
+    """
 
     def __init__(self):
-        self.known: dict[str, int] = {}
+        self.known: dict[str, bytes] = {}
+
+    def _digests(self, text: str) -> np.ndarray:
+        parts, known = text.lower().split(), self.known
+        try:
+            found = b"".join(map(known.__getitem__, parts))
+        except KeyError:
+            if len(known) >= REMEMBERED:
+                known.clear()
+            for p in set(parts).difference(known):
+                tokens = (p,) if p.isalnum() else _TOKEN.findall(p)
+                known[p] = b"".join([zlib.crc32(t.encode()).to_bytes(8, "little") for t in tokens])
+            found = b"".join(map(known.__getitem__, parts))
+        return np.frombuffer(found, "<u8")
 
     def buckets(self, text: str | None) -> np.ndarray:
-        tokens = _TOKEN.findall((text or "").lower())
-        known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
-        for t in tokens:
-            if t not in known:
-                known[t] = zlib.crc32(t.encode())
-        one = np.array([known[t] for t in tokens], np.uint64)
+        one = self._digests(text or "")
         pair = (one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)
         return np.concatenate([one % np.uint64(BUCKETS), pair % np.uint64(BUCKETS) + np.uint64(BUCKETS)]).astype(np.int64)
 
 
+def _distinct(buckets: np.ndarray) -> np.ndarray:
+    found = np.sort(buckets.astype(np.int32))
+    return found[np.flatnonzero(np.diff(found, prepend=-1))]
+
+
 def ngram_counts(docs: DataFrame, text: str = "text", good: str = "good") -> tuple[np.ndarray, np.ndarray]:
     """Numbers of documents with each bucket: of all rows, and of those where ``good`` is true.
 
@@ -68,7 +82,7 @@ def ngram_counts(docs: DataFrame, text: str = "text", good: str = "good") -> tup
         hasher, total = Hasher(), np.zeros((2, size), np.int64)
         for batch in batches:
             for part in slices(batch):
-                found = [np.unique(hasher.buckets(t)) for t in part.column(text).to_pylist()]
+                found = [_distinct(hasher.buckets(t)) for t in part.column(text).to_pylist()]
                 total[0] += np.bincount(np.concatenate(found), minlength=size)
                 chosen = [f for f, g in zip(found, part.column(good).to_pylist()) if g]
                 if chosen:

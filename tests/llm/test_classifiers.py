@@ -120,3 +120,19 @@ def test_rare_languages_are_learned(documents):
     found = bigru.identify(docs.where("lang = 'pl'"), model).collect()
     assert len(found) == 6 and all(r["lang_pred"] == "pl" for r in found)
     assert bigru.shares({"a": 3, "b": 10**9, "c": 10**6}, 2000) == {"a": 3, "b": 999, "c": 998}
+
+
+def test_buckets_of_what_stands_between_white_space():
+    """Words and marks are those of the whole text, though each run without white space is cut up only once."""
+    rnd = np.random.default_rng(3)
+    signs = ["a", "B", "é", "ß", "İ", "_", "1", "²", "日", ".", ",", "!?", "'", " ", "\n", "\t", "\x1c", "\x85", " ", " ", "​"]
+    hasher, again = importance.Hasher(), importance.Hasher()
+    for text in [None, "", " ", *("".join(rnd.choice(signs, rnd.integers(1, 40))) for _ in range(400))]:
+        crc = [__import__("zlib").crc32(t.encode()) for t in importance._TOKEN.findall((text or "").lower())]
+        pairs = [((a * 0x9E3779B97F4A7C15 + b) * 0xBF58476D1CE4E5B9 % (1 << 64) >> 40) % importance.BUCKETS + importance.BUCKETS for a, b in zip(crc, crc[1:])]
+        want = [c % importance.BUCKETS for c in crc] + pairs
+        assert hasher.buckets(text).tolist() == again.buckets(text).tolist() == want
+        assert importance._distinct(hasher.buckets(text)).tolist() == sorted(set(want))
+    once = importance.Hasher()
+    once.buckets("one,two one,two\tone,two")
+    assert set(once.known) == {"one,two"}
