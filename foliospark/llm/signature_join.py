@@ -18,7 +18,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.bpe_tree import REMEMBERED, slices
@@ -140,14 +140,15 @@ class Bands:
             spare = math.ceil(empty + 3 * math.sqrt(empty)) if empty > 0.01 else 0
         return most + 1 + 2 * spare, spare
 
-    def keys(self, tokens: np.ndarray) -> np.ndarray:
+    def keys(self, tokens: np.ndarray, longer: bool = False) -> np.ndarray:
+        """With ``longer`` a set has more keys than it needs, ``_more`` says how many; see ``_by_rare_keys``."""
         n = len(tokens)
         if n == 0:
             return np.empty(0, np.uint64)
         if self.by_prefix:
             if self.order is not None:
                 tokens = tokens[np.argsort(self.order[_counter(tokens)], kind="stable")]
-            return tokens[: n - -(-n * self.num // self.den) + 1]
+            return tokens[: n - -(-n * self.num // self.den) + 1 + (_more(n) if longer else 0)]
         largest = n * self.den // self.num
         band = self._band(n)
         self._band(self.starts[band + 1])
@@ -339,6 +340,17 @@ def token_order(docs: DataFrame, width: int) -> bytes:
     return pa.compress(order.tobytes(), "zstd", asbytes=True)
 
 
+def _more(n: int) -> int:
+    """Keys of a set of n tokens beyond those it needs."""
+    return max(n // 20, min(4, n // 5))
+
+
+def _spare(n: Column, num: int, den: int) -> Column:
+    """Keys that a set of n tokens may leave out again: ``_more`` of the least size of a similar set."""
+    least = F.floor((n * num + den - 1) / den)
+    return F.greatest(F.floor(least / 20), F.least(F.lit(4), F.floor(least / 5)))
+
+
 def _combined(keys: list[np.ndarray], ids: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Each key once, with its first document; other documents of the key are tied to that one by keys of their own."""
     doc = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
@@ -352,16 +364,19 @@ def _combined(keys: list[np.ndarray], ids: list[int]) -> tuple[np.ndarray, np.nd
     return np.concatenate([key[new], name, name]), np.concatenate([doc[new], tie[:, 0], tie[:, 1]])
 
 
-def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, order: bytes | None = None) -> DataFrame:
+def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, order: bytes | None = None, longer: bool = False) -> DataFrame:
     """In one pass over the texts: for each row doc_id, n_shingles and a digest of the whole set, and rows (key, doc_id) of the join keys.
 
     A task hands on each key once: documents in it that share a key are tied by
     a key of their own instead. So a key has a row for each task, not for each
     document, however many share it.
+
+    With ``longer`` rows of join keys are (key, digest) instead, so that all sets
+    of a key can be counted; a task hands on each set's keys once as a rule.
     """
 
     def rows(doc, key, count, digest) -> pa.RecordBatch:
-        none = pa.nulls(len(doc), pa.int64())
+        none = pa.nulls(len(key if doc is None else doc), pa.int64())
         columns = [none if c is None else pa.array(c, pa.int64()) for c in (doc, key, count, digest)]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "digest"])
 
@@ -369,6 +384,7 @@ def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, order: bytes
         shingler = Shingler(width)
         bands = Bands(num, den, None if order is None else np.frombuffer(pa.decompress(order, 1 << COUNTERS, "zstd"), np.int8))
         keys, ids, held = [], [], 0
+        seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
                 docs_of, sizes, digests = part.column("doc_id").to_pylist(), [], []
@@ -376,20 +392,30 @@ def sets_and_keys(docs: DataFrame, width: int, num: int, den: int, order: bytes
                     tokens = shingler.tokens(text)
                     sizes.append(len(tokens))
                     digests.append(xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63))
-                    found = bands.keys(tokens) if doc is not None else ()
+                    if doc is None or longer and digests[-1] in seen:
+                        continue
+                    found = bands.keys(tokens, longer)
                     if len(found):
                         keys.append(found)
-                        ids.append(doc)
+                        ids.append(digests[-1] if longer else doc)
                         held += len(found)
                 yield rows(docs_of, None, sizes, digests)
-                if held >= COMBINE:
+                if longer:
+                    if keys:
+                        digest = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+                        yield rows(None, np.concatenate(keys).view(np.int64), None, digest)
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.update(ids)
+                    keys, ids, held = [], [], 0
+                elif held >= COMBINE:
                     key, doc = _combined(keys, ids)
                     yield rows(doc, key.view(np.int64), None, None)
                     keys, ids, held = [], [], 0
         if keys:
             key, doc = _combined(keys, ids)
             yield rows(doc, key.view(np.int64), None, None)
-        del shingler, bands, keys, ids
+        del shingler, bands, keys, ids, seen
         give_back()
 
     return docs.mapInArrow(emit, "doc_id long, key long, n_shingles long, digest long")
@@ -450,6 +476,27 @@ def _families(keys: DataFrame) -> DataFrame:
     return connected(edges).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
 
 
+def _by_rare_keys(keys: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
+    """digest and family of the sets that share rare keys with others, of the ``longer`` keys (key, digest); similar ones are always of one family.
+
+    A set of n tokens of which t = ceil(n * num / den) must be shared has its first
+    n - t + 1 + _more(n) tokens as keys, so two similar sets share at least
+    1 + _more(m) of them, m being the smaller size, which is t or more. So each may leave
+    out _more(t) of its keys, if all sets agree on which go first: those that
+    most sets have, as counted exactly here. What is left still meets. Keys of one set alone
+    tie nothing and go before that. So sets are brought together by what is rare among all of them,
+    however many tokens share a counter of ``token_order``.
+    """
+    every = Window.partitionBy("key")
+    counted = keys.select("key", "digest", F.count("*").over(every).alias("often"), F.min("digest").over(every).alias("_least"), F.max("digest").over(every).alias("_last"))
+    shared = counted.where("_least < _last").select("key", "digest", "often")
+    sized = shared.join(firsts.select("digest", "n_shingles").hint("merge"), "digest")
+    # A set that several tasks have has several rows of a key, of one rank.
+    rank = F.dense_rank().over(Window.partitionBy("digest").orderBy(F.desc("often"), F.desc("key")))
+    kept = sized.withColumn("_rank", rank).where(F.col("_rank") > _spare(F.col("n_shingles"), num, den))
+    return _families(kept.select("key", F.col("digest").alias("doc_id"))).withColumnRenamed("doc_id", "digest")
+
+
 def _by_size(firsts: DataFrame, num: int, den: int) -> DataFrame:
     """Adds ``band``: families of more than BLOCK sets are divided by size, each size at most twice the least of its band.
 
@@ -478,12 +525,25 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     Other columns are ignored. An empty table gives empty results.
     """
     docs = docs.select(*_columns(text, doc_id))
-    order = token_order(docs, width) if Bands(num, den).by_prefix else None
-    found = stored(sets_and_keys(docs, width, num, den, order))
+    by_prefix = Bands(num, den).by_prefix
+    order = token_order(docs, width) if by_prefix else None
+    found = stored(sets_and_keys(docs, width, num, den, order, longer=by_prefix))
     info = found.where(F.col("key").isNull()).select("doc_id", "n_shingles", "digest")
-    families = _families(found.where(F.col("key").isNotNull()).select("key", "doc_id"))
-    member = settled(info.join(families.hint("merge"), "doc_id"))
-    firsts = settled(member.groupBy("family", "digest").agg(F.min("doc_id").alias("representative"), F.min("n_shingles").alias("n_shingles")))
+    keys = found.where(F.col("key").isNotNull())
+    first = F.min("doc_id").alias("representative"), F.min("n_shingles").alias("n_shingles")
+    if by_prefix:
+        whole = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+        sets = settled(info.where(whole).groupBy("digest").agg(*first))
+        families = _by_rare_keys(keys.select("key", "digest"), sets, num, den)
+        firsts = settled(sets.join(families.hint("merge"), "digest"))
+        classes = info.where(whole).join(sets.select("digest", "representative").hint("merge"), "digest")
+        classes = classes.unionByName(info.where(~whole), allowMissingColumns=True)
+    else:
+        families = _families(keys.select("key", "doc_id"))
+        member = settled(info.join(families.hint("merge"), "doc_id"))
+        firsts = settled(member.groupBy("family", "digest").agg(*first))
+        known = member.select("doc_id", "digest", "family").distinct().join(firsts.drop("n_shingles").hint("merge"), ["family", "digest"])
+        classes = info.join(known.select("doc_id", "digest", "representative").hint("merge"), ["doc_id", "digest"], "left")
     banded = _by_size(firsts, num, den)
     sizes = banded.groupBy("family", "band").agg(F.count("*").alias("n")).where("n > 1")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -496,8 +556,6 @@ def similar(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, text
     if not spanning:  # two bands may have found the same link
         links = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = settled(links)
-    known = member.select("doc_id", "digest", "family").distinct().join(firsts.drop("n_shingles").hint("merge"), ["family", "digest"])
-    classes = info.join(known.select("doc_id", "digest", "representative").hint("merge"), ["doc_id", "digest"], "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("representative", "doc_id")).otherwise(F.col("doc_id"))
     return classes.select("doc_id", "n_shingles", own.alias("representative")), links
 

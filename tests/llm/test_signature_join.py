@@ -236,3 +236,34 @@ def test_large_families_are_divided_by_size(monkeypatch, documents, num):
     want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])}
     assert sorted((r["a"], r["b"]) for r in found.collect()) == sorted(want)
     assert max(sent) < 2 * len(sets)
+
+
+def test_families_stay_small_without_an_order(monkeypatch, documents):
+    """Where counters tell nothing about tokens, as when very many share each, passages of few documents don't chain those to one family either."""
+    monkeypatch.setattr(S, "token_order", lambda docs, width: None)
+    words = [[*(f"p{i}x{k}" for k in range(16)), *(f"d{i}x{k}" for k in range(200)), *(f"p{i + 1}x{k}" for k in range(16))] for i in range(40)]
+    words += [[*w, "one", "more"] for w in words[::3]] + words[::7]
+    rows = [(i * 2 + 1, " ".join(w)) for i, w in enumerate(words)]
+    docs = documents([(d, t, None, None) for d, t in rows])
+    sent = []
+    links = S.tree_links
+
+    def count(rows, *a):
+        sent.append(rows.groupBy("family").count().agg(F.max("count")).first()[0])
+        return links(rows, *a)
+
+    monkeypatch.setattr(S, "tree_links", count)
+    assert sorted(tuple(r) for r in S.jaccard_components(docs, 5, 80, 100).collect()) == brute(rows, 5, 80, 100)
+    assert max(sent) < 10
+
+
+@pytest.mark.parametrize("num", [70, 80, 87])
+def test_sets_may_leave_out_as_many_keys(spark, num):
+    """Two similar sets share more of their longer keys than either leaves out."""
+    sizes = range(1, 3000)
+    least = {n: -(-n * num // 100) for n in sizes}
+    frame = spark.range(1, 3000).select("id", S._spare(F.col("id"), num, 100).alias("spare"))
+    assert {r["id"]: r["spare"] for r in frame.collect()} == {n: S._more(least[n]) for n in sizes}
+    assert all(S._more(n) >= S._more(n - 1) for n in sizes[1:]) and all(n - least[n] + 1 + S._more(n) <= n for n in sizes)
+    tokens = np.arange(3000, dtype=np.uint64)
+    assert all(len(S.Bands(num, 100).keys(tokens[:n], longer=True)) == n - least[n] + 1 + S._more(n) for n in (1, 5, 24, 100, 2999))
